@@ -60,20 +60,22 @@ def _int(c: Column) -> Column:
 def log_timestamp(stamp, year_month: str = "2020-01") -> Column:
     """``[DD:HH:MM:SS]`` plus a constant year-month -> TIMESTAMP_NTZ (null on junk).
 
-    The parts are laid out as an ISO string and cast to ``timestamp_ntz``,
-    which is independent of the session time zone; ``try_cast`` gives null
-    for impossible dates (day 32, hour 25).
+    One anchored ``regexp_replace`` lays the parts out as an ISO string; text
+    that does not match keeps a ``#`` prefix and fails the cast. The cast to
+    ``timestamp_ntz`` does not depend on the session time zone and
+    ``try_cast`` gives null for impossible values (day 32, hour 25). The input
+    is referenced once, so the expression stays small when Catalyst inlines it.
     """
-    s = _col(stamp)
-    iso = F.concat(F.lit(year_month + "-"), F.substring(s, 2, 2), F.lit(" "), F.substring(s, 5, 8))
-    return F.when(s.rlike(r"^\[\d\d:\d\d:\d\d:\d\d\]$"), iso.try_cast("timestamp_ntz"))
+    iso = F.regexp_replace(F.concat(F.lit("#"), _col(stamp)),
+                           r"^#\[(\d\d):(\d\d):(\d\d):(\d\d)\]$", year_month + "-$1 $2:$3:$4")
+    return iso.try_cast("timestamp_ntz")
 
 
 def flow_timestamp(text) -> Column:
     """``yyyy-MM-dd_HH:mm:ss.SSS`` -> TIMESTAMP_NTZ, null when it does not parse."""
-    s = _col(text)
-    ok = s.rlike(r"^\d{4}-\d\d-\d\d_\d\d:\d\d:\d\d(\.\d{1,6})?$")
-    return F.when(ok, F.translate(s, "_", " ").try_cast("timestamp_ntz"))
+    iso = F.regexp_replace(F.concat(F.lit("#"), _col(text)),
+                           r"^#(\d{4}-\d\d-\d\d)_(\d\d:\d\d:\d\d(\.\d{1,6})?)$", "$1 $2")
+    return iso.try_cast("timestamp_ntz")
 
 
 def subnet16(ip) -> Column:

@@ -11,7 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowscope import sources as src
-from flowscope.operators import logs
+from flowscope.operators import logs, traffic
+from flowscope.operators.windows import (
+    grand_total, keyed_window_agg, running_total, window_avg, window_bytes,
+)
+
+# Monitoring parameters for the tables: 30 days of events, so T is an hour
+# sliding by 15 minutes; H is a fraction, k a count, X a multiplier.
+MONITOR = {"width": "1 hour", "slide": "15 minutes", "h": 0.2, "k": 3, "x": 2.0}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -67,3 +74,115 @@ def log_bytes_by_subnet16(spark, sf):
 @query("log_bytes_by_subnet24")
 def log_bytes_by_subnet24(spark, sf):
     return logs.bytes_by_subnet(src.parsed_log(spark, sf), 24)
+
+
+# ---------------------------------------------------------------- flows
+def _fl(spark, sf):
+    return src.flows(spark, sf)
+
+
+def _agg(spark, sf, key, slide=True):
+    m = MONITOR
+    return keyed_window_agg(_fl(spark, sf), key, m["width"], m["slide"] if slide else None)
+
+
+@query("flow_parse")
+def flow_parse(spark, sf):
+    return src.parse_flow_lines(src.format_flow_lines(_fl(spark, sf)))
+
+
+@query("format_flow_line")
+def format_flow_line(spark, sf):
+    return src.format_flow_lines(_fl(spark, sf))
+
+
+@query("flow_grand_total")
+def flow_grand_total(spark, sf):
+    return grand_total(_fl(spark, sf))
+
+
+@query("running_total_by_protocol")
+def running_total_by_protocol(spark, sf):
+    return running_total(_fl(spark, sf), "protocol")
+
+
+@query("protocol_bytes_tumbling")
+def protocol_bytes_tumbling(spark, sf):
+    return window_bytes(_fl(spark, sf), "protocol", MONITOR["width"])
+
+
+@query("topk_protocols_tumbling")
+def topk_protocols_tumbling(spark, sf):
+    return traffic.top_k(_agg(spark, sf, "protocol", slide=False), "protocol", MONITOR["k"])
+
+
+@query("protocol_bytes_sliding")
+def protocol_bytes_sliding(spark, sf):
+    return window_bytes(_fl(spark, sf), "protocol", MONITOR["width"], MONITOR["slide"])
+
+
+@query("ip_bytes_sliding")
+def ip_bytes_sliding(spark, sf):
+    return window_bytes(_fl(spark, sf), "source_ip", MONITOR["width"], MONITOR["slide"])
+
+
+@query("total_bytes_sliding")
+def total_bytes_sliding(spark, sf):
+    return window_bytes(_fl(spark, sf), None, MONITOR["width"], MONITOR["slide"])
+
+
+@query("protocol_avg_sliding")
+def protocol_avg_sliding(spark, sf):
+    return window_avg(_fl(spark, sf), "protocol", MONITOR["width"], MONITOR["slide"])
+
+
+@query("ip_avg_sliding")
+def ip_avg_sliding(spark, sf):
+    return window_avg(_fl(spark, sf), "source_ip", MONITOR["width"], MONITOR["slide"])
+
+
+# ---------------------------------------------------------------- flagship
+@query("heavy_protocols")
+def heavy_protocols(spark, sf):
+    return traffic.heavy_hitters(_agg(spark, sf, "protocol"), "protocol", MONITOR["h"])
+
+
+@query("topk_protocols")
+def topk_protocols(spark, sf):
+    return traffic.top_k(_agg(spark, sf, "protocol"), "protocol", MONITOR["k"])
+
+
+@query("deviant_protocols")
+def deviant_protocols(spark, sf):
+    return traffic.deviants(_agg(spark, sf, "protocol"), "protocol", MONITOR["x"])
+
+
+@query("heavy_ips")
+def heavy_ips(spark, sf):
+    return traffic.heavy_hitters(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["h"])
+
+
+@query("topk_ips")
+def topk_ips(spark, sf):
+    return traffic.top_k(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["k"])
+
+
+@query("deviant_ips")
+def deviant_ips(spark, sf):
+    return traffic.deviants(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["x"])
+
+
+@query("latest_topk_protocols")
+def latest_topk_protocols(spark, sf):
+    return traffic.latest_top_k(_agg(spark, sf, "protocol"), "protocol", MONITOR["k"])
+
+
+@query("latest_topk_ips")
+def latest_topk_ips(spark, sf):
+    return traffic.latest_top_k(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["k"])
+
+
+@query("monitor_snapshot")
+def monitor_snapshot(spark, sf):
+    m = MONITOR
+    return traffic.snapshot(_agg(spark, sf, "protocol"), _agg(spark, sf, "source_ip"), m["h"], m["k"], m["x"])

@@ -44,3 +44,98 @@ ORACLE["log_bytes_by_subnet16"] = (
 ORACLE["log_bytes_by_subnet24"] = (
     f"WITH {LOG} SELECT split_part(ip, '.', 1) || '.' || split_part(ip, '.', 2) || '.' || "
     f"split_part(ip, '.', 3) || '.*' AS subnet, CAST(sum(bytes) AS BIGINT) AS bytes FROM lg GROUP BY 1")
+
+# ---------------------------------------------------------------- flows
+FL = f"""fl AS (
+  SELECT event_id, ts AS datetime, event_type AS protocol, {_IP} AS source_ip,
+         '10.1.0.' || (event_id % 200) AS destination_ip,
+         CAST(round(value * 100) AS INTEGER) AS packet_size
+  FROM events)"""
+# every row in the four 1-hour windows (slide 15 minutes) that contain it
+SW = """sw AS (
+  SELECT unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, datetime) - INTERVAL 45 MINUTE,
+                                time_bucket(INTERVAL 15 MINUTE, datetime), INTERVAL 15 MINUTE)) AS window_start, *
+  FROM fl)"""
+TW = """tw AS (SELECT time_bucket(INTERVAL 1 HOUR, datetime) AS window_start, * FROM fl)"""
+
+
+def _agg(key, src="sw", name=None):
+    k = f"{key}, " if key else ""
+    return (f"{name or 'ag'} AS (SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, {k}"
+            f"CAST(sum(packet_size) AS BIGINT) AS bytes, count(*) AS n FROM {src} GROUP BY ALL)")
+
+
+def _heavy(key, h=0.2):
+    return (f"SELECT a.window_start, a.window_end, a.{key}, a.bytes, t.total_bytes, "
+            f"a.bytes / t.total_bytes AS share FROM ag a JOIN (SELECT window_start, window_end, "
+            f"CAST(sum(bytes) AS BIGINT) AS total_bytes FROM ag GROUP BY ALL) t "
+            f"ON a.window_start = t.window_start AND a.window_end = t.window_end "
+            f"WHERE a.bytes > CAST({h} AS DOUBLE) * t.total_bytes")
+
+
+def _topk(key, k=3):
+    return (f"SELECT window_start, window_end, rank, {key}, bytes FROM (SELECT window_start, window_end, {key}, bytes, "
+            f"CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY bytes DESC, {key}) AS INTEGER) AS rank "
+            f"FROM ag) WHERE rank <= {k}")
+
+
+def _deviant(key, x=2.0):
+    return (f"SELECT m.window_start, m.window_end, m.{key}, m.avg_size FROM "
+            f"(SELECT window_start, window_end, {key}, bytes / n AS avg_size FROM ag) m JOIN "
+            f"(SELECT window_start, window_end, stddev_pop(bytes / n) AS sd FROM ag GROUP BY ALL) s "
+            f"ON m.window_start = s.window_start AND m.window_end = s.window_end "
+            f"WHERE m.avg_size > CAST({x} AS DOUBLE) * s.sd")
+
+
+def _latest(key, k=3):
+    return (f"SELECT window_start, window_end, {key}, bytes FROM ag "
+            f"ORDER BY window_start DESC, bytes DESC, {key} LIMIT {k}")
+
+
+ORACLE["flow_parse"] = (f"WITH {FL} SELECT date_trunc('millisecond', datetime) AS datetime, protocol, "
+                        f"source_ip, destination_ip, packet_size FROM fl")
+ORACLE["format_flow_line"] = (f"WITH {FL} SELECT strftime(datetime, '%Y-%m-%d_%H:%M:%S.%g') || ' ' || protocol "
+                              f"|| ' ' || source_ip || ' ' || destination_ip || ' ' || packet_size AS value FROM fl")
+ORACLE["flow_grand_total"] = f"WITH {FL} SELECT CAST(sum(packet_size) AS BIGINT) AS bytes, count(*) AS n FROM fl"
+ORACLE["running_total_by_protocol"] = (f"WITH {FL} SELECT protocol, CAST(sum(packet_size) AS BIGINT) AS bytes, "
+                                       f"count(*) AS n FROM fl GROUP BY protocol")
+ORACLE["protocol_bytes_tumbling"] = (f"WITH {FL}, {TW}, {_agg('protocol', 'tw')} "
+                                     f"SELECT window_start, window_end, protocol, bytes FROM ag")
+ORACLE["topk_protocols_tumbling"] = f"WITH {FL}, {TW}, {_agg('protocol', 'tw')} {_topk('protocol')}"
+ORACLE["protocol_bytes_sliding"] = (f"WITH {FL}, {SW}, {_agg('protocol')} "
+                                    f"SELECT window_start, window_end, protocol, bytes FROM ag")
+ORACLE["ip_bytes_sliding"] = (f"WITH {FL}, {SW}, {_agg('source_ip')} "
+                              f"SELECT window_start, window_end, source_ip, bytes FROM ag")
+ORACLE["total_bytes_sliding"] = f"WITH {FL}, {SW}, {_agg(None)} SELECT window_start, window_end, bytes FROM ag"
+ORACLE["protocol_avg_sliding"] = (f"WITH {FL}, {SW}, {_agg('protocol')} "
+                                  f"SELECT window_start, window_end, protocol, bytes / n AS avg_size FROM ag")
+ORACLE["ip_avg_sliding"] = (f"WITH {FL}, {SW}, {_agg('source_ip')} "
+                            f"SELECT window_start, window_end, source_ip, bytes / n AS avg_size FROM ag")
+
+# ---------------------------------------------------------------- flagship
+ORACLE["heavy_protocols"] = f"WITH {FL}, {SW}, {_agg('protocol')} {_heavy('protocol')}"
+ORACLE["topk_protocols"] = f"WITH {FL}, {SW}, {_agg('protocol')} {_topk('protocol')}"
+ORACLE["deviant_protocols"] = f"WITH {FL}, {SW}, {_agg('protocol')} {_deviant('protocol')}"
+ORACLE["heavy_ips"] = f"WITH {FL}, {SW}, {_agg('source_ip')} {_heavy('source_ip')}"
+ORACLE["topk_ips"] = f"WITH {FL}, {SW}, {_agg('source_ip')} {_topk('source_ip')}"
+ORACLE["deviant_ips"] = f"WITH {FL}, {SW}, {_agg('source_ip')} {_deviant('source_ip')}"
+ORACLE["latest_topk_protocols"] = f"WITH {FL}, {SW}, {_agg('protocol')} {_latest('protocol')}"
+ORACLE["latest_topk_ips"] = f"WITH {FL}, {SW}, {_agg('source_ip')} {_latest('source_ip')}"
+
+
+def _snap_part(key, func, body, value):
+    return (f"SELECT window_start, window_end, '{func}' AS func, {key} AS key, CAST({value} AS DOUBLE) AS value "
+            f"FROM ({body})")
+
+
+def _snapshot():
+    p_ag, i_ag = _agg("protocol"), _agg("source_ip")
+    parts = []
+    for key, ag, funcs in (("protocol", p_ag, ("func1", "func2", "func3")),
+                           ("source_ip", i_ag, ("func4", "func5", "func6"))):
+        for func, body, value in zip(funcs, (_heavy(key), _topk(key), _deviant(key)), ("share", "bytes", "avg_size")):
+            parts.append(f"(WITH {ag} {_snap_part(key, func, body, value)})")
+    return f"WITH {FL}, {SW} " + " UNION ALL ".join(parts)
+
+
+ORACLE["monitor_snapshot"] = _snapshot()
