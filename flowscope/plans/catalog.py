@@ -9,9 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowscope import sources as src
-from flowscope.operators import logs, traffic
+from flowscope.operators import logs, profile, shedding, traffic
+from flowscope.session import fresh_path
+from flowscope.sources import results as store
+from flowscope.sources.synth import synth_flows as _synth
 from flowscope.operators.windows import (
     grand_total, keyed_window_agg, running_total, window_avg, window_bytes,
 )
@@ -19,6 +23,10 @@ from flowscope.operators.windows import (
 # Monitoring parameters for the tables: 30 days of events, so T is an hour
 # sliding by 15 minutes; H is a fraction, k a count, X a multiplier.
 MONITOR = {"width": "1 hour", "slide": "15 minutes", "h": 0.2, "k": 3, "x": 2.0}
+# Shedding rate, selection rates of A and B, repetitions of the experiments.
+SHED_RATE = 0.3
+RATE_A, RATE_B = 0.5, 0.3
+RUNS = 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -186,3 +194,124 @@ def latest_topk_ips(spark, sf):
 def monitor_snapshot(spark, sf):
     m = MONITOR
     return traffic.snapshot(_agg(spark, sf, "protocol"), _agg(spark, sf, "source_ip"), m["h"], m["k"], m["x"])
+
+
+# ---------------------------------------------------------------- shedding
+def _shed_in(spark, sf):
+    return shedding.shed_input(src.log_lines(spark, sf), "event_id")
+
+
+@query("shed_hash")
+def shed_hash(spark, sf):
+    return shedding.hash_shed(_shed_in(spark, sf), "event_id", SHED_RATE)
+
+
+@query("shed_bernoulli")
+def shed_bernoulli(spark, sf):
+    return shedding.bernoulli_shed(_shed_in(spark, sf), SHED_RATE, seed=7)
+
+
+@query("bytes_histogram")
+def bytes_histogram(spark, sf):
+    return shedding.histogram(_shed_in(spark, sf))
+
+
+@query("histogram_wasserstein")
+def histogram_wasserstein(spark, sf):
+    rows = _shed_in(spark, sf)
+    return shedding.wasserstein(shedding.histogram(rows),
+                                shedding.histogram(shedding.hash_shed(rows, "event_id", SHED_RATE)))
+
+
+@query("shed_sweep")
+def shed_sweep(spark, sf):
+    return shedding.shed_sweep(_shed_in(spark, sf), "event_id")
+
+
+@query("shed_accuracy")
+def shed_accuracy(spark, sf):
+    return shedding.shed_accuracy(_shed_in(spark, sf), "event_id")
+
+
+# ---------------------------------------------------------------- profiling
+@query("filter_chain_ab")
+def filter_chain_ab(spark, sf):
+    return profile.filter_chain(src.log_lines(spark, sf), "event_id", RATE_A, RATE_B, "ab")
+
+
+@query("filter_chain_ba")
+def filter_chain_ba(spark, sf):
+    return profile.filter_chain(src.log_lines(spark, sf), "event_id", RATE_A, RATE_B, "ba")
+
+
+@query("filter_chain_profile")
+def filter_chain_profile(spark, sf):
+    return profile.chain_profile(src.log_lines(spark, sf), "event_id", RATE_A, RATE_B)
+
+
+@query("chain_cost_model")
+def chain_cost_model(spark, sf):
+    sel = profile.measured_selectivities(src.log_lines(spark, sf), "event_id", runs=1)
+    table = sel.select("rate_b", F.lit(1.0).alias("cost_a"), F.lit(1.0).alias("cost_b"), "sel_a", "sel_b",
+                       F.lit(1.0).alias("cost_ratio"))
+    return profile.cost_model(table)
+
+
+@query("chain_throughput")
+def chain_throughput(spark, sf):
+    return profile.experiment_series(src.log_lines(spark, sf), "event_id", runs=1)
+
+
+def _means(spark, sf):
+    return profile.mean_over_runs(profile.experiment_series(src.log_lines(spark, sf), "event_id", runs=RUNS))
+
+
+@query("mean_over_runs")
+def mean_over_runs(spark, sf):
+    return _means(spark, sf)
+
+
+@query("ratio_to_max")
+def ratio_to_max(spark, sf):
+    return profile.ratio_to_max(_means(spark, sf))
+
+
+@query("minmax_scale")
+def minmax_scale(spark, sf):
+    return profile.minmax_scale(shed_accuracy(spark, sf), "n_kept", out="load")
+
+
+@query("weights_to_cdf")
+def weights_to_cdf(spark, sf):
+    return profile.weights_to_cdf(_fl(spark, sf), "protocol")
+
+
+@query("synth_flows")
+def synth_flows(spark, sf):
+    return _synth(src.table(spark, sf, "events"))
+
+
+# ---------------------------------------------------------------- result store
+def _results(spark, sf):
+    return store.snapshot_to_results(monitor_snapshot(spark, sf))
+
+
+def _stored(spark, sf):
+    path = fresh_path(spark, "results")
+    store.insert(_results(spark, sf), path, batch_id=0)
+    return path
+
+
+@query("results_all")
+def results_all(spark, sf):
+    return store.read_all(spark, _stored(spark, sf))
+
+
+@query("results_latest")
+def results_latest(spark, sf):
+    return store.read_latest(spark, _stored(spark, sf))
+
+
+@query("results_json_roundtrip")
+def results_json_roundtrip(spark, sf):
+    return store.from_json_lines(store.to_json_lines(_results(spark, sf)))

@@ -4,6 +4,9 @@ compares row counts, schemas and value hashes."""
 
 from __future__ import annotations
 
+from flowscope.functions.hashing import HASH_A, HASH_B, unit_hash_sql
+from flowscope.sources.synth import ADDRESSES, DRAW_MULTS, PROTOCOLS, cdf_of, normalise_weights
+
 # ---- shared views -------------------------------------------------------------
 _IP = "('10.0.' || (user_id >> 8) || '.' || (user_id % 256))"
 _HOST = (f"CASE WHEN user_id % 10 = 0 THEN 'host' || user_id || '.example.com' "
@@ -139,3 +142,123 @@ def _snapshot():
 
 
 ORACLE["monitor_snapshot"] = _snapshot()
+
+# ---------------------------------------------------------------- shedding
+UA = unit_hash_sql("event_id", HASH_A)
+UB = unit_hash_sql("event_id", HASH_B)
+SI = f"""si AS (SELECT event_id, CAST(round(value * 100) AS BIGINT) AS bytes, {UA} AS u
+  FROM events WHERE event_type <> 'error')"""
+_THR = "CAST(0.3 AS DOUBLE) * 65536"
+
+
+def _wdist(h, by=""):
+    """Distance from rows (by.., bucket, nu, nv) in CTE ``h``."""
+    part = f"PARTITION BY {by} " if by else ""
+    sel = f"{by}, " if by else ""
+    return f"""c AS (SELECT {sel}bucket,
+      sum(nu) OVER ({part}ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cu,
+      sum(nv) OVER ({part}ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cv,
+      sum(nu) OVER ({part.strip()}) AS tu, sum(nv) OVER ({part.strip()}) AS tv,
+      lead(bucket) OVER ({part}ORDER BY bucket) - bucket AS gap FROM {h}),
+    d AS (SELECT {sel}sum(abs(CAST(cu AS HUGEINT) * tv - CAST(cv AS HUGEINT) * tu) * coalesce(gap, 0)) AS num,
+      max(tu) AS tu, max(tv) AS tv FROM c {"GROUP BY " + by if by else ""})"""
+
+
+ORACLE["shed_hash"] = f"WITH {SI} SELECT event_id, bytes FROM si WHERE u < {_THR}"
+ORACLE["bytes_histogram"] = f"WITH {SI} SELECT bytes // 10000 AS bucket, count(*) AS n FROM si GROUP BY 1"
+ORACLE["histogram_wasserstein"] = (
+    f"WITH {SI}, h AS (SELECT bytes // 10000 AS bucket, count(*) AS nu, "
+    f"count(*) FILTER (WHERE u < {_THR}) AS nv FROM si GROUP BY 1), {_wdist('h')} "
+    f"SELECT CAST(tu AS BIGINT) AS n_u, CAST(tv AS BIGINT) AS n_v, CASE WHEN tu * tv > 0 THEN "
+    f"CAST(num AS DOUBLE) / (CAST(tu AS DOUBLE) * CAST(tv AS DOUBLE)) END AS distance FROM d")
+ORACLE["shed_sweep"] = (f"WITH {SI} SELECT r.i / 100 AS rate, bytes // 10000 AS bucket, count(*) AS n "
+                        f"FROM si, range(1, 99) r(i) WHERE u * 100 < r.i * 65536 GROUP BY 1, 2")
+_ACC = (f"WITH {SI}, h AS (SELECT r.i / 100 AS rate, bytes // 10000 AS bucket, count(*) AS nu, "
+        f"count(*) FILTER (WHERE u * 100 < r.i * 65536) AS nv FROM si, range(1, 99) r(i) GROUP BY 1, 2), "
+        f"{_wdist('h', 'rate')}, acc AS (SELECT rate, CAST(tv AS BIGINT) AS n_kept, CASE WHEN tu * tv > 0 THEN "
+        f"CAST(num AS DOUBLE) / (CAST(tu AS DOUBLE) * CAST(tv AS DOUBLE)) END AS distance FROM d)")
+ORACLE["shed_accuracy"] = f"{_ACC} SELECT rate, n_kept, distance, 1 - distance AS accuracy FROM acc"
+ORACLE["minmax_scale"] = (
+    f"{_ACC} SELECT rate, n_kept, distance, 1 - distance AS accuracy, CASE WHEN max(n_kept) OVER () <> "
+    f"min(n_kept) OVER () THEN (n_kept - min(n_kept) OVER ()) / (max(n_kept) OVER () - min(n_kept) OVER ()) "
+    f"END AS load FROM acc")
+
+# ---------------------------------------------------------------- profiling
+_AB = f"{UA} < CAST(0.5 AS DOUBLE) * 65536 AND {UB} < CAST(0.3 AS DOUBLE) * 65536"
+ORACLE["filter_chain_ab"] = f"SELECT event_id, {LINE} AS value FROM events WHERE {_AB}"
+ORACLE["filter_chain_ba"] = ORACLE["filter_chain_ab"]
+ORACLE["filter_chain_profile"] = f"""WITH p AS (SELECT count(*) AS n_in,
+    count(*) FILTER (WHERE {UA} < CAST(0.5 AS DOUBLE) * 65536) AS n_a,
+    count(*) FILTER (WHERE {UB} < CAST(0.3 AS DOUBLE) * 65536) AS n_b,
+    count(*) FILTER (WHERE {_AB}) AS n_ab FROM events),
+  q AS (SELECT *, n_a / n_in AS sel_a, n_b / n_in AS sel_b FROM p),
+  r AS (SELECT *, CAST(1.0 AS DOUBLE) + sel_a * CAST(1.0 AS DOUBLE) AS cost_ab,
+               CAST(1.0 AS DOUBLE) + sel_b * CAST(1.0 AS DOUBLE) AS cost_ba FROM q)
+  SELECT *, CASE WHEN cost_ab <= cost_ba THEN 'A,B' ELSE 'B,A' END AS best_order FROM r"""
+
+
+def _sel(runs):
+    skey = f"(event_id * {runs} + run)"
+    ua, ub = unit_hash_sql(skey, HASH_A), unit_hash_sql(skey, HASH_B)
+    return f"""s0 AS (SELECT r.run, {ua} AS ua, {ub} AS ub FROM events, range(0, {runs}) r(run)),
+  pr AS (SELECT run, count(*) AS n_in, count(*) FILTER (WHERE ua < CAST(0.5 AS DOUBLE) * 65536) AS n_a
+         FROM s0 GROUP BY run),
+  pb AS (SELECT run, g.i, count(*) FILTER (WHERE ub * 100 < g.i * 65536) AS n_b
+         FROM s0, range(1, 100) g(i) GROUP BY run, g.i),
+  sel AS (SELECT pb.run, pb.i, pb.i / 100 AS rate_b, pr.n_a / pr.n_in AS sel_a, pb.n_b / pr.n_in AS sel_b
+          FROM pb JOIN pr ON pb.run = pr.run)"""
+
+
+def _series(runs):
+    one = "CAST(1.0 AS DOUBLE)"
+    return f"""{_sel(runs)},
+  fz AS (SELECT run, sel_a, sel_b, j.j / 10 AS c FROM sel, range(1, 50) j(j) WHERE i = 50),
+  series AS (
+    SELECT run, 'reorder' AS experiment, 'A_B' AS variant, rate_b AS param, {one} / ({one} + sel_a * {one}) AS value FROM sel
+    UNION ALL SELECT run, 'reorder', 'B_A', rate_b, {one} / ({one} + sel_b * {one}) FROM sel
+    UNION ALL SELECT run, 'fusion', 'A_B', c, {one} / ({one} + sel_a * {one}) FROM fz
+    UNION ALL SELECT run, 'fusion', 'AB', c, {one} / (({one} + {one}) * c / (c + {one})) FROM fz)"""
+
+
+_MEANS = f"""WITH {_series(5)}, m AS (SELECT experiment, variant, param, round(avg(value), 9) AS value
+  FROM series GROUP BY ALL)"""
+ORACLE["chain_cost_model"] = f"""WITH {_sel(1)}, t AS (SELECT rate_b, CAST(1.0 AS DOUBLE) AS cost_a,
+    CAST(1.0 AS DOUBLE) AS cost_b, sel_a, sel_b, CAST(1.0 AS DOUBLE) AS cost_ratio FROM sel)
+  SELECT *, cost_a + sel_a * cost_b AS cost_ab, cost_b + sel_b * cost_a AS cost_ba,
+         (cost_a + cost_b) * cost_ratio / (cost_ratio + CAST(1.0 AS DOUBLE)) AS cost_fused FROM t"""
+ORACLE["chain_throughput"] = f"WITH {_series(1)} SELECT CAST(run AS INTEGER) AS run, experiment, variant, param, value FROM series"
+ORACLE["mean_over_runs"] = f"{_MEANS} SELECT * FROM m"
+ORACLE["ratio_to_max"] = (f"{_MEANS}, mx AS (SELECT experiment, max(value) AS mx FROM m WHERE variant = 'A_B' "
+                          f"GROUP BY experiment) SELECT m.experiment, variant, param, value / mx AS ratio "
+                          f"FROM m JOIN mx ON m.experiment = mx.experiment")
+ORACLE["weights_to_cdf"] = f"""WITH {FL}, c AS (SELECT protocol, count(*) AS n FROM fl GROUP BY protocol)
+  SELECT CAST(row_number() OVER (ORDER BY protocol) - 1 AS INTEGER) AS idx, protocol,
+         n / sum(n) OVER () AS pdf,
+         sum(n) OVER (ORDER BY protocol ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(n) OVER () AS cdf
+  FROM c"""
+
+
+def _pick_sql(u, values, cdf):
+    below = " + ".join(f"CASE WHEN CAST('{c!r}' AS DOUBLE) <= ({u}) / 65536 THEN 1 ELSE 0 END" for c in cdf)
+    vals = "[" + ", ".join(f"'{v}'" for v in values) + "]"
+    return f"{vals}[least({below}, {len(values) - 1}) + 1]"
+
+
+def _synth():
+    p_cdf = cdf_of(normalise_weights(None, 8))
+    i_cdf = cdf_of(normalise_weights(None, 5))
+    h = {k: unit_hash_sql("event_id", m) for k, m in DRAW_MULTS.items()}
+    return (f"SELECT ts AS datetime, {_pick_sql(h['protocol'], PROTOCOLS[:8], p_cdf)} AS protocol, "
+            f"{_pick_sql(h['source'], ADDRESSES[:5], i_cdf)} AS source_ip, "
+            f"{_pick_sql(h['destination'], ADDRESSES[:5], i_cdf)} AS destination_ip, "
+            f"CAST(16 + ({h['size']}) * 12273 // 65536 AS INTEGER) AS packet_size FROM events")
+
+
+ORACLE["synth_flows"] = _synth()
+
+# ---------------------------------------------------------------- result store
+_RES = (f"WITH r AS ({ORACLE['monitor_snapshot']}) ")
+ORACLE["results_all"] = _RES + "SELECT window_end AS time, func, key, value FROM r"
+ORACLE["results_latest"] = (_RES + "SELECT window_end AS time, func, key, value FROM r "
+                            "WHERE window_end = (SELECT max(window_end) FROM r)")
+ORACLE["results_json_roundtrip"] = ORACLE["results_all"]
