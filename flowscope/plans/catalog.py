@@ -16,6 +16,8 @@ from flowscope.operators import logs, profile, shedding, traffic
 from flowscope.session import fresh_path
 from flowscope.sources import results as store
 from flowscope.sources.synth import synth_flows as _synth
+from flowscope import streaming as st
+from flowscope.streaming.runner import run_to_end
 from flowscope.operators.windows import (
     grand_total, keyed_window_agg, running_total, window_avg, window_bytes,
 )
@@ -315,3 +317,41 @@ def results_latest(spark, sf):
 @query("results_json_roundtrip")
 def results_json_roundtrip(spark, sf):
     return store.from_json_lines(store.to_json_lines(_results(spark, sf)))
+
+
+# ---------------------------------------------------------------- streaming twins
+# File stream over the events table, append mode, run to the end of the
+# available input (availableNow), per-batch functions in foreachBatch. Only
+# windows closed by the final watermark are emitted.
+STREAM_WATERMARK = "1 minute"
+LOG_WATERMARK = "10 minutes"
+
+
+def _stream_agg(spark, sf, key):
+    m = MONITOR
+    return st.keyed_window_stream(st.flows_stream(spark, sf), key, m["width"], m["slide"], STREAM_WATERMARK)
+
+
+def _twin(name, key, fn):
+    def run(spark, sf):
+        return run_to_end(spark, _stream_agg(spark, sf, key), fn, kind=name)
+    QUERIES[name] = run
+    return run
+
+
+_twin("stream_heavy_protocols", "protocol", lambda b: traffic.heavy_hitters(b, "protocol", MONITOR["h"]))
+_twin("stream_topk_protocols", "protocol", lambda b: traffic.top_k(b, "protocol", MONITOR["k"]))
+_twin("stream_deviant_protocols", "protocol", lambda b: traffic.deviants(b, "protocol", MONITOR["x"]))
+_twin("stream_heavy_ips", "source_ip", lambda b: traffic.heavy_hitters(b, "source_ip", MONITOR["h"]))
+_twin("stream_topk_ips", "source_ip", lambda b: traffic.top_k(b, "source_ip", MONITOR["k"]))
+_twin("stream_deviant_ips", "source_ip", lambda b: traffic.deviants(b, "source_ip", MONITOR["x"]))
+
+
+@query("stream_hourly_bytes")
+def stream_hourly_bytes(spark, sf):
+    log = st.log_stream(spark, sf).withWatermark("datetime", LOG_WATERMARK)
+    agg = (log.groupBy(F.window("datetime", "60 minutes").alias("w"), "ip")
+           .agg(F.sum("bytes").alias("bytes"))
+           .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                   F.col("w.end").cast("timestamp_ntz").alias("window_end"), "ip", "bytes"))
+    return run_to_end(spark, agg, None, kind="stream_hourly_bytes")

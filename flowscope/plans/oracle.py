@@ -262,3 +262,14 @@ ORACLE["results_all"] = _RES + "SELECT window_end AS time, func, key, value FROM
 ORACLE["results_latest"] = (_RES + "SELECT window_end AS time, func, key, value FROM r "
                             "WHERE window_end = (SELECT max(window_end) FROM r)")
 ORACLE["results_json_roundtrip"] = ORACLE["results_all"]
+
+# ---------------------------------------------------------------- streaming twins
+# the batch answer restricted to windows closed by the final watermark
+_CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"
+for _name, _batch in (("stream_heavy_protocols", "heavy_protocols"), ("stream_topk_protocols", "topk_protocols"),
+                      ("stream_deviant_protocols", "deviant_protocols"), ("stream_heavy_ips", "heavy_ips"),
+                      ("stream_topk_ips", "topk_ips"), ("stream_deviant_ips", "deviant_ips")):
+    ORACLE[_name] = f"SELECT * FROM ({ORACLE[_batch]}) WHERE {_CLOSED}"
+ORACLE["stream_hourly_bytes"] = (
+    f"SELECT * FROM ({ORACLE['log_hourly_bytes']}) WHERE window_end <= "
+    f"(WITH {LOG} SELECT max(datetime) FROM lg) - INTERVAL 10 MINUTE")
