@@ -127,8 +127,8 @@ def ratio_to_max(mean: DataFrame, base_variant: str = "A_B") -> DataFrame:
 def minmax_scale(df: DataFrame, col: str, by: tuple[str, ...] = (), out: str = "scaled") -> DataFrame:
     """``(x - min) / (max - min)`` over all rows (per ``by`` group).
 
-    Without groups the bounds are scalar subqueries (one-row aggregates run
-    once); with groups they are one row per group joined back on the keys.
+    Without groups the bounds come from one scalar subquery (a one-row
+    aggregate run once); with groups they are one row per group joined back on the keys.
     Null when the span is 0.
     """
     if by:
@@ -137,7 +137,8 @@ def minmax_scale(df: DataFrame, col: str, by: tuple[str, ...] = (), out: str = "
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
         j = df
-        lo, hi = df.agg(F.min(col)).scalar(), df.agg(F.max(col)).scalar()
+        b = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+        lo, hi = b.getField("lo"), b.getField("hi")
     span = hi - lo
     return j.select(*df.columns, F.when(span != 0, (F.col(col) - lo) / span).alias(out))
 
