@@ -16,8 +16,6 @@ Throughput is the reciprocal of the per-tuple cost.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,9 +61,11 @@ def measured_selectivities(df: DataFrame, key: str, runs: int = 1, rate_a: float
     """Per run ``r`` (the key is salted as ``key * runs + r``) and grid index
     ``i``: ``sel_a`` of A at ``rate_a`` and ``sel_b`` of B at ``i/steps``.
 
-    One scan: each row is expanded to the ``runs`` salts (a small constant),
-    aggregated to ``(run, i_min_b)`` counts; cumulative counts over ``i``
-    give B's selectivity at every rate (see ``shedding.shed_sweep``).
+    One scan: each row is expanded to the ``runs`` salts (a small constant)
+    and counted per ``(run, i_min)``, where ``i_min`` is the first grid rate
+    that keeps it under B (see ``shedding.shed_sweep``). Those few counts
+    are laid out over the grid and summed, so every selectivity comes from
+    the same aggregate without a join.
     Output: ``run, i, rate_b, sel_a, sel_b``.
     """
     salted = df.select(F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"), key)
@@ -73,15 +73,12 @@ def measured_selectivities(df: DataFrame, key: str, runs: int = 1, rate_a: float
     i_min = (F.floor(unit_hash(skey, HASH_B) * F.lit(steps) / F.lit(HASH_RANGE)) + 1).cast("int")
     pre = (salted.groupBy("run", i_min.alias("i_min"))
            .agg(F.count(F.lit(1)).alias("n"), F.count_if(hash_keep(skey, rate_a, HASH_A)).alias("n_a")))
-    per_run = pre.groupBy("run").agg(F.sum("n").alias("n_in"), F.sum("n_a").alias("n_a"))
-    grid = per_run.select("run", "n_in", "n_a", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("i"))
-    kept = (pre.where(F.col("i_min") <= last)
-            .select("run", "n", F.explode(F.sequence("i_min", F.lit(last))).alias("i"))
-            .groupBy("run", "i").agg(F.sum("n").alias("n_b")))
-    j = grid.join(kept, ["run", "i"], "left")
-    return j.select("run", "i", (F.col("i") / F.lit(steps)).alias("rate_b"),
-                    (F.col("n_a") / F.col("n_in")).alias("sel_a"),
-                    (F.coalesce("n_b", F.lit(0)) / F.col("n_in")).alias("sel_b"))
+    grid = pre.select("run", "i_min", "n", "n_a", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("i"))
+    g = grid.groupBy("run", "i").agg(
+        F.sum("n").alias("n_in"), F.sum("n_a").alias("n_a"),
+        F.sum(F.when(F.col("i_min") <= F.col("i"), F.col("n")).otherwise(0)).alias("n_b"))
+    return g.select("run", "i", (F.col("i") / F.lit(steps)).alias("rate_b"),
+                    (F.col("n_a") / F.col("n_in")).alias("sel_a"), (F.col("n_b") / F.col("n_in")).alias("sel_b"))
 
 
 def experiment_series(df: DataFrame, key: str, runs: int = 5, cost_a: float = 1.0, cost_b: float = 1.0,
@@ -92,21 +89,29 @@ def experiment_series(df: DataFrame, key: str, runs: int = 5, cost_a: float = 1.
     * ``reorder``: param = rate of B (0.01..0.99), variants ``A_B`` and ``B_A``.
     * ``fusion``: param = cost ratio c (0.1..4.9), A and B at rate 0.5,
       variants ``A_B`` (not fused) and ``AB`` (fused).
+
+    Every output row is generated from the selectivity table in one
+    projection (an array of result structs, exploded), so the input is
+    scanned once.
     """
     sel = measured_selectivities(df, key, runs)
-    ca, cb = _c(cost_a), _c(cost_b)
-    one = F.lit(1.0)
-    reorder = [sel.select("run", F.lit("reorder").alias("experiment"), F.lit(v).alias("variant"),
-                          F.col("rate_b").alias("param"), (one / cost).alias("value"))
-               for v, cost in (("A_B", ca + F.col("sel_a") * cb), ("B_A", cb + F.col("sel_b") * ca))]
-    half = sel.where(F.col("i") == 50).select("run", "sel_a", "sel_b")
-    fz = half.select("*", F.explode(F.sequence(F.lit(1), F.lit(ratios))).alias("j"))
-    fz = fz.select("*", (F.col("j") / F.lit(10)).alias("c"))
-    fusion = [fz.select("run", F.lit("fusion").alias("experiment"), F.lit(v).alias("variant"),
-                        F.col("c").alias("param"), (one / cost).alias("value"))
-              for v, cost in (("A_B", ca + F.col("sel_a") * cb),
-                              ("AB", (ca + cb) * F.col("c") / (F.col("c") + one)))]
-    return reduce(DataFrame.unionByName, reorder + fusion)
+    ca, cb, one = _c(cost_a), _c(cost_b), F.lit(1.0)
+
+    def row(exp, variant, param, cost):
+        return F.struct(F.lit(exp).alias("experiment"), F.lit(variant).alias("variant"),
+                        param.alias("param"), (one / cost).alias("value"))
+
+    sa, sb, rb = F.col("sel_a"), F.col("sel_b"), F.col("rate_b")
+    reorder = F.array(row("reorder", "A_B", rb, ca + sa * cb), row("reorder", "B_A", rb, cb + sb * ca))
+
+    def fused(j):
+        c = j / F.lit(10)
+        return F.array(row("fusion", "A_B", c, ca + sa * cb), row("fusion", "AB", c, (ca + cb) * c / (c + one)))
+
+    fusion = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(ratios)), fused))
+    fusion = F.filter(fusion, lambda x: F.col("i") == 50)
+    out = sel.select("run", F.explode(F.concat(reorder, fusion)).alias("r"))
+    return out.select("run", "r.experiment", "r.variant", "r.param", "r.value")
 
 
 def mean_over_runs(series: DataFrame, digits: int = 9) -> DataFrame:
@@ -117,11 +122,13 @@ def mean_over_runs(series: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def ratio_to_max(mean: DataFrame, base_variant: str = "A_B") -> DataFrame:
-    """``value / max(value of the base variant)`` per experiment (min fixed at 0)."""
-    mx = (mean.where(F.col("variant") == base_variant).groupBy("experiment")
-          .agg(F.max("value").alias("_max")))
-    return mean.join(mx, "experiment").select("experiment", "variant", "param",
-                                              (F.col("value") / F.col("_max")).alias("ratio"))
+    """``value / max(value of the base variant)`` per experiment (min fixed at 0).
+
+    The maximum is a window per experiment over the mean table, whose size is
+    set by the parameter grids, not by the data.
+    """
+    mx = F.max(F.when(F.col("variant") == base_variant, F.col("value"))).over(Window.partitionBy("experiment"))
+    return mean.select("experiment", "variant", "param", (F.col("value") / mx).alias("ratio"))
 
 
 def minmax_scale(df: DataFrame, col: str, by: tuple[str, ...] = (), out: str = "scaled") -> DataFrame:
@@ -155,6 +162,6 @@ def weights_to_cdf(df: DataFrame, key: str) -> DataFrame:
     order = Window.orderBy(key)
     c = counts.select(key, "n", F.row_number().over(order).alias("idx"),
                       F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-                      counts.agg(F.sum("n")).scalar().alias("tot"))
+                      F.sum("n").over(Window.partitionBy()).alias("tot"))
     return c.select((F.col("idx") - 1).alias("idx"), key, (F.col("n") / F.col("tot")).alias("pdf"),
                     (F.col("cum") / F.col("tot")).alias("cdf"))

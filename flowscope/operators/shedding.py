@@ -60,19 +60,18 @@ def histogram(df: DataFrame, bytes_col: str = "bytes", width: int = 10000) -> Da
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def wasserstein(u: DataFrame, v: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Distance between histograms ``u`` and ``v`` (``[*by,] bucket, n``) per ``by`` group.
+def wasserstein_aligned(h: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """L5 on one aligned table ``[*by,] bucket, nu, nv`` (counts of the two
+    histograms per bucket, 0 where absent).
 
     Output: ``[*by,] n_u, n_v, distance`` (null when either side is empty).
     """
-    j = (u.withColumnRenamed("n", "nu").join(v.withColumnRenamed("n", "nv"), [*by, "bucket"], "full")
-         .select(*by, "bucket", F.coalesce("nu", F.lit(0)).cast(DEC).alias("nu"),
-                 F.coalesce("nv", F.lit(0)).cast(DEC).alias("nv")))
     order = Window.partitionBy(*by).orderBy("bucket")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*by)
-    c = j.select(*by, F.sum("nu").over(upto).alias("cu"), F.sum("nv").over(upto).alias("cv"),
-                 F.sum("nu").over(whole).alias("tu"), F.sum("nv").over(whole).alias("tv"),
+    nu, nv = F.col("nu").cast(DEC), F.col("nv").cast(DEC)
+    c = h.select(*by, F.sum(nu).over(upto).alias("cu"), F.sum(nv).over(upto).alias("cv"),
+                 F.sum(nu).over(whole).alias("tu"), F.sum(nv).over(whole).alias("tv"),
                  (F.lead("bucket").over(order) - F.col("bucket")).cast(DEC).alias("gap"))
     term = F.abs(F.col("cu") * F.col("tv") - F.col("cv") * F.col("tu")) * F.coalesce("gap", F.lit(0).cast(DEC))
     g = c.groupBy(*by).agg(F.sum(term).alias("num"), F.max("tu").alias("tu"), F.max("tv").alias("tv"))
@@ -82,21 +81,43 @@ def wasserstein(u: DataFrame, v: DataFrame, by: tuple[str, ...] = ()) -> DataFra
                     dist.alias("distance"))
 
 
+def wasserstein(u: DataFrame, v: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """L5 + J2: distance between separate histograms ``u`` and ``v``
+    (``[*by,] bucket, n``), aligned by a full outer join on the bucket."""
+    j = (u.withColumnRenamed("n", "nu").join(v.withColumnRenamed("n", "nv"), [*by, "bucket"], "full")
+         .select(*by, "bucket", F.coalesce("nu", F.lit(0)).alias("nu"), F.coalesce("nv", F.lit(0)).alias("nv")))
+    return wasserstein_aligned(j, by)
+
+
+def shed_distance(df: DataFrame, key: str, rate: float, bytes_col: str = "bytes", width: int = 10000,
+                  mult: int = HASH_A) -> DataFrame:
+    """L5 for one shed rate: the full and the shed histogram are counted in
+    the same aggregate (``count`` and ``count_if(kept)``), so the input is
+    read once and no join is needed."""
+    h = (df.where(F.col(bytes_col).isNotNull()).groupBy(bucket_of(bytes_col, width).alias("bucket"))
+         .agg(F.count(F.lit(1)).alias("nu"), F.count_if(hash_keep(key, rate, mult)).alias("nv")))
+    return wasserstein_aligned(h)
+
+
 def _rate_index(key: str, steps: int, mult: int) -> Column:
     """Smallest grid index ``i`` whose rate ``i/steps`` keeps the row."""
     return (F.floor(unit_hash(key, mult) * F.lit(steps) / F.lit(HASH_RANGE)) + 1).cast("int")
 
 
+def _pre(df: DataFrame, key: str, bytes_col: str, width: int, steps: int, mult: int) -> DataFrame:
+    """Rows counted per ``(bucket, i_min)``: the only pass over the input."""
+    return (df.where(F.col(bytes_col).isNotNull())
+            .groupBy(bucket_of(bytes_col, width).alias("bucket"), _rate_index(key, steps, mult).alias("i_min"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def shed_sweep(df: DataFrame, key: str, bytes_col: str = "bytes", width: int = 10000,
                steps: int = 100, last: int = 98, mult: int = HASH_A) -> DataFrame:
     """L4: histogram of the rows kept at every rate ``i/steps``, ``i = 1..last``.
 
     Output: ``rate, bucket, n`` (buckets with no kept row are absent).
     """
-    pre = (df.where(F.col(bytes_col).isNotNull())
-           .groupBy(bucket_of(bytes_col, width).alias("bucket"), _rate_index(key, steps, mult).alias("i_min"))
-           .agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("i_min") <= last))
+    pre = _pre(df, key, bytes_col, width, steps, mult).where(F.col("i_min") <= last)
     exp = pre.select("bucket", "n", F.explode(F.sequence("i_min", F.lit(last))).alias("i"))
     return (exp.groupBy("i", "bucket").agg(F.sum("n").alias("n"))
             .select((F.col("i") / F.lit(steps)).alias("rate"), "bucket", "n"))
@@ -106,14 +127,16 @@ def shed_accuracy(df: DataFrame, key: str, bytes_col: str = "bytes", width: int
                   steps: int = 100, last: int = 98, mult: int = HASH_A) -> DataFrame:
     """Per rate, rows kept, distance to the full histogram, ``accuracy = 1 - distance``.
 
-    The full histogram is laid out once per rate with ``explode(sequence)``
-    (buckets x rates, both small) so that buckets emptied by shedding count
-    with weight 0, as in the union of both supports.
+    Each ``(bucket, i_min)`` count is laid out over every rate (a table of
+    buckets x rates, both small): it counts for the full histogram always and
+    for the shed one when ``i_min <= i``. Buckets emptied by shedding thus
+    count with weight 0, as in the union of both supports. One input pass.
     """
-    full = histogram(df, bytes_col, width)
-    grid = full.select(F.explode(F.sequence(F.lit(1), F.lit(last))).alias("i"), "bucket", "n")
-    grid = grid.select((F.col("i") / F.lit(steps)).alias("rate"), "bucket", "n")
-    sweep = shed_sweep(df, key, bytes_col, width, steps, last, mult)
-    d = wasserstein(grid, sweep, by=("rate",))
+    pre = _pre(df, key, bytes_col, width, steps, mult)
+    grid = pre.select("bucket", "i_min", "n", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("i"))
+    h = (grid.groupBy("i", "bucket")
+         .agg(F.sum("n").alias("nu"), F.sum(F.when(F.col("i_min") <= F.col("i"), F.col("n")).otherwise(0)).alias("nv"))
+         .select((F.col("i") / F.lit(steps)).alias("rate"), "bucket", "nu", "nv"))
+    d = wasserstein_aligned(h, by=("rate",))
     return d.select("rate", F.col("n_v").alias("n_kept"), "distance",
                     (F.lit(1.0) - F.col("distance")).alias("accuracy"))

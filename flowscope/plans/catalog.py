@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowscope import sources as src
 from flowscope.operators import logs, profile, shedding, traffic
-from flowscope.session import fresh_path
+from flowscope.session import fresh_path, stage
 from flowscope.sources import results as store
 from flowscope.sources.synth import synth_flows as _synth
 from flowscope import streaming as st
@@ -91,9 +91,12 @@ def _fl(spark, sf):
     return src.flows(spark, sf)
 
 
-def _agg(spark, sf, key, slide=True):
+def _agg(spark, sf, key, slide=True, staged=False):
+    """Keyed window aggregate; ``staged`` stores it once in the shared folder
+    for queries that read it more than once (self-joins, the snapshot)."""
     m = MONITOR
-    return keyed_window_agg(_fl(spark, sf), key, m["width"], m["slide"] if slide else None)
+    agg = keyed_window_agg(_fl(spark, sf), key, m["width"], m["slide"] if slide else None)
+    return stage(agg, f"agg-{key}") if staged else agg
 
 
 @query("flow_parse")
@@ -154,7 +157,7 @@ def ip_avg_sliding(spark, sf):
 # ---------------------------------------------------------------- flagship
 @query("heavy_protocols")
 def heavy_protocols(spark, sf):
-    return traffic.heavy_hitters(_agg(spark, sf, "protocol"), "protocol", MONITOR["h"])
+    return traffic.heavy_hitters(_agg(spark, sf, "protocol", staged=True), "protocol", MONITOR["h"])
 
 
 @query("topk_protocols")
@@ -164,12 +167,12 @@ def topk_protocols(spark, sf):
 
 @query("deviant_protocols")
 def deviant_protocols(spark, sf):
-    return traffic.deviants(_agg(spark, sf, "protocol"), "protocol", MONITOR["x"])
+    return traffic.deviants(_agg(spark, sf, "protocol", staged=True), "protocol", MONITOR["x"])
 
 
 @query("heavy_ips")
 def heavy_ips(spark, sf):
-    return traffic.heavy_hitters(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["h"])
+    return traffic.heavy_hitters(_agg(spark, sf, "source_ip", staged=True), "source_ip", MONITOR["h"])
 
 
 @query("topk_ips")
@@ -179,7 +182,7 @@ def topk_ips(spark, sf):
 
 @query("deviant_ips")
 def deviant_ips(spark, sf):
-    return traffic.deviants(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["x"])
+    return traffic.deviants(_agg(spark, sf, "source_ip", staged=True), "source_ip", MONITOR["x"])
 
 
 @query("latest_topk_protocols")
@@ -195,7 +198,8 @@ def latest_topk_ips(spark, sf):
 @query("monitor_snapshot")
 def monitor_snapshot(spark, sf):
     m = MONITOR
-    return traffic.snapshot(_agg(spark, sf, "protocol"), _agg(spark, sf, "source_ip"), m["h"], m["k"], m["x"])
+    return traffic.snapshot(_agg(spark, sf, "protocol", staged=True), _agg(spark, sf, "source_ip", staged=True),
+                            m["h"], m["k"], m["x"])
 
 
 # ---------------------------------------------------------------- shedding
@@ -220,9 +224,7 @@ def bytes_histogram(spark, sf):
 
 @query("histogram_wasserstein")
 def histogram_wasserstein(spark, sf):
-    rows = _shed_in(spark, sf)
-    return shedding.wasserstein(shedding.histogram(rows),
-                                shedding.histogram(shedding.hash_shed(rows, "event_id", SHED_RATE)))
+    return shedding.shed_distance(_shed_in(spark, sf), "event_id", SHED_RATE)
 
 
 @query("shed_sweep")

@@ -76,3 +76,17 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def stage(df, kind: str = "stage"):
+    """Write ``df`` once as parquet under the shared folder and return a scan of it.
+
+    Used where one intermediate (e.g. a keyed window aggregate) feeds several
+    consumers: they read the stored table instead of re-running the scan and
+    shuffles of the input, and the lineage is cut (a lost executor costs a
+    re-read, not a recomputation from the raw input).
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, kind)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
