@@ -357,3 +357,26 @@ def stream_hourly_bytes(spark, sf):
            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "ip", "bytes"))
     return run_to_end(spark, agg, None, kind="stream_hourly_bytes")
+
+
+@query("stream_running_total_by_protocol")
+def stream_running_total_by_protocol(spark, sf):
+    from flowscope.session import ensure_dir
+    from flowscope.streaming.runner import latest_rows, run_upsert_latest, running_total_stream
+    sink, ck = fresh_path(spark, "running-out"), fresh_path(spark, "running-ck")
+    q = run_upsert_latest(running_total_stream(st.flows_stream(spark, sf), "protocol"), sink, ck, mode="update")
+    q.awaitTermination()
+    ensure_dir(sink)
+    return latest_rows(spark.read.parquet(sink), ["protocol"])
+
+
+@query("stream_latest_topk_protocols")
+def stream_latest_topk_protocols(spark, sf):
+    from flowscope.session import ensure_dir
+    from flowscope.streaming.runner import latest_batch, latest_top_k_stream, run_upsert_latest
+    sink, ck = fresh_path(spark, "latest-out"), fresh_path(spark, "latest-ck")
+    top = latest_top_k_stream(_stream_agg(spark, sf, "protocol"), "protocol", MONITOR["k"])
+    q = run_upsert_latest(top, sink, ck, mode="complete")
+    q.awaitTermination()
+    ensure_dir(sink)
+    return latest_batch(spark.read.parquet(sink))

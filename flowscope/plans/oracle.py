@@ -273,3 +273,5 @@ for _name, _batch in (("stream_heavy_protocols", "heavy_protocols"), ("stream_to
 ORACLE["stream_hourly_bytes"] = (
     f"SELECT * FROM ({ORACLE['log_hourly_bytes']}) WHERE window_end <= "
     f"(WITH {LOG} SELECT max(datetime) FROM lg) - INTERVAL 10 MINUTE")
+ORACLE["stream_running_total_by_protocol"] = ORACLE["running_total_by_protocol"]
+ORACLE["stream_latest_topk_protocols"] = ORACLE["latest_topk_protocols"]

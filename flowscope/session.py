@@ -50,19 +50,32 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, taken from ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read here.
-    When it is unset (local runs and tests) a fresh folder is created once and
-    registered, so later calls in the same session reuse it.
+    When it is unset (local runs and tests) a fresh local folder is created
+    once and registered as the context's checkpoint folder, so later calls
+    in the same session reuse it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
+        try:
+            path = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext (e.g. a remote session)
+            path = None
+    if not path:
+        path = _LOCAL_DIRS.get(id(spark))
     if not path:
         path = tempfile.mkdtemp(prefix="flowscope-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir() or path
+        try:
+            spark.sparkContext.setCheckpointDir(path)
+            path = spark.sparkContext.getCheckpointDir() or path
+        except Exception:
+            pass
+        _LOCAL_DIRS[id(spark)] = path
     return path.rstrip("/")
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A new, unique sub-path of the shared folder (never reused, never cleared)."""
     base = shared_dir(spark)

@@ -79,9 +79,16 @@ def _stored_log(spark: SparkSession, sf_dir: str) -> str:
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for shared storage)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        try:
+            spark.read.parquet(path).schema  # noqa: B018 - raises when absent
+            return True
+        except Exception:
+            return False
 
 
 def valid_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:

@@ -80,6 +80,20 @@ def keyed_window_stream(stream: DataFrame, key: str | None, width: str, slide: s
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "bytes", "n")
 
 
+def running_total_stream(stream: DataFrame, key: str, value: str = "packet_size") -> DataFrame:
+    """Total bytes and rows per key since the start (no window, no
+    watermark); run it in ``update`` mode so each trigger emits changed keys."""
+    return stream.groupBy(key).agg(F.sum(value).alias("bytes"), F.count(F.lit(1)).alias("n"))
+
+
+def latest_top_k_stream(window_agg: DataFrame, key: str, k: int) -> DataFrame:
+    """O5 as originally run: global sort (window_start desc, bytes desc) + limit
+    over a windowed aggregate, valid in ``complete`` mode only. Complete mode
+    keeps every window in the state (the watermark has no effect there)."""
+    return (window_agg.select("window_start", "window_end", key, "bytes")
+            .orderBy(F.desc("window_start"), F.desc("bytes"), F.asc(key)).limit(k))
+
+
 def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str):
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True}))
@@ -102,6 +116,27 @@ def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], sink:
     return _writer(df, checkpoint, trigger, mode).foreachBatch(per_batch).start()
 
 
+def run_upsert_latest(df: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
+                      mode: str = "update") -> StreamingQuery:
+    """Update/complete mode into a file sink: every batch lands in its own
+    ``batch_id=`` partition (idempotent); ``latest_rows`` reads the newest
+    row per key back."""
+    return run_foreach_batch(df, lambda b: b, sink, checkpoint, trigger, mode)
+
+
+def latest_rows(stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Newest version of each key among stored update batches (``max_by`` on
+    ``batch_id``: a partial aggregate, no per-key sort)."""
+    vals = [c for c in stored.columns if c not in keys and c != "batch_id"]
+    latest = stored.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v"))
+    return latest.select(*keys, *[F.col("_v").getField(c).alias(c) for c in vals])
+
+
+def latest_batch(stored: DataFrame) -> DataFrame:
+    """Rows of the newest batch (the whole result in complete mode)."""
+    return stored.where(F.col("batch_id") == stored.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
 def run_append(df: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
                fmt: str = "parquet") -> StreamingQuery:
     """Append rows to a file sink (exactly-once through its commit log)."""

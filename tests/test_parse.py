@@ -67,3 +67,15 @@ def test_flow_format_roundtrip(spark):
     df = parse_flow_lines(_lines(spark, FLOW_LINES))
     back = [r.value for r in format_flow_lines(df).collect()]
     assert back == FLOW_LINES
+
+
+def test_output_schemas(spark):
+    from __spark_entry__ import queries
+    sf = "/root/testdata/sf0.001"
+    log = queries()["log_parse"](spark, sf).schema
+    assert [(f.name, f.dataType.simpleString()) for f in log] == \
+        [("ip", "string"), ("datetime", "timestamp_ntz"), ("bytes", "bigint")]
+    fl = queries()["flow_parse"](spark, sf).schema
+    assert [(f.name, f.dataType.simpleString()) for f in fl] == \
+        [("datetime", "timestamp_ntz"), ("protocol", "string"), ("source_ip", "string"),
+         ("destination_ip", "string"), ("packet_size", "int")]

@@ -37,3 +37,19 @@ def test_csv_sink_headerless(spark, tmp_dir):
     store.write_csv(spark.createDataFrame([("1.2.3.4", 5)], "ip string, bytes long"), path)
     text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path) if f.startswith("part-"))
     assert text.strip() == "1.2.3.4,5"
+
+
+def test_json_sink_and_text_stream_sink(spark, tmp_dir):
+    from flowscope.sources.flows import read_flow_text
+    from flowscope.streaming.runner import run_append
+    p = os.path.join(tmp_dir, "json")
+    store.write_json(_rows(spark), p)
+    assert spark.read.schema("func string, key string").json(p).count() == 3
+    src = os.path.join(tmp_dir, "lines")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("x 1\ny 2\n")
+    q = run_append(read_flow_text(spark, src, streaming=True), os.path.join(tmp_dir, "txt"),
+                   os.path.join(tmp_dir, "ck"), fmt="text")
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "txt")).collect()) == ["x 1", "y 2"]
