@@ -101,7 +101,7 @@ def _agg(spark, sf, key, slide=True, staged=False):
 
 @query("flow_parse")
 def flow_parse(spark, sf):
-    return src.parse_flow_lines(src.format_flow_lines(_fl(spark, sf)))
+    return src.parse_flow_lines(src.flow_lines(spark, sf))
 
 
 @query("format_flow_line")

@@ -1,8 +1,8 @@
-from flowscope.sources.tables import table, TABLES  # noqa: F401
+from flowscope.sources.tables import table, derived, TABLES  # noqa: F401
 from flowscope.sources.logs import (  # noqa: F401
     render_log_lines, read_log_text, log_lines, valid_log_lines, parse_log_lines, parsed_log,
     log_parse_rejects,
 )
 from flowscope.sources.flows import (  # noqa: F401
-    flow_view, flows, format_flow_lines, parse_flow_lines, read_flow_text, read_flow_socket,
+    flow_view, flows, flow_lines, format_flow_lines, parse_flow_lines, read_flow_text, read_flow_socket,
 )

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, flow_timestamp, ip_of_user
-from flowscope.sources.tables import table
+from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, ip_of_user
+from flowscope.sources.tables import derived, table
 
 FLOW_COLUMNS = ("datetime", "protocol", "source_ip", "destination_ip", "packet_size")
 
@@ -30,6 +30,12 @@ def flows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataF
     return flow_view(table(spark, sf_dir, "events"), keep)
 
 
+def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow feed of a table folder as text lines ``value``, rendered from
+    ``events`` once and stored in the shared folder (``tables.derived``)."""
+    return derived(spark, sf_dir, "flow-lines", "events", lambda ev: format_flow_lines(flow_view(ev)))
+
+
 def format_flow_lines(fl: DataFrame) -> DataFrame:
     """``yyyy-MM-dd_HH:mm:ss.SSS PROTO SRC DST SIZE`` (milliseconds)."""
     return fl.select(F.concat_ws(" ", F.date_format("datetime", FLOW_TIME_FORMAT), "protocol",
@@ -37,16 +43,32 @@ def format_flow_lines(fl: DataFrame) -> DataFrame:
                                  F.col("packet_size").cast("string")).alias("value"))
 
 
-def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
-    """X4 + X5: five-group extract, then typed columns (null on junk).
+_SEP = "\u0001"
 
-    A line that does not match gives ``''`` in every group, hence a null
-    datetime; such rows are dropped unless ``drop_bad`` is false.
+
+def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
+    """X4 + X5: the five groups of ``FLOW_LINE_PATTERN``, then typed columns.
+
+    One anchored ``regexp_replace`` evaluates the pattern once per line and
+    lays the groups out separated by ``\\u0001`` (the groups hold digits,
+    word characters and dots only); a line that does not match keeps a ``#``
+    prefix, so all its groups become ``''`` as with ``regexp_extract``, and
+    its timestamp cast fails. The timestamp group is cast to
+    ``timestamp_ntz`` (time-zone independent, null on junk). Rows with a null
+    datetime are dropped unless ``drop_bad`` is false.
     """
-    g = [F.regexp_extract("value", FLOW_LINE_PATTERN, i) for i in range(1, 6)]
-    out = lines.select(flow_timestamp(g[0]).alias("datetime"), g[1].alias("protocol"),
-                       g[2].alias("source_ip"), g[3].alias("destination_ip"),
-                       g[4].try_cast("int").alias("packet_size"))
+    body = FLOW_LINE_PATTERN[1:]  # pattern without its leading ^
+    laid = F.regexp_replace(F.concat(F.lit("#"), F.col("value")), "^#" + body,
+                            _SEP.join(f"${i}" for i in range(1, 6)))
+    g = lines.select(F.split(laid, _SEP).alias("_g"))
+    ok = ~F.element_at("_g", 1).startswith("#")
+
+    def grp(i):
+        return F.when(ok, F.element_at("_g", i)).otherwise(F.lit(""))
+
+    out = g.select(F.translate(F.element_at("_g", 1), "_", " ").try_cast("timestamp_ntz").alias("datetime"),
+                   grp(2).alias("protocol"), grp(3).alias("source_ip"), grp(4).alias("destination_ip"),
+                   F.when(ok, F.element_at("_g", 5)).try_cast("int").alias("packet_size"))
     return out.where(F.col("datetime").isNotNull()) if drop_bad else out
 
 

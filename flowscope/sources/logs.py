@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from flowscope.functions.parse import (
     LOG_TIME_FORMAT, bytes_present, field, ip_of_user, is_ipv4_host, last_field, log_timestamp,
 )
-from flowscope.sources.tables import table
+from flowscope.sources.tables import derived
 
 # Year-month of the rendered view: the events tables cover January 2024.
 EVENTS_YEAR_MONTH = "2024-01"
@@ -48,47 +48,9 @@ def render_log_lines(events: DataFrame) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The access log of a table folder: ``(event_id, value)``.
-
-    The lines are rendered from ``events`` once and stored as a parquet table
-    in the shared checkpoint folder (keyed by the events file's path, size and
-    modification time); later calls read the stored table, as a job reading
-    a log would. Rendering inline instead would let Catalyst push the
-    parser's filters into the rendering and duplicate it in every predicate.
-    """
-    return spark.read.parquet(_stored_log(spark, sf_dir))
-
-
-def _stored_log(spark: SparkSession, sf_dir: str) -> str:
-    import hashlib
-    import os
-
-    from flowscope.session import shared_dir
-
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    ident = src
-    if os.path.exists(src):
-        st = os.stat(src)
-        ident = f"{src}:{st.st_size}:{int(st.st_mtime)}"
-    path = f"{shared_dir(spark)}/access-log-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
-    marker = path.replace("file:", "") + "/_SUCCESS"
-    if not (os.path.exists(marker) or _exists(spark, path + "/_SUCCESS")):
-        render_log_lines(table(spark, sf_dir, "events")).write.mode("overwrite").parquet(path)
-    return path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system (works for shared storage)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:
-        try:
-            spark.read.parquet(path).schema  # noqa: B018 - raises when absent
-            return True
-        except Exception:
-            return False
+    """The access log of a table folder: ``(event_id, value)``, rendered from
+    ``events`` once and stored in the shared folder (``tables.derived``)."""
+    return derived(spark, sf_dir, "access-log", "events", render_log_lines)
 
 
 def valid_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:

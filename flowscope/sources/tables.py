@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -11,3 +15,40 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, source: str,
+            build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A table Spark derives from ``source`` (e.g. text lines rendered from
+    ``events``), written once as parquet in the shared checkpoint folder and
+    read back on every later call.
+
+    The folder name hashes the source file's path, size and modification
+    time, so a changed input gets a new table. Storing the derived input
+    mirrors production, where the lines are the stored input; rendering
+    them inside every query would let Catalyst push the parser's filters
+    into the rendering and evaluate it several times per row.
+    """
+    from flowscope.session import shared_dir
+
+    src = f"{sf_dir.rstrip('/')}/{source}.parquet"
+    ident = src
+    if os.path.exists(src):
+        st = os.stat(src)
+        ident = f"{src}:{st.st_size}:{int(st.st_mtime)}"
+    path = f"{shared_dir(spark)}/{name}-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
+    if not _exists(spark, path + "/_SUCCESS"):
+        build(table(spark, sf_dir, source)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system (works for shared storage)."""
+    if os.path.exists(path.replace("file:", "")):
+        return True
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        return False
