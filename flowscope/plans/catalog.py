@@ -329,9 +329,10 @@ STREAM_WATERMARK = "1 minute"
 LOG_WATERMARK = "10 minutes"
 
 
-def _stream_agg(spark, sf, key):
+def _stream_agg(spark, sf, key, panes=True):
     m = MONITOR
-    return st.keyed_window_stream(st.flows_stream(spark, sf), key, m["width"], m["slide"], STREAM_WATERMARK)
+    return st.keyed_window_stream(st.flows_stream(spark, sf), key, m["width"], m["slide"], STREAM_WATERMARK,
+                                  panes=panes)
 
 
 def _twin(name, key, fn):
@@ -375,7 +376,8 @@ def stream_latest_topk_protocols(spark, sf):
     from flowscope.session import ensure_dir
     from flowscope.streaming.runner import latest_batch, latest_top_k_stream, run_upsert_latest
     sink, ck = fresh_path(spark, "latest-out"), fresh_path(spark, "latest-ck")
-    top = latest_top_k_stream(_stream_agg(spark, sf, "protocol"), "protocol", MONITOR["k"])
+    # complete mode allows one stateful operator only: direct windows, no panes
+    top = latest_top_k_stream(_stream_agg(spark, sf, "protocol", panes=False), "protocol", MONITOR["k"])
     q = run_upsert_latest(top, sink, ck, mode="complete")
     q.awaitTermination()
     ensure_dir(sink)

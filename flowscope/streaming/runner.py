@@ -23,6 +23,7 @@ trigger and never drops late rows or state; it is offered for the global
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Callable
 
@@ -69,13 +70,33 @@ def log_stream(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def keyed_window_stream(stream: DataFrame, key: str | None, width: str, slide: str | None = None,
                         watermark: str = "1 minute", value: str = "packet_size",
-                        time_col: str = "datetime") -> DataFrame:
+                        time_col: str = "datetime", panes: bool = True) -> DataFrame:
     """T2 + T3: watermarked window aggregate; output like ``keyed_window_agg``
-    (bounds back as TIMESTAMP_NTZ)."""
+    (bounds back as TIMESTAMP_NTZ).
+
+    With a slide shorter than the width, rows are first aggregated into panes
+    of ``gcd(width, slide)`` and the panes into windows by a second, chained
+    stateful aggregation on ``window_time(pane)`` (the pane's last instant),
+    which lies in exactly the windows that contain the whole pane. Each row
+    then updates one state entry instead of ``width/slide``; results equal
+    the direct form (tested). Complete mode supports a single stateful
+    operator only, so pass ``panes=False`` there.
+    """
+    from flowscope.operators.windows import seconds
+
     keys = [key] if key else []
-    w = F.window(time_col, width, slide) if slide else F.window(time_col, width)
-    agg = (stream.withWatermark(time_col, watermark).groupBy(w.alias("w"), *keys)
-           .agg(F.sum(value).alias("bytes"), F.count(value).alias("n")))
+    wm = stream.withWatermark(time_col, watermark)
+    t = seconds(width)
+    sl = seconds(slide) if slide else t
+    if panes and sl != t:
+        g = math.gcd(t, sl)
+        p = (wm.groupBy(F.window(time_col, f"{g} seconds").alias("pw"), *keys)
+             .agg(F.sum(value).alias("_b"), F.count(value).alias("_n")))
+        agg = (p.groupBy(F.window(F.window_time("pw"), f"{t} seconds", f"{sl} seconds").alias("w"), *keys)
+               .agg(F.sum("_b").alias("bytes"), F.sum("_n").alias("n")))
+    else:
+        w = F.window(time_col, f"{t} seconds", f"{sl} seconds")
+        agg = wm.groupBy(w.alias("w"), *keys).agg(F.sum(value).alias("bytes"), F.count(value).alias("n"))
     return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "bytes", "n")
 
@@ -187,11 +208,14 @@ def change_parameters(spark: SparkSession, running: StreamingQuery | None, build
     """New H, T, k or X -> stop the running query, start the new plan.
 
     The window width is part of the aggregation state, so the new query gets
-    a fresh checkpoint folder; it writes to the same sink (new batch ids
-    start at 0 in a new ``run=`` sub-folder would be a caller's choice).
+    a fresh checkpoint folder, and its output goes to its own
+    ``sink/run=<id>`` folder (its batch ids restart at 0 and must not
+    replace the previous run's partitions). ``read_sink(sink)`` returns all
+    runs with a ``run`` column.
     """
     if running is not None:
         running.stop()
     ck = fresh_path(spark, "stream-ck")
+    out = f"{sink.rstrip('/')}/run={ck.rsplit('-', 1)[-1]}"
     df = build()
-    return run_foreach_batch(df, fn, sink, ck, trigger) if fn else run_append(df, sink, ck, trigger)
+    return run_foreach_batch(df, fn, out, ck, trigger) if fn else run_append(df, out, ck, trigger)

@@ -66,3 +66,29 @@ def test_foreach_batch_stream_equals_batch(spark):
     closed = batch.where(F.col("window_end") <= F.lit(max_ts - dt.timedelta(minutes=1)))
     assert out.count() > 0
     assert out.exceptAll(closed).count() == 0 and closed.exceptAll(out).count() == 0
+
+
+def test_stream_panes_equal_direct(spark):
+    from flowscope.streaming.runner import flows_stream
+    sf = "/root/testdata/sf0.001"
+    a = run_to_end(spark, keyed_window_stream(flows_stream(spark, sf), "source_ip", "1 hour", "15 minutes",
+                                              panes=True), None, kind="t-panes")
+    b = run_to_end(spark, keyed_window_stream(flows_stream(spark, sf), "source_ip", "1 hour", "15 minutes",
+                                              panes=False), None, kind="t-direct")
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_change_parameters_restarts_on_new_checkpoint(spark, tmp_dir):
+    from flowscope.operators import traffic
+    from flowscope.streaming.runner import change_parameters, flows_stream, read_sink
+    sf = "/root/testdata/sf0.001"
+    sink = os.path.join(tmp_dir, "sink")
+    q1 = change_parameters(spark, None, lambda: keyed_window_stream(flows_stream(spark, sf), "protocol", "1 hour"),
+                           lambda b: traffic.top_k(b, "protocol", 1), sink)
+    q1.awaitTermination()
+    n1 = read_sink(spark, sink).count()
+    q2 = change_parameters(spark, q1, lambda: keyed_window_stream(flows_stream(spark, sf), "protocol", "2 hours"),
+                           lambda b: traffic.top_k(b, "protocol", 1), sink)
+    q2.awaitTermination()
+    runs = read_sink(spark, sink).groupBy("run").count().collect()
+    assert n1 > 0 and q2.id != q1.id and len(runs) == 2
