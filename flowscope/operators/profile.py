@@ -40,7 +40,7 @@ def chain_profile(df: DataFrame, key: str, rate_a: float, rate_b: float,
     a, b = hash_keep(key, rate_a, HASH_A), hash_keep(key, rate_b, HASH_B)
     c = df.agg(F.count(F.lit(1)).alias("n_in"), F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b"),
                F.count_if(a & b).alias("n_ab"))
-    sel_a, sel_b = F.col("n_a") / F.col("n_in"), F.col("n_b") / F.col("n_in")
+    sel_a, sel_b = F.try_divide("n_a", "n_in"), F.try_divide("n_b", "n_in")
     out = c.select("*", sel_a.alias("sel_a"), sel_b.alias("sel_b"))
     out = out.select("*", (_c(cost_a) + F.col("sel_a") * _c(cost_b)).alias("cost_ab"),
                      (_c(cost_b) + F.col("sel_b") * _c(cost_a)).alias("cost_ba"))

@@ -70,7 +70,7 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero") -> DataFr
 
     Output: ``window_start, window_end, key, avg_size``.
     """
-    means = agg.select(*WIN, key, (F.col("bytes") / F.col("n")).alias("avg_size"))
+    means = agg.select(*WIN, key, F.try_divide("bytes", "n").alias("avg_size"))
     stats = means.groupBy(*WIN).agg(F.stddev_pop("avg_size").alias("_sd"), F.avg("avg_size").alias("_mu"))
     bound = F.lit(float(x)) * F.col("_sd")
     if center == "mean":

@@ -72,7 +72,7 @@ def window_bytes(fl: DataFrame, key: str | None, width, slide=None, **kw) -> Dat
 def window_avg(fl: DataFrame, key: str, width, slide=None, **kw) -> DataFrame:
     """Mean packet size per key and window, ``avg_size = bytes / n``."""
     agg = keyed_window_agg(fl, key, width, slide, **kw)
-    return agg.select("window_start", "window_end", key, (F.col("bytes") / F.col("n")).alias("avg_size"))
+    return agg.select("window_start", "window_end", key, F.try_divide("bytes", "n").alias("avg_size"))
 
 
 def grand_total(fl: DataFrame, value: str = "packet_size") -> DataFrame:

@@ -329,7 +329,7 @@ STREAM_WATERMARK = "1 minute"
 LOG_WATERMARK = "10 minutes"
 
 
-def _stream_agg(spark, sf, key, panes=True):
+def _stream_agg(spark, sf, key, panes="auto"):
     m = MONITOR
     return st.keyed_window_stream(st.flows_stream(spark, sf), key, m["width"], m["slide"], STREAM_WATERMARK,
                                   panes=panes)

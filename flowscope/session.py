@@ -20,13 +20,32 @@ BASE_CONF = {
 }
 
 
+# Suggested additions for a large cluster (100 TB inputs, ~1000 executors).
+# Shuffle partitions start high and AQE coalesces them to ~256 MB each, so
+# a stage never has partitions that outgrow executor memory; input splits
+# stay at 256 MB; skewed shuffle partitions are split; streaming state goes
+# to RocksDB (off-heap, spills to local disk, checkpointed to the shared
+# checkpoint folder) instead of the JVM heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "flowscope", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the library expects.
 
     On a cluster pass neither ``master`` nor ``shuffle_partitions``: the
-    launcher decides the master and AQE coalesces shuffle partitions from
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    launcher decides the master; pass ``extra=CLUSTER_CONF`` (or the
+    launcher's own values) for shuffle sizing and the streaming state store.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
