@@ -5,11 +5,15 @@ the row count; averages are derived as ``bytes / n`` so that sliding windows
 can be assembled from smaller panes.
 
 Pane pre-aggregation: with width T and slide S, a direct sliding window
-copies every input row into T/S windows before the partial aggregate. Here
-rows are first aggregated into panes of ``gcd(T, S)`` (one hash probe per
-row, and the shuffle carries one row per pane and key), and only the pane
-rows are expanded into their T/S windows and re-aggregated. Results are
-identical because every window boundary is a pane boundary.
+copies every input row into T/S windows before the partial aggregate. With
+panes, rows are first aggregated into panes of ``gcd(T, S)`` (one hash
+probe per row, and the shuffle carries one row per pane and key), and only
+the pane rows are expanded into their T/S windows and re-aggregated.
+Results are identical because every window boundary is a pane boundary.
+Panes add a second (small) shuffle, so ``panes='auto'`` uses them when the
+fan-out T/S is at least ``PANE_MIN_FANOUT``; measured at sf0.1, panes were
+slower at T/S = 4 (0.68 s vs 0.46 s) and faster at T/S = 60 with many keys
+(5.4 s vs 8.4 s).
 """
 
 from __future__ import annotations
@@ -42,8 +46,11 @@ def _bounds(w: Column) -> list[Column]:
     return [w.getField("start").alias("window_start"), w.getField("end").alias("window_end")]
 
 
+PANE_MIN_FANOUT = 8
+
+
 def keyed_window_agg(fl: DataFrame, key: str | None, width, slide=None, value: str = "packet_size",
-                     time_col: str = "datetime", panes: bool = True) -> DataFrame:
+                     time_col: str = "datetime", panes: bool | str = "auto") -> DataFrame:
     """Sum and count of ``value`` per window (and ``key``; ``None`` = all rows).
 
     Output: ``window_start, window_end, [key,] bytes, n``.
@@ -51,6 +58,8 @@ def keyed_window_agg(fl: DataFrame, key: str | None, width, slide=None, value: s
     t = seconds(width)
     s = seconds(slide) if slide is not None else t
     keys = [key] if key else []
+    if panes == "auto":
+        panes = t // s >= PANE_MIN_FANOUT
     if not panes or s == t:
         w = F.window(time_col, _dur(t), _dur(s))
         return (fl.groupBy(w.alias("w"), *keys)

@@ -68,9 +68,6 @@ def log_stream(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return as_event_time(parse_log_lines(lines, EVENTS_YEAR_MONTH))
 
 
-PANE_MIN_FANOUT = 8
-
-
 def keyed_window_stream(stream: DataFrame, key: str | None, width: str, slide: str | None = None,
                         watermark: str = "1 minute", value: str = "packet_size",
                         time_col: str = "datetime", panes: bool | str = "auto") -> DataFrame:
@@ -88,7 +85,7 @@ def keyed_window_stream(stream: DataFrame, key: str | None, width: str, slide: s
     ``width/slide >= PANE_MIN_FANOUT``. Complete mode supports a single
     stateful operator only, so pass ``panes=False`` there.
     """
-    from flowscope.operators.windows import seconds
+    from flowscope.operators.windows import PANE_MIN_FANOUT, seconds
 
     keys = [key] if key else []
     wm = stream.withWatermark(time_col, watermark)
