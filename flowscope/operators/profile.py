@@ -131,14 +131,20 @@ def ratio_to_max(mean: DataFrame, base_variant: str = "A_B") -> DataFrame:
     return mean.select("experiment", "variant", "param", (F.col("value") / mx).alias("ratio"))
 
 
-def minmax_scale(df: DataFrame, col: str, by: tuple[str, ...] = (), out: str = "scaled") -> DataFrame:
-    """``(x - min) / (max - min)`` over all rows (per ``by`` group).
-
-    Without groups the bounds come from one scalar subquery (a one-row
-    aggregate run once); with groups they are one row per group joined back on the keys.
-    Null when the span is 0.
+def minmax_scale(df: DataFrame, col: str, by: tuple[str, ...] = (), out: str = "scaled",
+                 bounded: bool = False) -> DataFrame:
+    """``(x - min) / (max - min)`` over all rows (per ``by`` group);
+    null when the span is 0.
+
+    * ``bounded=True`` (the input's size is fixed by a parameter grid, e.g.
+      one row per shed rate): min and max are window aggregates, one pass.
+    * with groups: one row per group of bounds, joined back on the keys.
+    * otherwise: one scalar subquery (a one-row aggregate, run once).
     """
-    if by:
+    if bounded:
+        w = Window.partitionBy(*by)
+        j, lo, hi = df, F.min(col).over(w), F.max(col).over(w)
+    elif by:
         mm = df.groupBy(*by).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
         j = df.join(mm, list(by))
         lo, hi = F.col("_lo"), F.col("_hi")

@@ -282,7 +282,8 @@ def ratio_to_max(spark, sf):
 
 @query("minmax_scale")
 def minmax_scale(spark, sf):
-    return profile.minmax_scale(shed_accuracy(spark, sf), "n_kept", out="load")
+    # one row per shed rate: bounded by the rate grid
+    return profile.minmax_scale(shed_accuracy(spark, sf), "n_kept", out="load", bounded=True)
 
 
 @query("weights_to_cdf")

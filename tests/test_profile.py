@@ -35,8 +35,9 @@ def test_series_shape_and_means(spark):
 
 def test_minmax_scale(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 9.0)], "k int, x double")
-    got = [r.scaled for r in profile.minmax_scale(df, "x").orderBy("k").collect()]
-    assert got == [0.0, 0.5, 1.0]
+    for kw in ({}, {"bounded": True}):
+        got = [r.scaled for r in profile.minmax_scale(df, "x", **kw).orderBy("k").collect()]
+        assert got == [0.0, 0.5, 1.0]
 
 
 def test_weights_to_cdf_ends_at_one(spark):
