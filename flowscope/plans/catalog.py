@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowscope import sources as src
-from flowscope.operators import logs, profile, shedding, traffic
-from flowscope.session import fresh_path, stage
-from flowscope.sources import results as store
-from flowscope.sources.synth import synth_flows as _synth
 from flowscope import streaming as st
-from flowscope.streaming.runner import run_to_end
+from flowscope.operators import logs, profile, shedding, traffic
 from flowscope.operators.windows import (
     grand_total, keyed_window_agg, running_total, window_avg, window_bytes,
 )
+from flowscope.session import ensure_dir, fresh_path, stage
+from flowscope.sources import results as store
+from flowscope.sources.synth import synth_flows as _synth
+from flowscope.streaming.runner import (
+    latest_batch, latest_rows, latest_top_k_stream, run_to_end, run_upsert_latest, running_total_stream,
+)
 
 # Monitoring parameters for the tables: 30 days of events, so T is an hour
 # sliding by 15 minutes; H is a fraction, k a count, X a multiplier.
@@ -363,8 +365,6 @@ def stream_hourly_bytes(spark, sf):
 
 @query("stream_running_total_by_protocol")
 def stream_running_total_by_protocol(spark, sf):
-    from flowscope.session import ensure_dir
-    from flowscope.streaming.runner import latest_rows, run_upsert_latest, running_total_stream
     sink, ck = fresh_path(spark, "running-out"), fresh_path(spark, "running-ck")
     q = run_upsert_latest(running_total_stream(st.flows_stream(spark, sf), "protocol"), sink, ck, mode="update")
     q.awaitTermination()
@@ -374,8 +374,6 @@ def stream_running_total_by_protocol(spark, sf):
 
 @query("stream_latest_topk_protocols")
 def stream_latest_topk_protocols(spark, sf):
-    from flowscope.session import ensure_dir
-    from flowscope.streaming.runner import latest_batch, latest_top_k_stream, run_upsert_latest
     sink, ck = fresh_path(spark, "latest-out"), fresh_path(spark, "latest-ck")
     # complete mode allows one stateful operator only: direct windows, no panes
     top = latest_top_k_stream(_stream_agg(spark, sf, "protocol", panes=False), "protocol", MONITOR["k"])
