@@ -24,7 +24,7 @@ _P16 = 65536
 
 def unit_hash(key, mult: int = HASH_A) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    x = F.pmod(k.cast("bigint"), F.lit(_P32))
+    x = F.pmod(k.try_cast("bigint"), F.lit(_P32))
     lo = F.pmod(x, F.lit(_P16))
     hi = F.shiftright(x, 16)
     prod = F.pmod(lo * F.lit(mult) + F.pmod(hi * F.lit(mult), F.lit(_P16)) * F.lit(_P16), F.lit(_P32))

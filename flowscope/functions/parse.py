@@ -28,9 +28,10 @@ def _col(c) -> Column:
 
 
 def field(line, i: int) -> Column:
-    """Field ``i`` (0-based, negative from the end) of a space-split line."""
+    """Field ``i`` (0-based, negative from the end) of a space-split line;
+    null when the line is shorter (never an ANSI index error)."""
     parts = F.split(_col(line), " ")
-    return F.element_at(parts, i + 1 if i >= 0 else i)
+    return F.try_element_at(parts, F.lit(i + 1 if i >= 0 else i))
 
 
 def last_field(line) -> Column:

@@ -51,7 +51,7 @@ def shed_input(lines: DataFrame, key: str = "event_id") -> DataFrame:
     """Lines whose last character is not ``-`` -> ``(key, bytes)``; like the
     shedding job, no host test is applied."""
     kept = lines.where(~F.col("value").endswith("-"))
-    return kept.select(key, F.element_at(F.split("value", " "), -1).try_cast("bigint").alias("bytes"))
+    return kept.select(key, F.try_element_at(F.split("value", " "), F.lit(-1)).try_cast("bigint").alias("bytes"))
 
 
 def histogram(df: DataFrame, bytes_col: str = "bytes", width: int = 10000) -> DataFrame:

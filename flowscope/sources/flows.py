@@ -23,7 +23,7 @@ def flow_view(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("event_type").alias("protocol"),
         ip_of_user(F.col("user_id")).alias("source_ip"),
         F.concat(F.lit("10.1.0."), F.pmod(F.col("event_id"), F.lit(200)).cast("string")).alias("destination_ip"),
-        F.round(F.col("value") * 100).cast("int").alias("packet_size"))
+        F.round(F.col("value") * 100).try_cast("int").alias("packet_size"))
 
 
 def flows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -61,14 +61,14 @@ def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
     laid = F.regexp_replace(F.concat(F.lit("#"), F.col("value")), "^#" + body,
                             _SEP.join(f"${i}" for i in range(1, 6)))
     g = lines.select(F.split(laid, _SEP).alias("_g"))
-    ok = ~F.element_at("_g", 1).startswith("#")
+    ok = ~F.try_element_at("_g", F.lit(1)).startswith("#")
 
     def grp(i):
-        return F.when(ok, F.element_at("_g", i)).otherwise(F.lit(""))
+        return F.when(ok, F.try_element_at("_g", F.lit(i))).otherwise(F.lit(""))
 
-    out = g.select(F.translate(F.element_at("_g", 1), "_", " ").try_cast("timestamp_ntz").alias("datetime"),
+    out = g.select(F.translate(F.try_element_at("_g", F.lit(1)), "_", " ").try_cast("timestamp_ntz").alias("datetime"),
                    grp(2).alias("protocol"), grp(3).alias("source_ip"), grp(4).alias("destination_ip"),
-                   F.when(ok, F.element_at("_g", 5)).try_cast("int").alias("packet_size"))
+                   F.when(ok, F.try_element_at("_g", F.lit(5))).try_cast("int").alias("packet_size"))
     return out.where(F.col("datetime").isNotNull()) if drop_bad else out
 
 

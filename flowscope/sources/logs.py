@@ -68,8 +68,8 @@ def parse_log_lines(lines: DataFrame, year_month: str = "2020-01", strict: bool
     gives nulls and is dropped here; ``log_parse_rejects`` counts it.
     """
     parts = lines.select(*keep, F.split("value", " ").alias("_f"))
-    fields = parts.select(*keep, F.element_at("_f", 1).alias("ip"), F.element_at("_f", 2).alias("_stamp"),
-                          F.element_at("_f", -1).alias("_last"))
+    fields = parts.select(*keep, F.try_element_at("_f", F.lit(1)).alias("ip"), F.try_element_at("_f", F.lit(2)).alias("_stamp"),
+                          F.try_element_at("_f", F.lit(-1)).alias("_last"))
     valid = fields.where(is_ipv4_host("ip", strict) & (F.col("_last") != "-"))
     parsed = valid.select(*keep, "ip", log_timestamp("_stamp", year_month).alias("datetime"),
                           F.col("_last").try_cast("bigint").alias("bytes"))
