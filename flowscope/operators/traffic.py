@@ -7,11 +7,11 @@ protocols, source and destination addresses.
 
 Scale notes
 * Per-window statistics (total, spread) are aggregated separately (partial
-  aggregation, one row per window) and joined back on the window. The
-  statistics side is one row per window; AQE measures it at run time and
-  broadcasts it when it is small, otherwise the join is a sort-merge join
-  with skew splitting. No operator gathers all keys of a window into one
-  task.
+  aggregation, one row per window) and joined back on the window. Callers
+  may pass the statistics already sized by ``sized_side``: its row count is
+  measured, and it is broadcast only under a row bound, otherwise joined by
+  a shuffle (sort-merge, AQE skew splitting). No operator gathers all keys
+  of a window into one task.
 * Top-k per window filters ``row_number() <= k``; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so each task ships at most k rows
   per window.
@@ -26,19 +26,33 @@ from pyspark.sql import functions as F
 
 WIN = ["window_start", "window_end"]
 
+# Statistics tables with at most this many rows (one per window; ~40 bytes
+# each in memory) are broadcast; larger ones are joined by a shuffle.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def sized_side(stats: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Measure a small join side (one action: a count of its rows) and mark
+    it for broadcast when ``rows <= max_rows``; otherwise force a shuffle
+    join, so that the optimizer cannot broadcast it from a size estimate
+    (estimates come from compressed file sizes and can be far too small)."""
+    return F.broadcast(stats) if stats.count() <= max_rows else stats.hint("shuffle_merge")
+
 
 def window_totals(agg: DataFrame) -> DataFrame:
     """A9 from the keyed aggregate: total bytes per window."""
     return agg.groupBy(*WIN).agg(F.sum("bytes").alias("total_bytes"))
 
 
-def heavy_hitters(agg: DataFrame, key: str, h: float) -> DataFrame:
+def heavy_hitters(agg: DataFrame, key: str, h: float, totals: DataFrame | None = None) -> DataFrame:
     """keys whose bytes exceed ``h`` (a fraction) of the window total.
 
-    Output: ``window_start, window_end, key, bytes, total_bytes, share``.
-    At most ``floor(1/h)`` keys per window can pass.
+    ``totals`` defaults to ``window_totals(agg)`` (pass it sized, see
+    ``sized_side``). Output: ``window_start, window_end, key, bytes,
+    total_bytes, share``. At most ``floor(1/h)`` keys per window can pass.
     """
-    j = agg.select(*WIN, key, "bytes").join(window_totals(agg), WIN)
+    totals = window_totals(agg) if totals is None else totals
+    j = agg.select(*WIN, key, "bytes").join(totals, WIN)
     return (j.where(F.col("bytes") > F.lit(float(h)) * F.col("total_bytes"))
             .select(*WIN, key, "bytes", "total_bytes",
                     (F.col("bytes") / F.col("total_bytes")).alias("share")))
@@ -63,15 +77,27 @@ def latest_top_k(agg: DataFrame, key: str, k: int) -> DataFrame:
             .orderBy(F.desc("window_start"), F.desc("bytes"), F.asc(key)).limit(k))
 
 
-def deviants(agg: DataFrame, key: str, x: float, center: str = "zero") -> DataFrame:
+def key_means(agg: DataFrame, key: str) -> DataFrame:
+    return agg.select(*WIN, key, F.try_divide("bytes", "n").alias("avg_size"))
+
+
+def window_spread(agg: DataFrame, key: str) -> DataFrame:
+    """Per window, population standard deviation (``_sd``) and mean
+    (``_mu``) of the per-key mean packet sizes."""
+    return (key_means(agg, key).groupBy(*WIN)
+            .agg(F.stddev_pop("avg_size").alias("_sd"), F.avg("avg_size").alias("_mu")))
+
+
+def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: DataFrame | None = None) -> DataFrame:
     """keys whose mean packet size exceeds ``x`` times the population
     standard deviation of the per-key means of the same window
     (``center='mean'`` adds the mean of those means to the bound).
 
+    ``stats`` defaults to ``window_spread(agg, key)`` (pass it sized).
     Output: ``window_start, window_end, key, avg_size``.
     """
-    means = agg.select(*WIN, key, F.try_divide("bytes", "n").alias("avg_size"))
-    stats = means.groupBy(*WIN).agg(F.stddev_pop("avg_size").alias("_sd"), F.avg("avg_size").alias("_mu"))
+    means = key_means(agg, key)
+    stats = window_spread(agg, key) if stats is None else stats
     bound = F.lit(float(x)) * F.col("_sd")
     if center == "mean":
         bound = F.col("_mu") + bound
@@ -79,27 +105,27 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero") -> DataFr
 
 
 def snapshot(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: float,
-             protocol_key: str = "protocol", ip_key: str = "source_ip") -> DataFrame:
+             protocol_key: str = "protocol", ip_key: str = "source_ip", sized: bool = False) -> DataFrame:
     """The six results of every window as one long table
     ``window_start, window_end, func, key, value`` (``func1`` .. ``func6``).
 
     ``value`` is the share (func1/4), the bytes (func2/5) or the mean size
     (func3/6). A union of the six results replaces the per-window document
     of six lists: the rows stay distributed instead of being gathered per
-    window.
+    window. ``sized`` measures the per-window statistics first (``sized_side``).
     """
-    parts = [
-        heavy_hitters(protocol_agg, protocol_key, h).select(*WIN, F.lit("func1").alias("func"),
-                                                            F.col(protocol_key).alias("key"), F.col("share").alias("value")),
-        top_k(protocol_agg, protocol_key, k).select(*WIN, F.lit("func2").alias("func"),
-                                                    F.col(protocol_key).alias("key"), F.col("bytes").cast("double").alias("value")),
-        deviants(protocol_agg, protocol_key, x).select(*WIN, F.lit("func3").alias("func"),
-                                                       F.col(protocol_key).alias("key"), F.col("avg_size").alias("value")),
-        heavy_hitters(ip_agg, ip_key, h).select(*WIN, F.lit("func4").alias("func"),
-                                                F.col(ip_key).alias("key"), F.col("share").alias("value")),
-        top_k(ip_agg, ip_key, k).select(*WIN, F.lit("func5").alias("func"),
-                                        F.col(ip_key).alias("key"), F.col("bytes").cast("double").alias("value")),
-        deviants(ip_agg, ip_key, x).select(*WIN, F.lit("func6").alias("func"),
-                                           F.col(ip_key).alias("key"), F.col("avg_size").alias("value")),
-    ]
+    def side(stats: DataFrame) -> DataFrame:
+        return sized_side(stats) if sized else stats
+
+    def rows(df: DataFrame, func: str, key: str, value) -> DataFrame:
+        return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))
+
+    parts = []
+    for agg, key, funcs in ((protocol_agg, protocol_key, ("func1", "func2", "func3")),
+                            (ip_agg, ip_key, ("func4", "func5", "func6"))):
+        parts += [
+            rows(heavy_hitters(agg, key, h, side(window_totals(agg))), funcs[0], key, F.col("share")),
+            rows(top_k(agg, key, k), funcs[1], key, F.col("bytes")),
+            rows(deviants(agg, key, x, stats=side(window_spread(agg, key))), funcs[2], key, F.col("avg_size")),
+        ]
     return reduce(DataFrame.unionByName, parts)

@@ -159,7 +159,8 @@ def ip_avg_sliding(spark, sf):
 # ---------------------------------------------------------------- flagship
 @query("heavy_protocols")
 def heavy_protocols(spark, sf):
-    return traffic.heavy_hitters(_agg(spark, sf, "protocol", staged=True), "protocol", MONITOR["h"])
+    agg = _agg(spark, sf, "protocol", staged=True)
+    return traffic.heavy_hitters(agg, "protocol", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg)))
 
 
 @query("topk_protocols")
@@ -169,12 +170,14 @@ def topk_protocols(spark, sf):
 
 @query("deviant_protocols")
 def deviant_protocols(spark, sf):
-    return traffic.deviants(_agg(spark, sf, "protocol", staged=True), "protocol", MONITOR["x"])
+    agg = _agg(spark, sf, "protocol", staged=True)
+    return traffic.deviants(agg, "protocol", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "protocol")))
 
 
 @query("heavy_ips")
 def heavy_ips(spark, sf):
-    return traffic.heavy_hitters(_agg(spark, sf, "source_ip", staged=True), "source_ip", MONITOR["h"])
+    agg = _agg(spark, sf, "source_ip", staged=True)
+    return traffic.heavy_hitters(agg, "source_ip", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg)))
 
 
 @query("topk_ips")
@@ -184,7 +187,8 @@ def topk_ips(spark, sf):
 
 @query("deviant_ips")
 def deviant_ips(spark, sf):
-    return traffic.deviants(_agg(spark, sf, "source_ip", staged=True), "source_ip", MONITOR["x"])
+    agg = _agg(spark, sf, "source_ip", staged=True)
+    return traffic.deviants(agg, "source_ip", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "source_ip")))
 
 
 @query("latest_topk_protocols")
@@ -201,7 +205,7 @@ def latest_topk_ips(spark, sf):
 def monitor_snapshot(spark, sf):
     m = MONITOR
     return traffic.snapshot(_agg(spark, sf, "protocol", staged=True), _agg(spark, sf, "source_ip", staged=True),
-                            m["h"], m["k"], m["x"])
+                            m["h"], m["k"], m["x"], sized=True)
 
 
 # ---------------------------------------------------------------- shedding
