@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 # a host that merely contains a quad passes.
 IPV4_PATTERN = (r"(([01]{0,1}\d{0,1}\d|2[0-4]\d|25[0-5])\.){3}"
                 r"([01]{0,1}\d{0,1}\d|2[0-4]\d|25[0-5])")
-# Flow line "yyyy-MM-dd_HH:mm:ss.SSS PROTO SRC DST SIZE", five groups; the
-# dots of the original pattern are escaped here.
-FLOW_LINE_PATTERN = (r"^([0-9]*-[0-9]*-[0-9]*_[0-9]*:[0-9]*:[0-9]*\.[0-9]*)\s*(\w*)\s*"
-                     r"([0-9]*\.[0-9]*\.[0-9]*\.[0-9]*)\s*([0-9]*\.[0-9]*\.[0-9]*\.[0-9]*)\s*([0-9]*)$")
+# Flow line "yyyy-MM-dd_HH:mm:ss.SSS PROTO SRC DST SIZE", five groups, as in
+# the original (its unescaped '.' matches any character).
+FLOW_LINE_PATTERN = r'^([0-9]*-[0-9]*-[0-9]*_[0-9]*:[0-9]*:[0-9]*.[0-9]*)\s*(\w*)\s*([0-9]*.[0-9]*.[0-9]*.[0-9]*)\s*([0-9]*.[0-9]*.[0-9]*.[0-9]*)\s*([0-9]*)$'
 FLOW_TIME_FORMAT = "yyyy-MM-dd_HH:mm:ss.SSS"
 LOG_TIME_FORMAT = "dd:HH:mm:ss"  # written inside square brackets
 # -----------------------------------------------------------------------------

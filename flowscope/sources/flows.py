@@ -50,8 +50,8 @@ def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
     """X4 + X5: the five groups of ``FLOW_LINE_PATTERN``, then typed columns.
 
     One anchored ``regexp_replace`` evaluates the pattern once per line and
-    lays the groups out separated by ``\\u0001`` (the groups hold digits,
-    word characters and dots only); a line that does not match keeps a ``#``
+    lays the groups out separated by ``\\u0001`` (a control character that
+    does not occur in flow lines); a line that does not match keeps a ``#``
     prefix, so all its groups become ``''`` as with ``regexp_extract``, and
     its timestamp cast fails. The timestamp group is cast to
     ``timestamp_ntz`` (time-zone independent, null on junk). Rows with a null
