@@ -104,6 +104,24 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: Da
     return means.join(stats, WIN).where(F.col("avg_size") > bound).select(*WIN, key, "avg_size")
 
 
+def monitor_rows(agg: DataFrame, key: str, h: float, k: int, x: float,
+                 funcs: tuple[str, str, str] = ("func1", "func2", "func3"), sized: bool = False) -> DataFrame:
+    """Heavy hitters, top-k and deviants of one keyed aggregate as long rows
+    ``window_start, window_end, func, key, value`` (share, bytes, mean size).
+    ``sized`` measures the per-window statistics first (``sized_side``)."""
+    def side(stats: DataFrame) -> DataFrame:
+        return sized_side(stats) if sized else stats
+
+    def rows(df: DataFrame, func: str, value) -> DataFrame:
+        return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))
+
+    return reduce(DataFrame.unionByName, [
+        rows(heavy_hitters(agg, key, h, side(window_totals(agg))), funcs[0], F.col("share")),
+        rows(top_k(agg, key, k), funcs[1], F.col("bytes")),
+        rows(deviants(agg, key, x, stats=side(window_spread(agg, key))), funcs[2], F.col("avg_size")),
+    ])
+
+
 def snapshot(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: float,
              protocol_key: str = "protocol", ip_key: str = "source_ip", sized: bool = False) -> DataFrame:
     """The six results of every window as one long table
@@ -112,20 +130,7 @@ def snapshot(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: fl
     ``value`` is the share (func1/4), the bytes (func2/5) or the mean size
     (func3/6). A union of the six results replaces the per-window document
     of six lists: the rows stay distributed instead of being gathered per
-    window. ``sized`` measures the per-window statistics first (``sized_side``).
+    window.
     """
-    def side(stats: DataFrame) -> DataFrame:
-        return sized_side(stats) if sized else stats
-
-    def rows(df: DataFrame, func: str, key: str, value) -> DataFrame:
-        return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))
-
-    parts = []
-    for agg, key, funcs in ((protocol_agg, protocol_key, ("func1", "func2", "func3")),
-                            (ip_agg, ip_key, ("func4", "func5", "func6"))):
-        parts += [
-            rows(heavy_hitters(agg, key, h, side(window_totals(agg))), funcs[0], key, F.col("share")),
-            rows(top_k(agg, key, k), funcs[1], key, F.col("bytes")),
-            rows(deviants(agg, key, x, stats=side(window_spread(agg, key))), funcs[2], key, F.col("avg_size")),
-        ]
-    return reduce(DataFrame.unionByName, parts)
+    return monitor_rows(protocol_agg, protocol_key, h, k, x, ("func1", "func2", "func3"), sized).unionByName(
+        monitor_rows(ip_agg, ip_key, h, k, x, ("func4", "func5", "func6"), sized))

@@ -27,6 +27,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "false").csv(path)
 
 
+def peek(df: DataFrame, n: int = 20, show: bool = False) -> DataFrame:
+    """The first ``n`` rows (printed untruncated when ``show``)."""
+    head = df.limit(n)
+    if show:
+        head.show(n, truncate=False)
+    return head
+
+
 def snapshot_to_results(snapshot: DataFrame) -> DataFrame:
     """Monitor snapshot rows -> store rows (``time`` = window end)."""
     return snapshot.select(F.col("window_end").alias("time"), "func", "key", "value")

@@ -106,6 +106,23 @@ def keyed_window_stream(stream: DataFrame, key: str | None, width: str, slide: s
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "bytes", "n")
 
 
+def monitor_to_store(spark: SparkSession, flows: DataFrame, key: str, store: str, width: str,
+                     slide: str | None, h: float, k: int, x: float,
+                     funcs: tuple[str, str, str] = ("func1", "func2", "func3"),
+                     watermark: str = "1 minute", trigger: dict | None = None,
+                     checkpoint: str | None = None) -> StreamingQuery:
+    """Monitor one key of a flow stream and push every micro-batch's
+    results (heavy hitters, top-k, deviants) to the result store, under
+    ``store/source=<key>/batch_id=<id>`` (replays overwrite their batch)."""
+    from flowscope.operators.traffic import monitor_rows
+    from flowscope.sources.results import DOC_COLUMNS, snapshot_to_results
+
+    agg = keyed_window_stream(flows, key, width, slide, watermark)
+    fn = lambda b: snapshot_to_results(monitor_rows(b, key, h, k, x, funcs)).select(*DOC_COLUMNS)
+    return run_foreach_batch(agg, fn, f"{store.rstrip('/')}/source={key}",
+                             checkpoint or fresh_path(spark, "monitor-ck"), trigger)
+
+
 def running_total_stream(stream: DataFrame, key: str, value: str = "packet_size") -> DataFrame:
     """Total bytes and rows per key since the start (no window, no
     watermark); run it in ``update`` mode so each trigger emits changed keys."""

@@ -53,3 +53,17 @@ def test_json_sink_and_text_stream_sink(spark, tmp_dir):
                    os.path.join(tmp_dir, "ck"), fmt="text")
     q.awaitTermination()
     assert sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "txt")).collect()) == ["x 1", "y 2"]
+
+
+def test_monitor_stream_to_store(spark, tmp_dir):
+    from flowscope.streaming.runner import flows_stream, monitor_to_store
+    sf = "/root/testdata/sf0.001"
+    path = os.path.join(tmp_dir, "store")
+    for key, funcs in (("protocol", ("func1", "func2", "func3")), ("source_ip", ("func4", "func5", "func6"))):
+        q = monitor_to_store(spark, flows_stream(spark, sf), key, path, "1 hour", "15 minutes", 0.2, 3, 2.0, funcs)
+        q.awaitTermination()
+    rows = store.read_all(spark, path)
+    assert set(rows.columns) == {"time", "func", "key", "value"}
+    assert {r.func for r in rows.select("func").distinct().collect()} == {f"func{i}" for i in range(1, 7)}
+    assert store.read_latest(spark, path).count() > 0
+    assert store.peek(rows, 5).count() == 5
