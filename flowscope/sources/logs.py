@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from flowscope.functions.parse import (
     LOG_TIME_FORMAT, bytes_present, field, ip_of_user, is_ipv4_host, last_field, log_timestamp,
 )
-from flowscope.sources.tables import derived
+from flowscope.sources.tables import derived, derived_path
 
 # Year-month of the rendered view: the events tables cover January 2024.
 EVENTS_YEAR_MONTH = "2024-01"
@@ -53,6 +53,11 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, "access-log", "events", render_log_lines)
 
 
+def log_lines_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored access log (a file-stream source for log streams)."""
+    return derived_path(spark, sf_dir, "access-log", "events", render_log_lines)
+
+
 def valid_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     """P5 + P6: host contains a dotted quad and bytes are present."""
     return lines.where(is_ipv4_host(field("value", 0), strict) & bytes_present("value"))

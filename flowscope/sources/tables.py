@@ -19,7 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def derived(spark: SparkSession, sf_dir: str, name: str, source: str,
             build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A table Spark derives from ``source`` (e.g. text lines rendered from
+    return spark.read.parquet(derived_path(spark, sf_dir, name, source, build))
+
+
+def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
+                 build: Callable[[DataFrame], DataFrame]) -> str:
+    """Folder of a table Spark derives from ``source`` (e.g. text lines rendered from
     ``events``), written once as parquet in the shared checkpoint folder and
     read back on every later call.
 
@@ -39,7 +44,7 @@ def derived(spark: SparkSession, sf_dir: str, name: str, source: str,
     path = f"{shared_dir(spark)}/{name}-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
     if not _exists(spark, path + "/_SUCCESS"):
         build(table(spark, sf_dir, source)).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 
 from flowscope.session import ensure_dir, fresh_path
 from flowscope.sources.flows import flow_view
-from flowscope.sources.logs import EVENTS_YEAR_MONTH, parse_log_lines, render_log_lines
+from flowscope.sources.logs import EVENTS_YEAR_MONTH, log_lines_path, parse_log_lines
 from flowscope.sources.tables import table
 
 
@@ -63,9 +63,13 @@ def flows_stream(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return as_event_time(flow_view(table_stream(spark, sf_dir, "events", **kw)))
 
 
-def log_stream(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    lines = render_log_lines(table_stream(spark, sf_dir, "events", **kw))
-    return as_event_time(parse_log_lines(lines, EVENTS_YEAR_MONTH))
+def log_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The stored access log of a folder, tailed as a file stream and parsed."""
+    path = log_lines_path(spark, sf_dir)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return as_event_time(parse_log_lines(reader.parquet(path), EVENTS_YEAR_MONTH))
 
 
 def keyed_window_stream(stream: DataFrame, key: str | None, width: str, slide: str | None = None,
