@@ -53,10 +53,6 @@ def bytes_present(line, by_last_char: bool = False) -> Column:
     return last_field(line) != F.lit("-")
 
 
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
-
-
 def log_timestamp(stamp, year_month: str = "2020-01") -> Column:
     """``[DD:HH:MM:SS]`` plus a constant year-month -> TIMESTAMP_NTZ (null on junk).
 

@@ -10,9 +10,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, ip_of_user
 from flowscope.sources.tables import derived, table
 
-FLOW_COLUMNS = ("datetime", "protocol", "source_ip", "destination_ip", "packet_size")
-
-
 def flow_view(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``events`` as flows: ts -> datetime, event_type -> protocol, user -> source
     quad ``10.0.a.b``, ``event_id % 200`` -> destination ``10.1.0.x``,

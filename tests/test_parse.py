@@ -79,3 +79,12 @@ def test_output_schemas(spark):
     assert [(f.name, f.dataType.simpleString()) for f in fl] == \
         [("datetime", "timestamp_ntz"), ("protocol", "string"), ("source_ip", "string"),
          ("destination_ip", "string"), ("packet_size", "int")]
+
+
+def test_flow_and_log_timestamp_functions(spark):
+    from flowscope.functions.parse import flow_timestamp, log_timestamp
+    df = spark.createDataFrame([("2020-05-07_13:15:40.179", "[29:23:53:25]"), ("2020-05-07 13:15:40", "[32:00:00:00]"),
+                                ("junk", "29:23:53:25")], "f string, l string")
+    rows = df.select(flow_timestamp("f").alias("f"), log_timestamp("l", "2020-01").alias("l")).collect()
+    assert rows[0].f == dt.datetime(2020, 5, 7, 13, 15, 40, 179000) and rows[0].l == dt.datetime(2020, 1, 29, 23, 53, 25)
+    assert [rows[1].f, rows[1].l, rows[2].f, rows[2].l] == [None] * 4
