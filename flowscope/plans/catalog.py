@@ -349,12 +349,20 @@ def _twin(name, key, fn):
     return run
 
 
-_twin("stream_heavy_protocols", "protocol", lambda b: traffic.heavy_hitters(b, "protocol", MONITOR["h"]))
+def _heavy_batch(key):
+    return lambda b: traffic.heavy_hitters(b, key, MONITOR["h"], traffic.sized_side(traffic.window_totals(b)))
+
+
+def _deviant_batch(key):
+    return lambda b: traffic.deviants(b, key, MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(b, key)))
+
+
+_twin("stream_heavy_protocols", "protocol", _heavy_batch("protocol"))
 _twin("stream_topk_protocols", "protocol", lambda b: traffic.top_k(b, "protocol", MONITOR["k"]))
-_twin("stream_deviant_protocols", "protocol", lambda b: traffic.deviants(b, "protocol", MONITOR["x"]))
-_twin("stream_heavy_ips", "source_ip", lambda b: traffic.heavy_hitters(b, "source_ip", MONITOR["h"]))
+_twin("stream_deviant_protocols", "protocol", _deviant_batch("protocol"))
+_twin("stream_heavy_ips", "source_ip", _heavy_batch("source_ip"))
 _twin("stream_topk_ips", "source_ip", lambda b: traffic.top_k(b, "source_ip", MONITOR["k"]))
-_twin("stream_deviant_ips", "source_ip", lambda b: traffic.deviants(b, "source_ip", MONITOR["x"]))
+_twin("stream_deviant_ips", "source_ip", _deviant_batch("source_ip"))
 
 
 @query("stream_hourly_bytes")

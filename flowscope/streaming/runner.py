@@ -122,7 +122,7 @@ def monitor_to_store(spark: SparkSession, flows: DataFrame, key: str, store: str
     from flowscope.sources.results import DOC_COLUMNS, snapshot_to_results
 
     agg = keyed_window_stream(flows, key, width, slide, watermark)
-    fn = lambda b: snapshot_to_results(monitor_rows(b, key, h, k, x, funcs)).select(*DOC_COLUMNS)
+    fn = lambda b: snapshot_to_results(monitor_rows(b, key, h, k, x, funcs, sized=True)).select(*DOC_COLUMNS)
     return run_foreach_batch(agg, fn, f"{store.rstrip('/')}/source={key}",
                              checkpoint or fresh_path(spark, "monitor-ck"), trigger)
 
