@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import math
+import os
 import sys
 import time
 
@@ -97,7 +98,14 @@ def main(argv):
     sys.path.insert(0, ".")
     from flowscope.session import build_session
     from __spark_entry__ import queries
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):  # a default session, as an external driver may build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+        if os.environ.get("SESSION_TZ"):
+            spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+    else:
+        spark = build_session("local[8]", 8)
     con = duck(sf_dir)
     bad = 0
     for name in names or list(queries()):

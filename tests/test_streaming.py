@@ -92,3 +92,12 @@ def test_change_parameters_restarts_on_new_checkpoint(spark, tmp_dir):
     q2.awaitTermination()
     runs = read_sink(spark, sink).groupBy("run").count().collect()
     assert n1 > 0 and q2.id != q1.id and len(runs) == 2
+
+
+def test_console_sink_complete_mode(spark, tmp_dir):
+    from flowscope.streaming.runner import flows_stream, latest_top_k_stream, run_console
+    agg = keyed_window_stream(flows_stream(spark, "/root/testdata/sf0.001"), "protocol", "1 hour", panes=False)
+    q = run_console(latest_top_k_stream(agg, "protocol", 3), mode="complete", trigger={"availableNow": True},
+                    checkpoint=os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    assert q.exception() is None and q.lastProgress["numInputRows"] >= 0
