@@ -51,7 +51,7 @@ def heavy_hitters(agg: DataFrame, key: str, h: float, totals: DataFrame | None =
     ``sized_side``). Output: ``window_start, window_end, key, bytes,
     total_bytes, share``. At most ``floor(1/h)`` keys per window can pass.
     """
-    totals = window_totals(agg) if totals is None else totals
+    totals = window_totals(agg) if totals is None else totals.select(*WIN, "total_bytes")
     j = agg.select(*WIN, key, "bytes").join(totals, WIN)
     return (j.where(F.col("bytes") > F.lit(float(h)) * F.col("total_bytes"))
             .select(*WIN, key, "bytes", "total_bytes",
@@ -88,6 +88,15 @@ def window_spread(agg: DataFrame, key: str) -> DataFrame:
             .agg(F.stddev_pop("avg_size").alias("_sd"), F.avg("avg_size").alias("_mu")))
 
 
+def window_stats(agg: DataFrame) -> DataFrame:
+    """A9 + A12 in one aggregate: per window the byte total and the spread
+    (``_sd``) and mean (``_mu``) of the per-key mean packet sizes; serves
+    both ``heavy_hitters`` (as ``totals``) and ``deviants`` (as ``stats``)."""
+    m = F.try_divide("bytes", "n")
+    return agg.groupBy(*WIN).agg(F.sum("bytes").alias("total_bytes"), F.stddev_pop(m).alias("_sd"),
+                                 F.avg(m).alias("_mu"))
+
+
 def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: DataFrame | None = None) -> DataFrame:
     """keys whose mean packet size exceeds ``x`` times the population
     standard deviation of the per-key means of the same window
@@ -97,7 +106,7 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: Da
     Output: ``window_start, window_end, key, avg_size``.
     """
     means = key_means(agg, key)
-    stats = window_spread(agg, key) if stats is None else stats
+    stats = window_spread(agg, key) if stats is None else stats.select(*WIN, "_sd", "_mu")
     bound = F.lit(float(x)) * F.col("_sd")
     if center == "mean":
         bound = F.col("_mu") + bound
@@ -108,17 +117,18 @@ def monitor_rows(agg: DataFrame, key: str, h: float, k: int, x: float,
                  funcs: tuple[str, str, str] = ("func1", "func2", "func3"), sized: bool = False) -> DataFrame:
     """Heavy hitters, top-k and deviants of one keyed aggregate as long rows
     ``window_start, window_end, func, key, value`` (share, bytes, mean size).
-    ``sized`` measures the per-window statistics first (``sized_side``)."""
-    def side(stats: DataFrame) -> DataFrame:
-        return sized_side(stats) if sized else stats
+    One ``window_stats`` table serves both joins; ``sized`` measures it first
+    (``sized_side``)."""
+    stats = window_stats(agg)
+    stats = sized_side(stats) if sized else stats
 
     def rows(df: DataFrame, func: str, value) -> DataFrame:
         return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))
 
     return reduce(DataFrame.unionByName, [
-        rows(heavy_hitters(agg, key, h, side(window_totals(agg))), funcs[0], F.col("share")),
+        rows(heavy_hitters(agg, key, h, stats), funcs[0], F.col("share")),
         rows(top_k(agg, key, k), funcs[1], F.col("bytes")),
-        rows(deviants(agg, key, x, stats=side(window_spread(agg, key))), funcs[2], F.col("avg_size")),
+        rows(deviants(agg, key, x, stats=stats), funcs[2], F.col("avg_size")),
     ])
 
 
