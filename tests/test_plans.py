@@ -76,3 +76,13 @@ def test_sized_side_broadcasts_only_under_bound(spark):
     assert "BroadcastHashJoin" in p_small
     assert "SortMergeJoin" in p_big and "BroadcastHashJoin" not in p_big
     assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_aggregations_combine_map_side(plans, name):
+    """Every shuffled aggregation is split into a map-side partial aggregate
+    and a final one, so a key holding a large share of the rows leaves each
+    task as a single partial row."""
+    p = plans[name]
+    if "HashAggregate" in p and "Exchange hashpartitioning" in p:
+        assert "partial_" in p, name
