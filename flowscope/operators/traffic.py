@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowscope.session import stage
+
 WIN = ["window_start", "window_end"]
 
 # Statistics tables with at most this many rows (one per window; ~40 bytes
@@ -117,10 +119,11 @@ def monitor_rows(agg: DataFrame, key: str, h: float, k: int, x: float,
                  funcs: tuple[str, str, str] = ("func1", "func2", "func3"), sized: bool = False) -> DataFrame:
     """Heavy hitters, top-k and deviants of one keyed aggregate as long rows
     ``window_start, window_end, func, key, value`` (share, bytes, mean size).
-    One ``window_stats`` table serves both joins; ``sized`` measures it first
-    (``sized_side``)."""
+    One ``window_stats`` table serves both joins; ``sized`` stores it once in
+    the shared folder and measures it (``sized_side``) before the joins."""
     stats = window_stats(agg)
-    stats = sized_side(stats) if sized else stats
+    if sized:  # store the small table once: both joins read it, neither recomputes it
+        stats = sized_side(stage(stats, "window-stats"))
 
     def rows(df: DataFrame, func: str, value) -> DataFrame:
         return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))
