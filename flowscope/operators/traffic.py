@@ -33,11 +33,17 @@ WIN = ["window_start", "window_end"]
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def sized_side(stats: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def sized_side(stats: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, store: bool = False) -> DataFrame:
     """Measure a small join side (one action: a count of its rows) and mark
     it for broadcast when ``rows <= max_rows``; otherwise force a shuffle
     join, so that the optimizer cannot broadcast it from a size estimate
-    (estimates come from compressed file sizes and can be far too small)."""
+    (estimates come from compressed file sizes and can be far too small).
+
+    ``store`` first writes the side once to the shared folder, so that the
+    count and the join (or several joins) read it instead of recomputing it.
+    """
+    if store:
+        stats = stage(stats, "join-side")
     return F.broadcast(stats) if stats.count() <= max_rows else stats.hint("shuffle_merge")
 
 
@@ -122,8 +128,8 @@ def monitor_rows(agg: DataFrame, key: str, h: float, k: int, x: float,
     One ``window_stats`` table serves both joins; ``sized`` stores it once in
     the shared folder and measures it (``sized_side``) before the joins."""
     stats = window_stats(agg)
-    if sized:  # store the small table once: both joins read it, neither recomputes it
-        stats = sized_side(stage(stats, "window-stats"))
+    if sized:  # stored once: the count and both joins read it, none recomputes it
+        stats = sized_side(stats, store=True)
 
     def rows(df: DataFrame, func: str, value) -> DataFrame:
         return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))

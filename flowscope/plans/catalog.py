@@ -160,7 +160,7 @@ def ip_avg_sliding(spark, sf):
 @query("heavy_protocols")
 def heavy_protocols(spark, sf):
     agg = _agg(spark, sf, "protocol", staged=True)
-    return traffic.heavy_hitters(agg, "protocol", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg)))
+    return traffic.heavy_hitters(agg, "protocol", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg), store=True))
 
 
 @query("topk_protocols")
@@ -171,13 +171,13 @@ def topk_protocols(spark, sf):
 @query("deviant_protocols")
 def deviant_protocols(spark, sf):
     agg = _agg(spark, sf, "protocol", staged=True)
-    return traffic.deviants(agg, "protocol", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "protocol")))
+    return traffic.deviants(agg, "protocol", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "protocol"), store=True))
 
 
 @query("heavy_ips")
 def heavy_ips(spark, sf):
     agg = _agg(spark, sf, "source_ip", staged=True)
-    return traffic.heavy_hitters(agg, "source_ip", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg)))
+    return traffic.heavy_hitters(agg, "source_ip", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg), store=True))
 
 
 @query("topk_ips")
@@ -188,7 +188,7 @@ def topk_ips(spark, sf):
 @query("deviant_ips")
 def deviant_ips(spark, sf):
     agg = _agg(spark, sf, "source_ip", staged=True)
-    return traffic.deviants(agg, "source_ip", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "source_ip")))
+    return traffic.deviants(agg, "source_ip", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "source_ip"), store=True))
 
 
 @query("latest_topk_protocols")
