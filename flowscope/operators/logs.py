@@ -36,7 +36,11 @@ def summary(log: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def hourly_bytes(log: DataFrame, width: str = "60 minutes", ordered: bool = True) -> DataFrame:
-    """Bytes per address per tumbling window (epoch aligned, ``[start, end)``)."""
+    """Bytes per address per tumbling window (epoch aligned, ``[start, end)``).
+
+    T4: a watermark on a batch frame has no effect, so none is applied here;
+    the streaming form (``stream_hourly_bytes``) uses one.
+    """
     out = (log.groupBy(F.window("datetime", width).alias("w"), "ip")
            .agg(F.sum("bytes").alias("bytes"))
            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
