@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +44,29 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
         ident = f"{src}:{st.st_size}:{int(st.st_mtime)}"
     path = f"{shared_dir(spark)}/{name}-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
     if not _exists(spark, path + "/_SUCCESS"):
-        build(table(spark, sf_dir, source)).write.mode("overwrite").parquet(path)
+        # write aside, then move into place: a concurrent writer never sees a
+        # half-written table, and if another writer finished first its table is kept
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+        build(table(spark, sf_dir, source)).write.mode("overwrite").parquet(tmp)
+        _rename(spark, tmp, path)
     return path
 
 
+def _rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Move a finished folder into place (Hadoop FS rename; atomic on HDFS and
+    local disks). Returns False when ``dst`` already exists."""
+    if "://" not in src or src.startswith("file:"):
+        try:
+            os.rename(src.replace("file:", ""), dst.replace("file:", ""))
+            return True
+        except OSError:
+            return False
+    jvm = spark.sparkContext._jvm
+    fs_src, fs_dst = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = fs_src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.rename(fs_src, fs_dst))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for shared storage)."""
     if os.path.exists(path.replace("file:", "")):
