@@ -149,11 +149,14 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str):
 def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
                       trigger: dict | None = None, mode: str = "append") -> StreamingQuery:
     """Apply a batch function to every micro-batch and write the result to
-    ``sink/batch_id=<id>`` (overwritten on replay)."""
+    ``sink/batch_id=<id>`` (overwritten on replay). Empty micro-batches (no
+    window closed yet) are skipped."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            if batch.isEmpty():  # append mode: no window closed in this trigger
+                return
             out = fn(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(sink))
@@ -219,7 +222,10 @@ def run_to_end(spark: SparkSession, df: DataFrame, fn: Callable[[DataFrame], Dat
         raise q.exception()
     ensure_dir(sink)
     schema = _batch_schema(spark, df, fn)
-    return read_sink(spark, sink, schema)
+    try:
+        return read_sink(spark, sink, schema)
+    except Exception:  # nothing was ever written (no window closed)
+        return spark.createDataFrame([], schema)
 
 
 def _batch_schema(spark: SparkSession, df: DataFrame, fn) -> StructType:
