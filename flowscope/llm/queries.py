@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowscope.llm import binpack, chat, decontam, dedup, kkpack
+from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack
 from flowscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op7_exact_dedup(spark, sf):
 @query("op8_pack")
 def op8_pack(spark, sf):
     return kkpack.pack(read_table(spark, sf, "documents"), with_ids=False).drop("ids")
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark, sf):
+    return jaccard.similar_components(read_table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
