@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack
+from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack, langid, quality, sharding
 from flowscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,16 @@ def op1_decontaminate(spark, sf):
     return decontam.contamination_digest(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
 
+@query("op2_language_id")
+def op2_language_id(spark, sf):
+    return langid.identify(read_table(spark, sf, "documents"))
+
+
+@query("op3_quality")
+def op3_quality(spark, sf):
+    return quality.quality_scores(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 @query("op5_chat_format")
 def op5_chat_format(spark, sf):
     turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,3 +63,8 @@ def op8_pack(spark, sf):
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark, sf):
     return jaccard.similar_components(read_table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op10_shard")
+def op10_shard(spark, sf):
+    return sharding.balanced_shards(read_table(spark, sf, "documents"))
