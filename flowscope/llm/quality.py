@@ -1,7 +1,10 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
-A text is a bag of hashed byte 3-grams (case and punctuation kept), log-scaled
-and weighted by inverse document frequency. A bounded sample of labelled rows
+A text is a bag of three kinds of terms, each log-scaled, weighted by inverse
+document frequency and brought to length 1: hashed byte 3-grams (case and
+punctuation kept), 3-grams of byte classes (upper, lower, digit, blank, line
+end, mark, non-ASCII; alike in every language), and words that repeat or do not
+repeat the word before. A bounded sample of labelled rows
 spans the latent space: the leading singular vectors of its term matrix,
 computed in numpy on the driver. The sample's latent vectors and labels are
 broadcast (their size is ``sample_rows`` x ``rank``); every document is
@@ -11,7 +14,7 @@ matrix product per block, and the ``k`` nearest vote with their similarity.
 The sample: about ``sample_rows`` labelled rows, chosen by a hash of the id.
 Conflicting labels of one id count as their mean, from 0.5 on as 1.
 
-Defined results: texts without a 3-gram, and texts orthogonal to the sample,
+Defined results: texts without a word, and texts orthogonal to the sample,
 get the sample's share of label 1; without labels every score is 0.5.
 """
 
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowscope.llm.common import fold_of, slices, string_bytes
+from flowscope.llm.textnum import NOT_SPACE, span_hashes, word_spans
 
 SAMPLE_ROWS = 3000
 BUCKETS = 2048
@@ -34,19 +38,38 @@ BLOCK = 512
 POWER = 8  # a vote weighs its cosine to this power
 
 
+CLASSES = 7
+CLASS = np.full(256, 5, np.uint8)
+CLASS[0x41:0x5B], CLASS[0x61:0x7B], CLASS[0x30:0x3A], CLASS[0x80:] = 0, 1, 2, 6
+CLASS[[0x20, 0x09]], CLASS[[0x0A, 0x0D]] = 3, 4
+# columns of the term matrix: byte 3-grams, class 3-grams, (repeated, fresh) words
+PARTS = np.cumsum([0, BUCKETS, CLASSES ** 3, 2])
+
+
 def term_counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows x BUCKETS counts of hashed byte 3-grams."""
+    """Rows x terms."""
     rows = len(offsets) - 1
-    out = np.zeros((rows, BUCKETS), np.float32)
-    if len(raw) < 3:
+    out = np.zeros((rows, PARTS[-1]), np.float32)
+    if not len(raw):
         return out
-    d = raw.astype(np.uint32)
-    g = (d[:-2] << 16) | (d[1:-1] << 8) | d[2:]
-    bucket = (g * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
     row = np.repeat(np.arange(rows), np.diff(offsets))
-    whole = row[:-2] == row[2:]
-    flat = np.bincount(row[:-2][whole] * BUCKETS + bucket[whole], minlength=rows * BUCKETS)
-    out[:] = flat.reshape(rows, BUCKETS)
+    if len(raw) >= 3:
+        d, c = raw.astype(np.uint32), CLASS[raw].astype(np.int64)
+        g = (d[:-2] << 16) | (d[1:-1] << 8) | d[2:]
+        bucket = (g * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+        shape = (c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:]
+        whole = row[:-2] == row[2:]
+        for part, term, size in ((0, bucket, BUCKETS), (1, shape, CLASSES ** 3)):
+            flat = np.bincount(row[:-2][whole] * size + term[whole], minlength=rows * size)
+            out[:, PARTS[part]: PARTS[part + 1]] = flat.reshape(rows, size)
+    starts, ends, first = word_spans(raw, offsets, NOT_SPACE)
+    h = span_hashes(raw, starts, ends)
+    again = np.zeros(len(h), bool)
+    again[1:] = h[1:] == h[:-1]
+    again[first[:-1][first[:-1] < len(h)]] = False
+    repeats = np.concatenate([[0], np.cumsum(again)])
+    out[:, PARTS[2]] = repeats[first[1:]] - repeats[first[:-1]]
+    out[:, PARTS[2] + 1] = np.diff(first) - out[:, PARTS[2]]
     return out
 
 
@@ -68,7 +91,9 @@ class Neighbours:
         self.vectors = self._unit(x @ self.basis)
 
     def _weigh(self, counts: np.ndarray) -> np.ndarray:
-        return self._unit(np.log1p(counts) * self.idf)
+        x = np.log1p(counts) * self.idf
+        x[:, PARTS[2]:] = counts[:, PARTS[2]:]  # two columns: their ratio counts, not their rarity
+        return np.concatenate([self._unit(x[:, a:b]) for a, b in zip(PARTS[:-1], PARTS[1:])], axis=1)
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
@@ -105,8 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = marked.where(pick < min(1.0, sample_rows / max(1, n)))  # about sample_rows rows: small enough to broadcast
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
             .select("label", "text").mapInArrow(_count_task, "label int, counts binary").toPandas())
-    counts = (np.frombuffer(b"".join(rows["counts"]), np.float32).reshape(-1, BUCKETS) if len(rows)
-              else np.zeros((0, BUCKETS), np.float32))
+    counts = (np.frombuffer(b"".join(rows["counts"]), np.float32).reshape(-1, PARTS[-1]) if len(rows)
+              else np.zeros((0, PARTS[-1]), np.float32))
     return Neighbours(counts, rows["label"].to_numpy(np.int64))
 
 
