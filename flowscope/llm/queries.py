@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack, langid, quality, sharding
+from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack, langid, lm, quality, sharding
 from flowscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op3_quality(spark, sf):
     return quality.quality_scores(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+@query("op4_lm_score")
+def op4_lm_score(spark, sf):
+    return lm.lm_scores(read_table(spark, sf, "documents"))
+
+
 @query("op5_chat_format")
 def op5_chat_format(spark, sf):
     turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
