@@ -85,3 +85,19 @@ def running_offset(df: DataFrame, keys: list[str], bucket: str, value: Column, o
     sums = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_sum"))
     w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return sums.select(*keys, bucket, F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias(out))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique long ``_flowscope_key`` per row: its doc_id where ids are unique, else a
+    number stored once with the rows (so that every scan sees the same one)."""
+    twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null")
+    if twice.isEmpty():
+        return docs.withColumn("_flowscope_key", F.col("doc_id").cast("long"))
+    return stage(docs.withColumn("_flowscope_key", F.monotonically_increasing_id()), "keyed")
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``_flowscope_key`` is not among ``keys``. The keys are stored
+    first, so Spark chooses the join by their real size."""
+    gone = stage(keys.select(F.col("key").alias("_gone")), "gone")
+    return docs.join(gone, docs["_flowscope_key"] == gone["_gone"], "left_anti").drop("_flowscope_key")

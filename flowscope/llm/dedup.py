@@ -37,9 +37,9 @@ BLOCK_ROWS = 1 << 18  # rows of one sender block; a task with more rows sends se
 OWNERS_PER_PARTITION = 4
 
 _ROWS = pa.schema([
-    ("kind", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("points", pa.int64()), ("sha", pa.binary()),
+    ("kind", pa.string()), ("row", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("points", pa.int64()), ("sha", pa.binary()),
     ("block", pa.int64()), ("owner", pa.int32()), ("rank", pa.int32()), ("message", pa.binary()), ("repeated", pa.binary())])
-_ROWS_SQL = ("kind string, row long, doc_id long, points long, sha binary, block long, owner int, rank int, "
+_ROWS_SQL = ("kind string, row long, key long, doc_id long, points long, sha binary, block long, owner int, rank int, "
              "message binary, repeated binary")
 
 
@@ -72,9 +72,9 @@ def _send(owners: int):
         def emit():
             messages, own, rank = flush(block, hashes)
             at = 0
-            for ids, points, shas, first in kept:
+            for ids, points, keys, shas, first in kept:
                 n = len(ids)
-                yield fill(n, kind=pa.array(["row"] * n), row=pa.array(np.arange(first, first + n)), doc_id=ids,
+                yield fill(n, kind=pa.array(["row"] * n), row=pa.array(np.arange(first, first + n)), key=keys, doc_id=ids,
                            points=points, sha=shas, block=pa.array(np.full(n, block)),
                            owner=pa.array(own[at: at + n]), rank=pa.array(rank[at: at + n]))
                 at += n
@@ -92,7 +92,7 @@ def _send(owners: int):
                     yield from emit()
                     block, held, hashes, kept = block + 1, 0, [], []
                 hashes.append(h)
-                kept.append((piece.column(0), piece.column(2), pa.array(digests, pa.binary()), row))
+                kept.append((piece.column(0), piece.column(2), piece.column(3), pa.array(digests, pa.binary()), row))
                 held += len(h)
                 row += len(h)
         if held:
@@ -146,23 +146,23 @@ def _filter_words(suspects: DataFrame, bits: int) -> np.ndarray:
     return words
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                filter_bits: int = 1 << 24) -> DataFrame:
-    """One row per input row: row, doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, key_col: str = "doc_id", filter_bits: int = 1 << 24) -> DataFrame:
+    """One row per input row: key, doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the most code points in its original text,
-    then the smallest doc_id (then the first such row) stays.
+    then the smallest doc_id (then the first such row) stays. ``key_col`` is
+    carried through as ``key``.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                         F.col(key_col).cast("long").alias("key"))
     owners = OWNERS_PER_PARTITION * shuffle_partitions(spark)
-    sent = stage(source.select("doc_id", "text", F.char_length("text").cast("long").alias("points"))
+    sent = stage(source.select("doc_id", "text", F.char_length("text").cast("long").alias("points"), "key")
                  .mapInArrow(_send(owners), _ROWS_SQL), "dedup-sent")
-    rows = sent.where("kind = 'row'").select("row", "doc_id", "points", "sha", "block", "owner", "rank")
+    rows = sent.where("kind = 'row'").select("row", "key", "doc_id", "points", "sha", "block", "owner", "rank")
     answers = (sent.where("kind = 'message'").select("block", "owner", "message", "repeated")
                .groupBy("owner").applyInArrow(_answer, "block long, owner int, bitmap binary"))
-    flagged = stage(rows.join(answers, ["block", "owner"]).select("row", "doc_id", "points", "sha", F.expr(
+    flagged = stage(rows.join(answers, ["block", "owner"]).select("row", "key", "doc_id", "points", "sha", F.expr(
         "shiftright(cast(conv(hex(substring(bitmap, cast(rank div 8 as int) + 1, 1)), 16, 10) as int),"
         " cast(7 - rank % 8 as int)) % 2 = 1").alias("suspect")), "dedup-flagged")
     suspects = flagged.where("suspect")
@@ -175,6 +175,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                F.col("best.doc_id").alias("keep_id"), "n")
     alone = F.col("keep_row").isNull()
     return flagged.join(groups, "sha", "left").select(
-        "row", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        "key", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("row") == F.col("keep_row"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))

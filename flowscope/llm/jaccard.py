@@ -52,10 +52,10 @@ BLOCK_ROWS = 1 << 16
 BLOCK_HASHES = 1 << 20
 OWNERS_PER_PARTITION = 4
 
-_SENT = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
+_SENT = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
                    ("shared", pa.int64()), ("cls", pa.binary()), ("owner", pa.int32()), ("block", pa.int64()),
                    ("message", pa.binary()), ("members", pa.binary())])
-_SENT_SQL = ("kind string, row long, doc_id long, n long, shared long, cls binary, owner int, block long, "
+_SENT_SQL = ("kind string, row long, key long, doc_id long, n long, shared long, cls binary, owner int, block long, "
              "message binary, members binary")
 
 
@@ -94,7 +94,7 @@ def _send(owners: int, width: int):
         return pa.RecordBatch.from_arrays(
             [given[f.name] if f.name in given else pa.nulls(count, f.type) for f in _SENT], schema=_SENT)
 
-    def flush(block, ids, sizes, classes, row, prefixes):
+    def flush(block, keys, ids, sizes, classes, row, prefixes):
         n = len(sizes)
         h = np.concatenate(prefixes) if prefixes else np.empty(0, np.uint64)
         member = np.repeat(np.arange(n), [len(p) for p in prefixes]).astype(np.uint16)
@@ -106,8 +106,8 @@ def _send(owners: int, width: int):
         count = np.diff(np.append(at, len(h)))
         repeated = np.repeat(count > 1, count)
         shared = np.bincount(member[repeated], minlength=n)
-        yield fill(n, kind=pa.array(["row"] * n), row=pa.array(np.arange(row, row + n)), doc_id=pa.array(ids, pa.int64()),
-                   n=pa.array(sizes, pa.int64()), shared=pa.array(shared), cls=pa.array(classes, pa.binary()))
+        yield fill(n, kind=pa.array(["row"] * n), row=pa.array(np.arange(row, row + n)), key=pa.array(keys, pa.int64()),
+                   doc_id=pa.array(ids, pa.int64()), n=pa.array(sizes, pa.int64()), shared=pa.array(shared), cls=pa.array(classes, pa.binary()))
         distinct, single, who = h[at], count == 1, member[at]
         parts = cut_by_owner(distinct << shift, owners)
         if parts:
@@ -121,23 +121,24 @@ def _send(owners: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         row, block = part << 36, part << 20
-        ids, sizes, classes, prefixes, held = [], [], [], [], 0
+        keys, ids, sizes, classes, prefixes, held = [], [], [], [], [], 0
         for batch in batches:
             raw, offsets = string_bytes(batch.column(1))
-            for doc_id, s in zip(batch.column(0).to_pylist(), document_sets(raw, offsets)):
+            for doc_id, key, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), document_sets(raw, offsets)):
                 n = len(s)
                 p = n - overlap_least(n) + -(-n // 8)
                 ids.append(doc_id)
+                keys.append(key)
                 sizes.append(n)
                 classes.append(set_class(s))
                 prefixes.append(np.unique(s[: min(n, p)] >> shift))
                 held += len(prefixes[-1])
                 if len(ids) == BLOCK_ROWS or held >= BLOCK_HASHES:
-                    yield from flush(block, ids, sizes, classes, row, prefixes)
+                    yield from flush(block, keys, ids, sizes, classes, row, prefixes)
                     row, block = row + len(ids), block + 1
-                    ids, sizes, classes, prefixes, held = [], [], [], [], 0
+                    keys, ids, sizes, classes, prefixes, held = [], [], [], [], [], 0
         if ids:
-            yield from flush(block, ids, sizes, classes, row, prefixes)
+            yield from flush(block, keys, ids, sizes, classes, row, prefixes)
 
     return run
 
@@ -245,16 +246,18 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         "a", "b", "a_n", "b_n", F.size(F.array_intersect("a_items", "b_items")).cast("long").alias("both"))
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       filter_bits: int = 1 << 24) -> DataFrame:
-    """Per input row: row, doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: int = 1 << 24) -> DataFrame:
+    """Per input row: key, doc_id, n_shingles, component_id (smallest doc_id reachable by
+    links) and first_row (True for one row of each component that carries that id).
+    ``key_col`` is carried through as ``key``."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                         F.col(key_col).cast("long").alias("key"))
     # width of the exchanged hashes: 24 bits beyond the row count, so chance hits stay rare at any size
     width = min(64, 24 + max(1, int(source.count()).bit_length()))
     owners = OWNERS_PER_PARTITION * shuffle_partitions(spark)
     sent = stage(source.mapInArrow(_send(owners, width), _SENT_SQL), "jaccard-sent")
-    rows = sent.where("kind = 'row'").select("row", "doc_id", "n", "shared", "cls")
+    rows = sent.where("kind = 'row'").select("row", "key", "doc_id", "n", "shared", "cls")
     counted = (sent.where("kind = 'message'").select("row", "owner", "message", "members")
                .groupBy("owner").applyInArrow(_count_shared, "row long, shared long"))
     shared = (counted.unionByName(rows.where("shared > 0").select("row", "shared"))
@@ -262,18 +265,21 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alive = rows.join(shared, rows["row"] == shared["_row"]).where(
         "total >= ceil(3 * n / 32)").select("row", "doc_id", "n", "cls")
     alive = stage(alive, "jaccard-alive")
-    classes = stage(alive.groupBy("cls", "n").agg(F.min("row").alias("node"), F.min("doc_id").alias("least")), "jaccard-classes")
+    least = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "doc_id"))
+    classes = stage(alive.groupBy("cls", "n").agg(F.min("row").alias("node"), least.alias("least")), "jaccard-classes")
     words = spark.sparkContext.broadcast(filter_words(classes, filter_bits))
     sets = (source.select("text").mapInArrow(lambda it: _sets_task(words.value)(it), "cls binary, items array<long>")
             .groupBy("cls").agg(F.first("items").alias("items")))
     sets = stage(classes.join(sets, "cls").select("node", "n", "items"), "jaccard-sets")
     nodes = _connected(sets)
     labels = classes.join(nodes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    least = labels.groupBy("comp").agg(F.min("least").alias("component_id"))
-    labels = labels.join(least, "comp").select(F.col("cls").alias("_cls"), "component_id")
+    least = labels.groupBy("comp").agg(F.min("least").alias("first"))
+    labels = labels.join(least, "comp").select(F.col("cls").alias("_cls"), "first")
+    alone = F.col("_cls").isNull()
     return rows.join(labels, rows["cls"] == labels["_cls"], "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("_cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "key", "doc_id", F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (alone | (F.col("row") == F.col("first.row"))).alias("first_row"))
 
 
 def _connected(sets: DataFrame) -> DataFrame:
