@@ -171,8 +171,9 @@ def exact_dedup(docs: DataFrame, key_col: str = "doc_id", filter_bits: int = 1 <
                 .groupBy("sha", "norm").agg(F.count(F.lit(1)).alias("n")).select("sha", "n"))
     best = suspects.groupBy("sha").agg(F.min(F.struct(
         -F.col("points"), F.coalesce("doc_id", F.lit(2**63 - 1)), "row", "doc_id")).alias("best"))
-    groups = best.join(verified, "sha").select("sha", F.col("best.row").alias("keep_row"),
-                                               F.col("best.doc_id").alias("keep_id"), "n")
+    # stored, so that the join below reads plain exchanges whose hot partitions Spark can split
+    groups = stage(best.join(verified, "sha").select("sha", F.col("best.row").alias("keep_row"),
+                                                     F.col("best.doc_id").alias("keep_id"), "n"), "dedup-groups")
     alone = F.col("keep_row").isNull()
     return flagged.join(groups, "sha", "left").select(
         "key", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
