@@ -5,8 +5,8 @@ words. Sets that are equal are one class from the start. The join then skips
 work at three levels.
 
 * **Corpus.** In hash order, linked sets share several of their smallest
-  hashes: a prefix of |x| - ceil(t|x|) + ceil(|x|/8) hashes holds at least
-  ceil(t|x|/8) that some linked set has in its own prefix. Scan tasks send these
+  hashes: a prefix of |x| - ceil(t|x|) + ceil(|x|/4) hashes holds at least
+  ceil(t|x|/4) that some linked set has in its own prefix. Scan tasks send these
   prefixes, Golomb-coded at a width that follows the row count, to owners
   that count the shared ones per row (hashes that repeat inside a block are
   counted there and sent once). Rows with too few cannot link with anything.
@@ -19,8 +19,9 @@ work at three levels.
   similar to the pivot inherits its links (same component, no comparison), and
   its overlap with a set y of known overlap with the pivot is at most
   min(|x & p|, |y & p|) + min(|x - p|, |y - p|), which rules out sets that only share a
-  passage. Pivots leave their blocks, blocks whose neighbourhood is one
-  component leave the index, pivots double, until the index is empty; so every
+  passage. Parity signatures of 512 bits bound the symmetric difference from
+  below and rule out most near misses. Pivots leave their blocks, blocks whose neighbourhood is one
+  component leave the index, pivots multiply, until the index is empty; so every
   pair of the index is compared, connected or ruled out by a bound, and large
   groups of copies are never expanded into pairs.
 
@@ -126,7 +127,7 @@ def _send(owners: int, width: int):
             raw, offsets = string_bytes(batch.column(1))
             for doc_id, key, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), document_sets(raw, offsets)):
                 n = len(s)
-                p = n - overlap_least(n) + -(-n // 8)
+                p = n - overlap_least(n) + -(-n // 4)
                 ids.append(doc_id)
                 keys.append(key)
                 sizes.append(n)
@@ -144,25 +145,35 @@ def _send(owners: int, width: int):
 
 
 def _count_shared(table: pa.Table) -> pa.Table:
-    """An owner's work: per row, how many of its hashes here some other row has too."""
-    hashes, rows, known = [], [], []
-    for message, members, row in zip(table["message"].to_pylist(), table["members"].to_pylist(), table["row"].to_pylist()):
+    """An owner's work: per message, how many of each row's hashes some other row has too
+    (positions of rows inside the block, and counts)."""
+    hashes, who = [], []
+    for message, members in zip(table["message"].to_pylist(), table["members"].to_pylist()):
         h = decode(message)
         size = (len(h) + 7) // 8
         single = np.unpackbits(np.frombuffer(members, np.uint8, size))[: len(h)].astype(bool)
-        who = np.full(len(h), -1, np.int64)
-        who[single] = row + np.frombuffer(members, np.uint16, offset=size).astype(np.int64)
+        row = np.full(len(h), -1, np.int64)
+        row[single] = np.frombuffer(members, np.uint16, offset=size)
         hashes.append(h)
-        rows.append(who)
-    h, who = np.concatenate(hashes), np.concatenate(rows)
-    order = np.argsort(h, kind="stable")
-    h, who = h[order], who[order]
-    same = h[1:] == h[:-1]
-    shared = np.zeros(len(h), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    row, n = np.unique(who[shared & (who >= 0)], return_counts=True)
-    return pa.table({"row": pa.array(row), "shared": pa.array(n)})
+        who.append(row)
+    every = np.sort(np.concatenate(hashes))
+    again = np.unique(every[1:][every[1:] == every[:-1]])
+    rows, counts = [], []
+    for h, row in zip(hashes, who):
+        row, n = np.unique(row[np.isin(h, again, assume_unique=True) & (row >= 0)], return_counts=True)
+        rows.append(row.astype(np.uint16).tobytes())
+        counts.append(n.astype(np.uint16).tobytes())
+    return pa.table({"block": table["block"], "first": table["row"], "rows": pa.array(rows, pa.binary()),
+                     "counts": pa.array(counts, pa.binary())})
+
+
+def _sum_shared(table: pa.Table) -> pa.Table:
+    """All owners' answers to one block, added up per row."""
+    total = np.zeros(BLOCK_ROWS, np.int64)
+    for rows, counts in zip(table["rows"].to_pylist(), table["counts"].to_pylist()):
+        total[np.frombuffer(rows, np.uint16)] += np.frombuffer(counts, np.uint16)
+    at = np.flatnonzero(total)
+    return pa.table({"row": pa.array(at + table["first"][0].as_py()), "shared": pa.array(total[at])})
 
 
 def _sets_task(words_map: np.ndarray):
@@ -201,9 +212,21 @@ def filter_words(classes: DataFrame, bits: int) -> np.ndarray:
     return words
 
 
+SIGNATURE = [f"s{i}" for i in range(8)]
+
+
+def _signatures(sets: DataFrame) -> DataFrame:
+    """(node, s0..s7): bit h of the 512 is the parity of the set's hashes with residue h; the
+    signatures of two sets differ in at most as many bits as the sets differ in items."""
+    def word(i: int):
+        return F.expr(f"aggregate(items, 0L, (acc, x) -> if(pmod(shiftright(x, 6), 8) = {i}, "
+                      "acc ^ shiftleft(1L, cast(x & 63 as int)), acc))")
+    return sets.select("node", *(word(i).alias(s) for i, s in enumerate(SIGNATURE)))
+
+
 def _prefix_index(sets: DataFrame) -> DataFrame:
-    """Postings (item, node, n, pos) of the rarest-first prefixes: hashes that one set
-    alone has come first and need no posting."""
+    """Postings (item, node, n, pos, size_block) of the rarest-first prefixes: hashes that
+    one set alone has come first and need no posting."""
     items = sets.select("node", "n", F.explode("items").alias("item"))
     rare = items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     mine = (items.join(rare, "item").groupBy("node", "n")
@@ -217,8 +240,12 @@ def _prefix_index(sets: DataFrame) -> DataFrame:
 
 
 LINKED = "100 * both >= 75 * (a_n + b_n - both)"
-# the least overlap of a link between sets of these sizes: ceil(3/7 (a + b))
-NEED = "ceil(3 * (a_n + b_n) / 7)"
+# a link of sets of n and p_n items needs this overlap, and so at most this many differing items
+NEED = "ceil(3 * (n + p_n) / 7)"
+DIFFER = " + ".join(f"bit_count({s} ^ p_{s})" for s in SIGNATURE)
+WORTH = (f"node <> p_node and comp <> p_comp and least(pos, p_pos) + least(n - pos, p_n - p_pos) >= {NEED}"
+         " and not coalesce(leader = p_leader and least(with_leader, p_with_leader)"
+         f" + least(n - with_leader, p_n - p_with_leader) < {NEED}, false) and {DIFFER} <= n + p_n - 2 * {NEED}")
 
 
 def _candidates(live: DataFrame, pivots: int, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -227,16 +254,12 @@ def _candidates(live: DataFrame, pivots: int, seed: int) -> tuple[DataFrame, Dat
     first = (live.groupBy("item", "size_block", group.alias("g")).agg(F.min("node").alias("node"))
              .select("item", "size_block", "node", F.lit(True).alias("is_pivot")))
     marked = live.join(first, ["item", "size_block", "node"], "left")
-    cols = ["node", "comp", "n", "pos", "leader", "with_leader"]
-    p = marked.where("is_pivot").select("item", F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1)))).alias("size_block"),
-                                        *(F.col(c).alias("p_" + c) for c in cols))
-    pairs = live.join(p, ["item", "size_block"]).where(
-        "node <> p_node and comp <> p_comp"
-        " and least(pos, p_pos) + 1 + least(n - pos, p_n - p_pos) - 1 >= ceil(3 * (n + p_n) / 7)"
-        " and not coalesce(leader = p_leader and least(with_leader, p_with_leader)"
-        " + least(n - with_leader, p_n - p_with_leader) < ceil(3 * (n + p_n) / 7), false)")
+    near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
+    p = marked.where("is_pivot").select("item", near.alias("size_block"), *(
+        F.col(c).alias("p_" + c) for c in ("node", "comp", "n", "pos", "leader", "with_leader", *SIGNATURE)))
+    pairs = live.join(p, ["item", "size_block"]).where(WORTH)
     pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
-    return pairs, marked.where("is_pivot is null").select(live.columns)
+    return pairs, marked.where("is_pivot is null").select("item", "node", "n", "pos", "size_block")
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -258,12 +281,13 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
     owners = OWNERS_PER_PARTITION * shuffle_partitions(spark)
     sent = stage(source.mapInArrow(_send(owners, width), _SENT_SQL), "jaccard-sent")
     rows = sent.where("kind = 'row'").select("row", "key", "doc_id", "n", "shared", "cls")
-    counted = (sent.where("kind = 'message'").select("row", "owner", "message", "members")
-               .groupBy("owner").applyInArrow(_count_shared, "row long, shared long"))
+    counted = (sent.where("kind = 'message'").select("block", "row", "owner", "message", "members")
+               .groupBy("owner").applyInArrow(_count_shared, "block long, first long, rows binary, counts binary")
+               .groupBy("block").applyInArrow(_sum_shared, "row long, shared long"))
     shared = (counted.unionByName(rows.where("shared > 0").select("row", "shared"))
               .groupBy("row").agg(F.sum("shared").alias("total")).select(F.col("row").alias("_row"), "total"))
     alive = rows.join(shared, rows["row"] == shared["_row"]).where(
-        "total >= ceil(3 * n / 32)").select("row", "doc_id", "n", "cls")
+        "total >= ceil(3 * n / 16)").select("row", "doc_id", "n", "cls")
     alive = stage(alive, "jaccard-alive")
     least = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "doc_id"))
     classes = stage(alive.groupBy("cls", "n").agg(F.min("row").alias("node"), least.alias("least")), "jaccard-classes")
@@ -286,14 +310,16 @@ def _connected(sets: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have links, by rounds of pivots."""
     spark = sets.sparkSession
     index = stage(_prefix_index(sets), "jaccard-index")
+    marks = stage(_signatures(sets.join(index.select("node").distinct(), "node", "left_semi")), "jaccard-signatures")
     nodes = spark.createDataFrame([], "node long, component long")
     checked, pivots, rounds = None, 1, 0
     while True:
         live = index.join(nodes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-        # drop what has only its own component in reach
-        near = (live.select("item", F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1)))).alias("size_block"), "comp")
-                .groupBy("item", "size_block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi"))
-        live = live.join(near.select("item", "size_block"), ["item", "size_block"], "left_semi")
+        # keep what has another component in reach
+        near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
+        mixed = (live.select("item", near.alias("size_block"), "comp").groupBy("item", "size_block")
+                 .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("item", "size_block"))
+        live = live.join(mixed, ["item", "size_block"], "left_semi").join(marks, "node")
         if checked is None:
             live = live.withColumns({"leader": F.lit(None).cast("long"), "with_leader": F.lit(None).cast("long")})
         else:
@@ -301,14 +327,19 @@ def _connected(sets: DataFrame) -> DataFrame:
                 checked.select(F.col("b").alias("node"), F.struct(F.col("a").alias("leader"), "both").alias("x")))
             known = known.groupBy("node").agg(F.min("x").alias("x")).select("node", "x.leader", F.col("x.both").alias("with_leader"))
             live = live.join(known, "node", "left")
-        live = stage(live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader"), "jaccard-live")
+        live = stage(live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader", *SIGNATURE), "jaccard-live")
         if live.isEmpty():
             return nodes
         pairs, rest = _candidates(live, pivots, rounds)
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         found = stage(_overlaps(pairs, sets), "jaccard-answers")
-        checked = found if checked is None else checked.unionByName(found)
-        nodes = components(checked.where(LINKED).select("a", "b"))
-        index = rest.select("item", "node", "n", "pos", "size_block")
-        pivots, rounds = pivots * 2, rounds + 1
+        links = found.where(LINKED).select("a", "b")
+        if links.isEmpty():
+            pivots *= 16
+        else:
+            checked = found if checked is None else checked.unionByName(found)
+            nodes = components(links.unionByName(nodes.where("node <> component").select(
+                F.col("component").alias("a"), F.col("node").alias("b"))))
+            pivots *= 8
+        index, rounds = rest, rounds + 1

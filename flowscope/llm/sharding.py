@@ -90,7 +90,8 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 4) -> D
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     start = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
-    groups = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # stored, so that the join below reads plain exchanges whose hot partitions Spark can split
+    groups = stage(rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shard-groups")
     linked = stage(rows.withColumn("label", start).join(groups, GROUP, "left"), "shard-linked")
     cells = stage(linked.where("members > 1").groupBy(*GROUP, "label").agg(F.count(F.lit(1)).alias("n")), "shard-cells")
     cells = propagate(cells, quotas, rounds)
