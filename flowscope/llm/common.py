@@ -13,7 +13,7 @@ from flowscope.session import fresh_path
 
 # numpy work inside a task runs over slices of about this many text bytes, so
 # its temporary arrays stay at some tens of MB whatever the Arrow batch holds
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -36,7 +36,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """STEP**i and STEP**-i for i < n, kept per process and grown by doubling."""
     if len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for k, step in enumerate((STEP, STEP_INVERSE)):
             t = np.full(size, step, np.uint64)
             t[0] = 1

@@ -15,7 +15,7 @@ from flowscope.llm.textnum import LOWER, NOT_SPACE, ranges, span_hashes, word_sp
 
 U = np.uint64
 END_ID = 1
-CACHE_UNITS = 400_000  # the cache starts afresh beyond this many units
+CACHE_UNITS = 150_000  # the cache starts afresh beyond this many units
 
 _LETTER = np.zeros(256, bool)
 _LETTER[0x30:0x3A] = True
