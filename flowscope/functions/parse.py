@@ -68,9 +68,10 @@ def log_timestamp(stamp, year_month: str = "2020-01") -> Column:
 
 
 def flow_timestamp(text) -> Column:
-    """``yyyy-MM-dd_HH:mm:ss.SSS`` -> TIMESTAMP_NTZ, null when it does not parse."""
+    """``yyyy-MM-dd_HH:mm:ss.SSS`` -> TIMESTAMP_NTZ, null for anything that is not in
+    exactly this format (no short fields, three digits of milliseconds)."""
     iso = F.regexp_replace(F.concat(F.lit("#"), _col(text)),
-                           r"^#(\d{4}-\d\d-\d\d)_(\d\d:\d\d:\d\d(\.\d{1,6})?)$", "$1 $2")
+                           r"^#(\d{4}-\d\d-\d\d)_(\d\d:\d\d:\d\d\.\d{3})$", "$1 $2")
     return iso.try_cast("timestamp_ntz")
 
 
@@ -84,8 +85,10 @@ def subnet24(ip) -> Column:
     return F.concat(F.substring_index(_col(ip), ".", 3), F.lit(".*"))
 
 
-def ip_of_user(user_id, prefix: str = "10.0.") -> Column:
-    """Deterministic dotted quad for an integer id: ``prefix || id div 256 || '.' || id % 256``."""
+def ip_of_user(user_id) -> Column:
+    """Dotted quad of a non-negative integer id, one address per id:
+    ``10.a.b.c`` with the id's three low bytes; ids from 2**24 on carry into the
+    first octet (room for about 4.1 billion ids)."""
     u = _col(user_id)
-    return F.concat(F.lit(prefix), F.shiftright(u, 8).cast("string"), F.lit("."),
-                    F.pmod(u, F.lit(256)).cast("string"))
+    octets = [F.shiftright(u, 24) + 10] + [F.shiftright(u, n).bitwiseAND(255) for n in (16, 8, 0)]
+    return F.concat_ws(".", *(o.cast("string") for o in octets))

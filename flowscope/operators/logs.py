@@ -53,12 +53,12 @@ def hourly_slice(log: DataFrame, year: int, month: int, day: int, hour: int,
     """Bytes per address in the one-hour window starting at the given hour.
 
     The calendar test on the window bounds is kept, and the equivalent
-    predicate ``date_trunc('hour', datetime) = start`` is added so that rows outside the hour are
-    dropped before the aggregation (and pushed into the scan when ``datetime``
-    is a stored column).
+    range ``start <= datetime < start + 1 hour`` is added, so rows outside the
+    hour are dropped before the aggregation (and in the scan when ``datetime``
+    is a stored column: a range is pushed down).
     """
     start = F.make_timestamp_ntz(F.lit(year), F.lit(month), F.lit(day), F.lit(hour), F.lit(0), F.lit(0))
-    rows = log.where(F.date_trunc("hour", "datetime") == start)
+    rows = log.where((F.col("datetime") >= start) & (F.col("datetime") < start + F.expr("INTERVAL 1 HOUR")))
     w = hourly_bytes(rows, ordered=False)
     w = w.where((F.year("window_start") == year) & (F.month("window_start") == month)
                 & (F.dayofmonth("window_start") == day) & (F.hour("window_start") == hour)

@@ -81,12 +81,16 @@ def wasserstein_aligned(h: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
                     dist.alias("distance"))
 
 
+def align(u: DataFrame, v: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Two histograms ``[*by,] bucket, n`` side by side (``nu``, ``nv``; 0 where a bucket is absent)."""
+    return (u.withColumnRenamed("n", "nu").join(v.withColumnRenamed("n", "nv"), [*by, "bucket"], "full")
+            .select(*by, "bucket", F.coalesce("nu", F.lit(0)).alias("nu"), F.coalesce("nv", F.lit(0)).alias("nv")))
+
+
 def wasserstein(u: DataFrame, v: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """L5 + J2: distance between separate histograms ``u`` and ``v``
     (``[*by,] bucket, n``), aligned by a full outer join on the bucket."""
-    j = (u.withColumnRenamed("n", "nu").join(v.withColumnRenamed("n", "nv"), [*by, "bucket"], "full")
-         .select(*by, "bucket", F.coalesce("nu", F.lit(0)).alias("nu"), F.coalesce("nv", F.lit(0)).alias("nv")))
-    return wasserstein_aligned(j, by)
+    return wasserstein_aligned(align(u, v, by), by)
 
 
 def shed_distance(df: DataFrame, key: str, rate: float, bytes_col: str = "bytes", width: int = 10000,

@@ -24,18 +24,27 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_UNITS = {"ms": 0.001, "millisecond": 0.001, "s": 1, "sec": 1, "second": 1, "m": 60, "min": 60,
-          "minute": 60, "h": 3600, "hour": 3600, "d": 86400, "day": 86400, "week": 604800}
+# milliseconds of each unit; every unit is matched whole, singular or plural
+_UNITS = {name: ms for names, ms in (
+    ("ms millisecond milliseconds", 1), ("s sec secs second seconds", 1000), ("m min mins minute minutes", 60_000),
+    ("h hour hours", 3_600_000), ("d day days", 86_400_000), ("week weeks", 604_800_000)) for name in names.split()}
 
 
 def seconds(d) -> int:
-    """Duration in whole seconds from ``5``, ``'5 seconds'``, ``'1 hour'``, ``'15 minutes'``."""
+    """Duration in whole seconds from ``5``, ``'5 seconds'``, ``'1 hour'``, ``'2000 ms'``.
+
+    Windows are aligned to whole seconds, so a duration that is not a whole
+    number of them is refused rather than rounded."""
     if isinstance(d, (int, float)):
-        return int(d)
-    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]+?)s?\s*", str(d))
-    if not m or m.group(2).lower() not in _UNITS:
-        raise ValueError(f"unsupported duration: {d!r}")
-    return int(int(m.group(1)) * _UNITS[m.group(2).lower()])
+        ms = d * 1000
+    else:
+        m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]+)\s*", str(d))
+        if not m or m.group(2).lower() not in _UNITS:
+            raise ValueError(f"unsupported duration: {d!r}")
+        ms = int(m.group(1)) * _UNITS[m.group(2).lower()]
+    if ms % 1000 or ms <= 0:
+        raise ValueError(f"not a whole number of seconds: {d!r}")
+    return int(ms // 1000)
 
 
 def _dur(sec: int) -> str:

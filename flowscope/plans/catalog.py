@@ -63,6 +63,11 @@ def log_bytes_by_ip(spark, sf):
     return logs.bytes_by_ip(src.parsed_log(spark, sf))
 
 
+@query("log_parse_rejects")
+def log_parse_rejects(spark, sf):
+    return src.log_parse_rejects(src.log_lines(spark, sf), src.EVENTS_YEAR_MONTH)
+
+
 @query("log_top_ips")
 def log_top_ips(spark, sf):
     return logs.top_ips(src.parsed_log(spark, sf), k=10)
@@ -106,6 +111,11 @@ def flow_parse(spark, sf):
     return src.parse_flow_lines(src.flow_lines(spark, sf))
 
 
+@query("flow_parse_rejects")
+def flow_parse_rejects(spark, sf):
+    return src.flow_parse_rejects(src.flow_lines(spark, sf))
+
+
 @query("format_flow_line")
 def format_flow_line(spark, sf):
     return src.format_flow_lines(_fl(spark, sf))
@@ -223,6 +233,12 @@ def shed_bernoulli(spark, sf):
     return shedding.bernoulli_shed(_shed_in(spark, sf), SHED_RATE, seed=7)
 
 
+@query("histogram_aligned")
+def histogram_aligned(spark, sf):
+    lines = _shed_in(spark, sf)
+    return shedding.align(shedding.histogram(lines), shedding.histogram(shedding.hash_shed(lines, "event_id", SHED_RATE)))
+
+
 @query("bytes_histogram")
 def bytes_histogram(spark, sf):
     return shedding.histogram(_shed_in(spark, sf))

@@ -1,6 +1,6 @@
 """DuckDB SQL twins of the registered queries, written from the table
-definitions (not from the Spark code): the driver runs both at sf0.01 and
-compares row counts, schemas and value hashes."""
+definitions; hash constants and the protocol list are shared with the library.
+The driver runs both at sf0.01 and compares row counts, schemas and value hashes."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from flowscope.functions.hashing import HASH_A, HASH_B, unit_hash_sql
 from flowscope.sources.synth import ADDRESSES, DRAW_MULTS, PROTOCOLS, cdf_of, normalise_weights
 
 # ---- shared views -------------------------------------------------------------
-_IP = "('10.0.' || (user_id >> 8) || '.' || (user_id % 256))"
+_IP = ("((10 + (user_id >> 24)) || '.' || ((user_id >> 16) & 255) || '.' || ((user_id >> 8) & 255)"
+       " || '.' || (user_id & 255))")
 _HOST = (f"CASE WHEN user_id % 10 = 0 THEN 'host' || user_id || '.example.com' "
          f"WHEN user_id % 10 = 5 THEN 'gw' || user_id || '-' || {_IP} ELSE {_IP} END")
 
@@ -28,6 +29,9 @@ ORACLE: dict[str, str] = {}
 ORACLE["log_parse"] = f"WITH {LOG} SELECT ip, datetime, bytes FROM lg"
 ORACLE["log_valid_lines"] = (f"SELECT {LINE} AS value FROM events "
                              f"WHERE event_type <> 'error' AND user_id % 10 <> 0")
+ORACLE["log_parse_rejects"] = (
+    "SELECT count(*) AS n_lines, count(*) FILTER (event_type = 'error' OR user_id % 10 = 0) AS n_filtered, "
+    "CAST(0 AS BIGINT) AS n_unparsed FROM events")
 ORACLE["log_summary"] = (f"WITH {LOG} SELECT count(*) AS n_lines, count(DISTINCT ip) AS n_ips, "
                          f"CAST(sum(bytes) AS BIGINT) AS total_bytes FROM lg")
 ORACLE["log_bytes_by_ip"] = f"WITH {LOG} SELECT ip, CAST(sum(bytes) AS BIGINT) AS bytes FROM lg GROUP BY ip"
@@ -97,6 +101,8 @@ def _latest(key, k=3):
 
 ORACLE["flow_parse"] = (f"WITH {FL} SELECT date_trunc('millisecond', datetime) AS datetime, protocol, "
                         f"source_ip, destination_ip, packet_size FROM fl")
+ORACLE["flow_parse_rejects"] = (f"WITH {FL} SELECT count(*) AS n_lines, CAST(0 AS BIGINT) AS n_bad_time, "
+                                f"count(*) FILTER (packet_size IS NULL) AS n_bad_size FROM fl")
 ORACLE["format_flow_line"] = (f"WITH {FL} SELECT strftime(datetime, '%Y-%m-%d_%H:%M:%S.%g') || ' ' || protocol "
                               f"|| ' ' || source_ip || ' ' || destination_ip || ' ' || packet_size AS value FROM fl")
 ORACLE["flow_grand_total"] = f"WITH {FL} SELECT CAST(sum(packet_size) AS BIGINT) AS bytes, count(*) AS n FROM fl"
@@ -166,6 +172,9 @@ def _wdist(h, by=""):
 
 ORACLE["shed_hash"] = f"WITH {SI} SELECT event_id, bytes FROM si WHERE u < {_THR}"
 ORACLE["bytes_histogram"] = f"WITH {SI} SELECT bytes // 10000 AS bucket, count(*) AS n FROM si GROUP BY 1"
+ORACLE["histogram_aligned"] = (
+    f"WITH {SI} SELECT bytes // 10000 AS bucket, count(*) AS nu, count(*) FILTER (WHERE u < {_THR}) AS nv "
+    f"FROM si GROUP BY 1")
 ORACLE["histogram_wasserstein"] = (
     f"WITH {SI}, h AS (SELECT bytes // 10000 AS bucket, count(*) AS nu, "
     f"count(*) FILTER (WHERE u < {_THR}) AS nv FROM si GROUP BY 1), {_wdist('h')} "

@@ -39,6 +39,12 @@ CLUSTER_CONF = {
 }
 
 
+# Streams keep their number of shuffle partitions for the life of a checkpoint
+# and do not coalesce them (adaptive execution is off inside micro-batches), so
+# a stream session takes few partitions instead of the batch value above.
+STREAM_CONF = {**CLUSTER_CONF, "spark.sql.shuffle.partitions": "200"}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "flowscope", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the library expects.
@@ -69,32 +75,22 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, taken from ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read here.
-    When it is unset (local runs and tests) a fresh local folder is created
-    once and registered as the context's checkpoint folder, so later calls
-    in the same session reuse it.
+    When it is unset on a local master (tests) a fresh local folder is created
+    once and registered as the context's checkpoint folder, so later calls in
+    the same session reuse it; on any other master that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        try:
-            path = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext (e.g. a remote session)
-            path = None
-    if not path:
-        path = _LOCAL_DIRS.get(id(spark))
+        path = spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="flowscope-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(path)
-            path = spark.sparkContext.getCheckpointDir() or path
-        except Exception:
-            pass
-        _LOCAL_DIRS[id(spark)] = path
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowscope-ckpt-"))
+        path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
 
 
-_LOCAL_DIRS: dict[int, str] = {}
-
-
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A new, unique sub-path of the shared folder (never reused, never cleared)."""
     base = shared_dir(spark)

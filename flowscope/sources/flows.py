@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, ip_of_user
+from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, flow_timestamp, ip_of_user
 from flowscope.sources.tables import derived, table
 
+# version of the rendered lines; stored lines of another version are not reused
+FLOW_VERSION = 2
+
+
 def flow_view(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``events`` as flows: ts -> datetime, event_type -> protocol, user -> source
-    quad ``10.0.a.b``, ``event_id % 200`` -> destination ``10.1.0.x``,
+    quad ``10.a.b.c``, ``event_id % 200`` -> destination ``10.1.0.x``,
     ``round(value*100)`` -> integer packet size."""
     return events.select(
         *keep,
@@ -30,7 +34,7 @@ def flows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataF
 def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flow feed of a table folder as text lines ``value``, rendered from
     ``events`` once and stored in the shared folder (``tables.derived``)."""
-    return derived(spark, sf_dir, "flow-lines", "events", lambda ev: format_flow_lines(flow_view(ev)))
+    return derived(spark, sf_dir, f"flow-lines-v{FLOW_VERSION}", "events", lambda ev: format_flow_lines(flow_view(ev)))
 
 
 def format_flow_lines(fl: DataFrame) -> DataFrame:
@@ -40,6 +44,13 @@ def format_flow_lines(fl: DataFrame) -> DataFrame:
                                  F.col("packet_size").cast("string")).alias("value"))
 
 
+def flow_parse_rejects(lines: DataFrame) -> DataFrame:
+    """One row: lines read, lines without a time in the format, lines whose size is no int."""
+    parsed = parse_flow_lines(lines, drop_bad=False)
+    return parsed.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("datetime").isNull()).alias("n_bad_time"),
+                      F.count_if(F.col("datetime").isNotNull() & F.col("packet_size").isNull()).alias("n_bad_size"))
+
+
 _SEP = "\u0001"
 
 
@@ -63,7 +74,7 @@ def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
     def grp(i):
         return F.when(ok, F.try_element_at("_g", F.lit(i))).otherwise(F.lit(""))
 
-    out = g.select(F.translate(F.try_element_at("_g", F.lit(1)), "_", " ").try_cast("timestamp_ntz").alias("datetime"),
+    out = g.select(flow_timestamp(F.try_element_at("_g", F.lit(1))).alias("datetime"),
                    grp(2).alias("protocol"), grp(3).alias("source_ip"), grp(4).alias("destination_ip"),
                    F.when(ok, F.try_element_at("_g", F.lit(5))).try_cast("int").alias("packet_size"))
     return out.where(F.col("datetime").isNotNull()) if drop_bad else out

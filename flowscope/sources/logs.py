@@ -18,6 +18,10 @@ from flowscope.sources.tables import derived, derived_path
 EVENTS_YEAR_MONTH = "2024-01"
 
 
+# version of the rendered lines; stored lines of another version are not reused
+LOG_VERSION = 2
+
+
 def read_log_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per line, column ``value`` (splittable, partitioned by file blocks)."""
     return spark.read.text(path)
@@ -50,12 +54,12 @@ def render_log_lines(events: DataFrame) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The access log of a table folder: ``(event_id, value)``, rendered from
     ``events`` once and stored in the shared folder (``tables.derived``)."""
-    return derived(spark, sf_dir, "access-log", "events", render_log_lines)
+    return derived(spark, sf_dir, f"access-log-v{LOG_VERSION}", "events", render_log_lines)
 
 
 def log_lines_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the stored access log (a file-stream source for log streams)."""
-    return derived_path(spark, sf_dir, "access-log", "events", render_log_lines)
+    return derived_path(spark, sf_dir, f"access-log-v{LOG_VERSION}", "events", render_log_lines)
 
 
 def valid_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:

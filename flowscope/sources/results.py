@@ -61,7 +61,7 @@ def read_latest(spark: SparkSession, store: str) -> DataFrame:
 def delete_all(spark: SparkSession, store: str) -> None:
     """Replace the store with an empty table of the same schema."""
     empty = spark.createDataFrame([], STORE_SCHEMA)
-    empty.write.mode("overwrite").partitionBy("batch_id").parquet(store)
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(store)
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:

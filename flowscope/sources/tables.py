@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from collections.abc import Callable
 
@@ -29,8 +28,9 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
     ``events``), written once as parquet in the shared checkpoint folder and
     read back on every later call.
 
-    The folder name hashes the source file's path, size and modification
-    time, so a changed input gets a new table. Storing the derived input
+    The folder name hashes path, length and modification time (ms) of every
+    source file as the Hadoop file system lists them, on any storage, so a
+    changed input gets a new table; ``name`` carries the renderer's version. Storing the derived input
     mirrors production, where the lines are the stored input; rendering
     them inside every query would let Catalyst push the parser's filters
     into the rendering and evaluate it several times per row.
@@ -38,12 +38,9 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
     from flowscope.session import shared_dir
 
     src = f"{sf_dir.rstrip('/')}/{source}.parquet"
-    ident = src
-    if os.path.exists(src):
-        st = os.stat(src)
-        ident = f"{src}:{st.st_size}:{int(st.st_mtime)}"
+    ident = _listing(spark, src)
     path = f"{shared_dir(spark)}/{name}-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
-    if not _exists(spark, path + "/_SUCCESS"):
+    if not _exists(spark, path):  # only finished tables are moved here
         # write aside, then move into place: a concurrent writer never sees a
         # half-written table, and if another writer finished first its table is kept
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
@@ -52,28 +49,30 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
     return path
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> bool:
-    """Move a finished folder into place (Hadoop FS rename; atomic on HDFS and
-    local disks). Returns False when ``dst`` already exists."""
-    if "://" not in src or src.startswith("file:"):
-        try:
-            os.rename(src.replace("file:", ""), dst.replace("file:", ""))
-            return True
-        except OSError:
-            return False
-    jvm = spark.sparkContext._jvm
-    fs_src, fs_dst = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = fs_src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.rename(fs_src, fs_dst))
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _listing(spark: SparkSession, path: str) -> str:
+    """Path, length and modification time of every file under ``path``."""
+    p, fs = _fs(spark, path)
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a finished folder into place. If another writer finished first its
+    table is kept; any other failure is an error."""
+    p, fs = _fs(spark, src)
+    if not fs.rename(p, _fs(spark, dst)[0]) and not _exists(spark, dst):
+        raise OSError(f"cannot move {src} to {dst}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system (works for shared storage)."""
-    if os.path.exists(path.replace("file:", "")):
-        return True
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:
-        return False
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))

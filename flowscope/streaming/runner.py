@@ -27,6 +27,7 @@ import math
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -224,7 +225,9 @@ def run_to_end(spark: SparkSession, df: DataFrame, fn: Callable[[DataFrame], Dat
     schema = _batch_schema(spark, df, fn)
     try:
         return read_sink(spark, sink, schema)
-    except Exception:  # nothing was ever written (no window closed)
+    except AnalysisException as e:  # nothing was ever written (no window closed)
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

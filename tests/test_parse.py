@@ -88,3 +88,46 @@ def test_flow_and_log_timestamp_functions(spark):
     rows = df.select(flow_timestamp("f").alias("f"), log_timestamp("l", "2020-01").alias("l")).collect()
     assert rows[0].f == dt.datetime(2020, 5, 7, 13, 15, 40, 179000) and rows[0].l == dt.datetime(2020, 1, 29, 23, 53, 25)
     assert [rows[1].f, rows[1].l, rows[2].f, rows[2].l] == [None] * 4
+
+
+def test_ids_of_any_size_get_their_own_address_and_are_kept(spark):
+    from pyspark.sql import functions as F
+    from flowscope.functions.parse import ip_of_user, is_ipv4_host
+    ids = [1, 255, 256, 65_531, 65_536, 65_541, 70_001, 2**24 - 1, 2**24, 2**24 + 1, 3 * 2**24 + 5]
+    rows = spark.createDataFrame([(i,) for i in ids], "user_id long").select(ip_of_user("user_id").alias("ip"))
+    got = [r.ip for r in rows.collect()]
+    assert len(set(got)) == len(ids)
+    assert all(0 <= int(o) < 256 for ip in got for o in ip.split("."))
+    assert rows.where(is_ipv4_host("ip")).count() == len(ids)
+    assert got[:5] == ["10.0.0.1", "10.0.0.255", "10.0.1.0", "10.0.255.251", "10.1.0.0"]
+
+
+def test_flow_times_must_have_the_exact_format(spark):
+    from flowscope.sources.flows import flow_parse_rejects
+    good = "2020-05-07_13:15:40.179 SOAP 1.2.3.4 5.6.7.8 10"
+    bad = ["2020-5-7_1:2:3.5 SOAP 1.2.3.4 5.6.7.8 10", "2020-05-07_13:15:40 SOAP 1.2.3.4 5.6.7.8 10",
+           "2020-05-07_13:15:40.179123 SOAP 1.2.3.4 5.6.7.8 10"]
+    lines = spark.createDataFrame([(x,) for x in [good, *bad, good.replace(" 10", " 99999999999")]], "value string")
+    assert parse_flow_lines(lines).count() == 2
+    assert flow_parse_rejects(lines).first().asDict() == {"n_lines": 5, "n_bad_time": 3, "n_bad_size": 1}
+
+
+def test_durations():
+    import pytest
+    from flowscope.operators.windows import seconds
+    for text, want in [("1 hour", 3600), ("15 minutes", 900), ("5s", 5), ("5 seconds", 5), ("2000 ms", 2), ("1 m", 60),
+                       (5, 5), (2.0, 2), ("1 week", 604800)]:
+        assert seconds(text) == want, text
+    for text in ("500 ms", "1500 ms", "250 milliseconds", 2.5, "5 parsecs", "ms", 0):
+        with pytest.raises(ValueError):
+            seconds(text)
+
+
+def test_a_rewritten_input_is_rendered_anew(spark, tmp_dir):
+    from flowscope.sources.flows import flow_lines
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    folder = f"file://{tmp_dir}/in"
+    events.limit(7).write.parquet(f"{folder}/events.parquet")
+    assert flow_lines(spark, folder).count() == 7
+    events.limit(14).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    assert flow_lines(spark, folder).count() == 14
