@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,3 +102,16 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     first, so Spark chooses the join by their real size."""
     gone = stage(keys.select(F.col("key").alias("_gone")), "gone")
     return docs.join(gone, docs["_flowscope_key"] == gone["_gone"], "left_anti").drop("_flowscope_key")
+
+
+def tidy(task):
+    """``task`` (a mapInArrow function) that returns freed memory to the system when it
+    ends: Python workers are reused, and would otherwise keep the peak of every
+    operator that ran in them before."""
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+    return run

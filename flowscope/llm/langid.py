@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import fold_of, slices, string_bytes
+from flowscope.llm.common import fold_of, slices, string_bytes, tidy
 
 U = np.uint64
 SAMPLE_ROWS = 3000
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, filters: Filters, keep: list[str] = ()) -> DataFram
                     [*(batch.column(i).slice(a, b - a) for i in range(n_kept)), pa.array(names[best], pa.string()),
                      pa.array(np.where(unknown, 0.0, score))], [*batch.schema.names[:n_kept], "lang_pred", "score"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
