@@ -32,10 +32,10 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     sys.path.insert(0, ".")
     from flowscope.session import build_session
-    from __spark_entry__ import queries
+    from flowscope.plans.catalog import QUERIES
     spark = build_session("local[8]", 8)
     rows = []
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf_dir)

@@ -10,10 +10,11 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from flowscope.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
-STREAMING = {q for q in queries() if q.startswith("stream_")}
-BATCH = sorted(set(queries()) - STREAMING)
+STREAMING = {q for q in QUERIES if q.startswith("stream_")}
+BATCH = sorted(set(QUERIES) - STREAMING)
 
 
 def _plan(spark, name):
