@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import slices, stage, string_bytes
+from flowscope.llm.common import map_arrow, slices, stage, string_bytes
 from flowscope.llm.tokens import default_tokenizer, tokenizer, with_end
 
 LENGTH = 2048
@@ -121,8 +121,8 @@ def packed_rows(docs: DataFrame, length: int = LENGTH, tokenizer_path: str | Non
         if pieces:
             yield pack(pieces, number)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(run, SCHEMA)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                 F.coalesce(F.col("text"), F.lit("")).alias("text")), run, SCHEMA)
 
 
 def write_packed(docs: DataFrame, length: int = LENGTH, tokenizer_path: str | None = None) -> DataFrame:

@@ -15,6 +15,9 @@ from flowscope.session import fresh_path
 # numpy work inside a task runs over slices of about this many text bytes, so
 # its temporary arrays stay at some tens of MB whatever the Arrow batch holds
 SLICE_BYTES = 1 << 20
+# bytes of one Arrow batch, about: Spark's own bound (64 MB) is held several times
+# per task, in the JVM's direct memory and in the Python worker
+BATCH_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +107,13 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.join(gone, docs["_flowscope_key"] == gone["_gone"], "left_anti").drop("_flowscope_key")
 
 
+def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
+    """``df.mapInArrow`` in batches of about ``BATCH_BYTES`` (a longer row is a batch of its
+    own), in workers that hand freed memory back. Sets Spark's batch bound for the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(tidy(task), schema)
+
+
 def tidy(task):
     """``task`` (a mapInArrow function) that returns freed memory to the system when it
     ends: Python workers are reused, and would otherwise keep the peak of every

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import slices, stage, string_bytes, tidy
+from flowscope.llm.common import map_arrow, slices, stage, string_bytes
 from flowscope.llm.textnum import ALNUM, LOWER, grams, span_hashes, word_spans
 
 
@@ -219,7 +219,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, k: in
         if follows is not None and not parts:
             source = stage(source, "decontam-docs")  # row numbers must be the same in every pass
         held = spark.sparkContext.broadcast(block)
-        parts.append(source.mapInArrow(tidy(lambda it, held=held: _task(held.value)(it)), schema))
+        parts.append(map_arrow(source, lambda it, held=held: _task(held.value)(it), schema))
         block = follows
     return parts[0] if len(parts) == 1 else _merged(parts)
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import shuffle_partitions, stage, string_bytes, tidy
+from flowscope.llm.common import map_arrow, shuffle_partitions, stage, string_bytes
 from flowscope.llm.exchange import cut_by_owner, decode, encode
 
 U = np.uint64
@@ -157,8 +157,8 @@ def exact_dedup(docs: DataFrame, key_col: str = "doc_id", filter_bits: int = 1 <
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                          F.col(key_col).cast("long").alias("key"))
     owners = OWNERS_PER_PARTITION * shuffle_partitions(spark)
-    sent = stage(source.select("doc_id", "text", F.char_length("text").cast("long").alias("points"), "key")
-                 .mapInArrow(tidy(_send(owners)), _ROWS_SQL), "dedup-sent")
+    sent = stage(map_arrow(source.select("doc_id", "text", F.char_length("text").cast("long").alias("points"), "key"),
+                           _send(owners), _ROWS_SQL), "dedup-sent")
     rows = sent.where("kind = 'row'").select("row", "key", "doc_id", "points", "sha", "block", "owner", "rank")
     answers = (sent.where("kind = 'message'").select("block", "owner", "message", "repeated")
                .groupBy("owner").applyInArrow(_answer, "block long, owner int, bitmap binary"))
@@ -167,7 +167,7 @@ def exact_dedup(docs: DataFrame, key_col: str = "doc_id", filter_bits: int = 1 <
         " cast(7 - rank % 8 as int)) % 2 = 1").alias("suspect")), "dedup-flagged")
     suspects = flagged.where("suspect")
     words = spark.sparkContext.broadcast(_filter_words(suspects, filter_bits))
-    verified = (source.select("text").mapInArrow(tidy(lambda it: _suspect_texts(words.value)(it)), "sha binary, norm binary")
+    verified = (map_arrow(source.select("text"), lambda it: _suspect_texts(words.value)(it), "sha binary, norm binary")
                 .groupBy("sha", "norm").agg(F.count(F.lit(1)).alias("n")).select("sha", "n"))
     best = suspects.groupBy("sha").agg(F.min(F.struct(
         -F.col("points"), F.coalesce("doc_id", F.lit(2**63 - 1)), "row", "doc_id")).alias("best"))

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import shuffle_partitions, slices, stage, string_bytes, tidy
+from flowscope.llm.common import map_arrow, shuffle_partitions, slices, stage, string_bytes
 from flowscope.llm.components import components
 from flowscope.llm.exchange import cut_by_owner, decode, encode
 from flowscope.llm.textnum import LOWER, NOT_SPACE, grams, mix, span_hashes, word_spans
@@ -279,7 +279,7 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
     # width of the exchanged hashes: 24 bits beyond the row count, so chance hits stay rare at any size
     width = min(64, 24 + max(1, int(source.count()).bit_length()))
     owners = OWNERS_PER_PARTITION * shuffle_partitions(spark)
-    sent = stage(source.mapInArrow(tidy(_send(owners, width)), _SENT_SQL), "jaccard-sent")
+    sent = stage(map_arrow(source, _send(owners, width), _SENT_SQL), "jaccard-sent")
     rows = sent.where("kind = 'row'").select("row", "key", "doc_id", "n", "shared", "cls")
     counted = (sent.where("kind = 'message'").select("block", "row", "owner", "message", "members")
                .groupBy("owner").applyInArrow(_count_shared, "block long, first long, rows binary, counts binary")
@@ -292,7 +292,7 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
     least = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "doc_id"))
     classes = stage(alive.groupBy("cls", "n").agg(F.min("row").alias("node"), least.alias("least")), "jaccard-classes")
     words = spark.sparkContext.broadcast(filter_words(classes, filter_bits))
-    sets = (source.select("text").mapInArrow(tidy(lambda it: _sets_task(words.value)(it)), "cls binary, items array<long>")
+    sets = (map_arrow(source.select("text"), lambda it: _sets_task(words.value)(it), "cls binary, items array<long>")
             .groupBy("cls").agg(F.first("items").alias("items")))
     sets = stage(classes.join(sets, "cls").select("node", "n", "items"), "jaccard-sets")
     nodes = _connected(sets)

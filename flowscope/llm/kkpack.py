@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import slices, string_bytes, tidy
+from flowscope.llm.common import map_arrow, slices, string_bytes
 from flowscope.llm.tokens import default_tokenizer, tokenizer, with_end
 
 CAPACITY = 2048
@@ -200,5 +200,5 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cut: bool = True, tokenizer_
         packer.finish()
         yield drained()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(tidy(run), SCHEMA)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                 F.coalesce(F.col("text"), F.lit("")).alias("text")), run, SCHEMA)

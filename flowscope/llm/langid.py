@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowscope.llm.common import fold_of, slices, string_bytes, tidy
+from flowscope.llm.common import fold_of, map_arrow, slices, string_bytes
 
 U = np.uint64
 SAMPLE_ROWS = 3000
@@ -130,7 +130,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, min_share: float = MI
         share = F.create_map(*(F.lit(v) for x in languages for v in (x, min(1.0, sample_rows / counts[x]))))
         pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
         sample = known.where(pick < share[F.col("lang")]).select("lang", F.coalesce("text", F.lit("")).alias("text"))
-        grams = (sample.mapInArrow(_train_task(languages), "lang int, gram long, n long")
+        grams = (map_arrow(sample, _train_task(languages), "lang int, gram long, n long")
                  .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
         least = F.create_map(*(F.lit(v) for i, x in enumerate(languages)
                                for v in (i, max(2.0, min_share * min(sample_rows, counts[x])))))
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, filters: Filters, keep: list[str] = ()) -> DataFram
                     [*(batch.column(i).slice(a, b - a) for i in range(n_kept)), pa.array(names[best], pa.string()),
                      pa.array(np.where(unknown, 0.0, score))], [*batch.schema.names[:n_kept], "lang_pred", "score"])
 
-    return source.mapInArrow(tidy(run), schema)
+    return map_arrow(source, run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
