@@ -7,11 +7,15 @@ protocols, source and destination addresses.
 
 Scale notes
 * Per-window statistics (total, spread) are aggregated separately (partial
-  aggregation, one row per window) and joined back on the window. Callers
-  may pass the statistics already sized by ``sized_side``: its row count is
-  measured, and it is broadcast only under a row bound, otherwise joined by
-  a shuffle (sort-merge, AQE skew splitting). No operator gathers all keys
-  of a window into one task.
+  aggregation, one row per window) and joined back on the window. Both sides
+  of that join carry the same filters and columns (``_shared``), so they read
+  one shuffle of the input (``ReusedExchange``): one scan, nothing stored or
+  counted while the plan is built. The join strategy is left to Spark, which
+  broadcasts by the measured size of the shuffled statistics; callers may
+  pass statistics sized by ``sized_side`` instead. No operator gathers all
+  keys of a window into one task.
+* Adaptive execution, and with it skew splitting, is off inside
+  ``foreachBatch``; there a batch holds the windows one trigger closed.
 * Top-k per window filters ``row_number() <= k``; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so each task ships at most k rows
   per window.
@@ -19,8 +23,6 @@ Scale notes
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,13 @@ def sized_side(stats: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, store: bool
     return F.broadcast(stats) if stats.count() <= max_rows else stats.hint("shuffle_merge")
 
 
+def _shared(agg: DataFrame) -> DataFrame:
+    """``agg`` with the null filters that the window join would put on one side
+    only, so that both sides keep one plan and share its shuffle. Drops nothing:
+    a window has bounds."""
+    return agg.where(F.col(WIN[0]).isNotNull() & F.col(WIN[1]).isNotNull())
+
+
 def window_totals(agg: DataFrame) -> DataFrame:
     """A9 from the keyed aggregate: total bytes per window."""
     return agg.groupBy(*WIN).agg(F.sum("bytes").alias("total_bytes"))
@@ -59,6 +68,7 @@ def heavy_hitters(agg: DataFrame, key: str, h: float, totals: DataFrame | None =
     ``sized_side``). Output: ``window_start, window_end, key, bytes,
     total_bytes, share``. At most ``floor(1/h)`` keys per window can pass.
     """
+    agg = _shared(agg)
     totals = window_totals(agg) if totals is None else totals.select(*WIN, "total_bytes")
     j = agg.select(*WIN, key, "bytes").join(totals, WIN)
     return (j.where(F.col("bytes") > F.lit(float(h)) * F.col("total_bytes"))
@@ -113,6 +123,7 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: Da
     ``stats`` defaults to ``window_spread(agg, key)`` (pass it sized).
     Output: ``window_start, window_end, key, avg_size``.
     """
+    agg = _shared(agg)
     means = key_means(agg, key)
     stats = window_spread(agg, key) if stats is None else stats.select(*WIN, "_sd", "_mu")
     bound = F.lit(float(x)) * F.col("_sd")
@@ -122,27 +133,31 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: Da
 
 
 def monitor_rows(agg: DataFrame, key: str, h: float, k: int, x: float,
-                 funcs: tuple[str, str, str] = ("func1", "func2", "func3"), sized: bool = False) -> DataFrame:
+                 funcs: tuple[str, str, str] = ("func1", "func2", "func3")) -> DataFrame:
     """Heavy hitters, top-k and deviants of one keyed aggregate as long rows
     ``window_start, window_end, func, key, value`` (share, bytes, mean size).
-    One ``window_stats`` table serves both joins; ``sized`` stores it once in
-    the shared folder and measures it (``sized_side``) before the joins."""
-    stats = window_stats(agg)
-    if sized:  # stored once: the count and both joins read it, none recomputes it
-        stats = sized_side(stats, store=True)
 
-    def rows(df: DataFrame, func: str, value) -> DataFrame:
-        return df.select(*WIN, F.lit(func).alias("func"), F.col(key).alias("key"), value.cast("double").alias("value"))
-
-    return reduce(DataFrame.unionByName, [
-        rows(heavy_hitters(agg, key, h, stats), funcs[0], F.col("share")),
-        rows(top_k(agg, key, k), funcs[1], F.col("bytes")),
-        rows(deviants(agg, key, x, stats=stats), funcs[2], F.col("avg_size")),
-    ])
+    Heavy hitters and deviants come from one join with ``window_stats``; it
+    and the top-k read the same shuffle of the input, so the input is
+    scanned once.
+    """
+    # n is a count: the test holds for every row and keeps the column, so that
+    # the top-k, which does not need it, has the same aggregate as the others
+    agg = _shared(agg).where(F.col("n") >= 0)
+    joined = agg.withColumn("_m", F.try_divide("bytes", "n")).join(window_stats(agg), WIN)
+    heavy = F.when(F.col("bytes") > F.lit(float(h)) * F.col("total_bytes"),
+                   F.struct(F.lit(funcs[0]).alias("func"), F.try_divide("bytes", "total_bytes").alias("value")))
+    deviant = F.when(F.col("_m") > F.lit(float(x)) * F.col("_sd"),
+                     F.struct(F.lit(funcs[2]).alias("func"), F.col("_m").alias("value")))
+    found = (joined.select(*WIN, F.col(key).alias("key"), F.explode(F.array(heavy, deviant)).alias("_r"))
+             .where("_r IS NOT NULL").select(*WIN, "_r.func", "key", "_r.value"))
+    top = top_k(agg, key, k).select(*WIN, F.lit(funcs[1]).alias("func"), F.col(key).alias("key"),
+                                    F.col("bytes").cast("double").alias("value"))
+    return found.unionByName(top)
 
 
 def snapshot(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: float,
-             protocol_key: str = "protocol", ip_key: str = "source_ip", sized: bool = False) -> DataFrame:
+             protocol_key: str = "protocol", ip_key: str = "source_ip") -> DataFrame:
     """The six results of every window as one long table
     ``window_start, window_end, func, key, value`` (``func1`` .. ``func6``).
 
@@ -151,5 +166,5 @@ def snapshot(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: fl
     of six lists: the rows stay distributed instead of being gathered per
     window.
     """
-    return monitor_rows(protocol_agg, protocol_key, h, k, x, ("func1", "func2", "func3"), sized).unionByName(
-        monitor_rows(ip_agg, ip_key, h, k, x, ("func4", "func5", "func6"), sized))
+    return monitor_rows(protocol_agg, protocol_key, h, k, x, ("func1", "func2", "func3")).unionByName(
+        monitor_rows(ip_agg, ip_key, h, k, x, ("func4", "func5", "func6")))

@@ -67,6 +67,12 @@ def keyed_window_agg(fl: DataFrame, key: str | None, width, slide=None, value: s
     t = seconds(width)
     s = seconds(slide) if slide is not None else t
     keys = [key] if key else []
+    # A row without a time has no window. Said before the windows are laid out,
+    # the test reaches the scan; with a time that cannot be null, window() adds
+    # no test of its own behind them, which Spark pushes down on one side of a
+    # self-join only, so both sides share one scan and shuffle.
+    fl = fl.where(F.col(time_col).isNotNull())
+    time_col = F.coalesce(time_col, F.lit("1970-01-01 00:00:00").cast(fl.schema[time_col].dataType))
     if panes == "auto":
         panes = t // s >= PANE_MIN_FANOUT
     if not panes or s == t:

@@ -17,7 +17,7 @@ from flowscope.operators import logs, profile, shedding, traffic
 from flowscope.operators.windows import (
     grand_total, keyed_window_agg, running_total, window_avg, window_bytes,
 )
-from flowscope.session import ensure_dir, fresh_path, stage
+from flowscope.session import ensure_dir, fresh_path
 from flowscope.sources import results as store
 from flowscope.sources.synth import synth_flows as _synth
 from flowscope.streaming.runner import (
@@ -98,12 +98,9 @@ def _fl(spark, sf):
     return src.flows(spark, sf)
 
 
-def _agg(spark, sf, key, slide=True, staged=False):
-    """Keyed window aggregate; ``staged`` stores it once in the shared folder
-    for queries that read it more than once (self-joins, the snapshot)."""
+def _agg(spark, sf, key, slide=True):
     m = MONITOR
-    agg = keyed_window_agg(_fl(spark, sf), key, m["width"], m["slide"] if slide else None)
-    return stage(agg, f"agg-{key}") if staged else agg
+    return keyed_window_agg(_fl(spark, sf), key, m["width"], m["slide"] if slide else None)
 
 
 @query("flow_parse")
@@ -169,8 +166,7 @@ def ip_avg_sliding(spark, sf):
 # ---------------------------------------------------------------- flagship
 @query("heavy_protocols")
 def heavy_protocols(spark, sf):
-    agg = _agg(spark, sf, "protocol", staged=True)
-    return traffic.heavy_hitters(agg, "protocol", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg), store=True))
+    return traffic.heavy_hitters(_agg(spark, sf, "protocol"), "protocol", MONITOR["h"])
 
 
 @query("topk_protocols")
@@ -180,14 +176,12 @@ def topk_protocols(spark, sf):
 
 @query("deviant_protocols")
 def deviant_protocols(spark, sf):
-    agg = _agg(spark, sf, "protocol", staged=True)
-    return traffic.deviants(agg, "protocol", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "protocol"), store=True))
+    return traffic.deviants(_agg(spark, sf, "protocol"), "protocol", MONITOR["x"])
 
 
 @query("heavy_ips")
 def heavy_ips(spark, sf):
-    agg = _agg(spark, sf, "source_ip", staged=True)
-    return traffic.heavy_hitters(agg, "source_ip", MONITOR["h"], traffic.sized_side(traffic.window_totals(agg), store=True))
+    return traffic.heavy_hitters(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["h"])
 
 
 @query("topk_ips")
@@ -197,8 +191,7 @@ def topk_ips(spark, sf):
 
 @query("deviant_ips")
 def deviant_ips(spark, sf):
-    agg = _agg(spark, sf, "source_ip", staged=True)
-    return traffic.deviants(agg, "source_ip", MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(agg, "source_ip"), store=True))
+    return traffic.deviants(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["x"])
 
 
 @query("latest_topk_protocols")
@@ -214,8 +207,8 @@ def latest_topk_ips(spark, sf):
 @query("monitor_snapshot")
 def monitor_snapshot(spark, sf):
     m = MONITOR
-    return traffic.snapshot(_agg(spark, sf, "protocol", staged=True), _agg(spark, sf, "source_ip", staged=True),
-                            m["h"], m["k"], m["x"], sized=True)
+    return traffic.snapshot(_agg(spark, sf, "protocol"), _agg(spark, sf, "source_ip"),
+                            m["h"], m["k"], m["x"])
 
 
 # ---------------------------------------------------------------- shedding
@@ -366,11 +359,11 @@ def _twin(name, key, fn):
 
 
 def _heavy_batch(key):
-    return lambda b: traffic.heavy_hitters(b, key, MONITOR["h"], traffic.sized_side(traffic.window_totals(b)))
+    return lambda b: traffic.heavy_hitters(b, key, MONITOR["h"])
 
 
 def _deviant_batch(key):
-    return lambda b: traffic.deviants(b, key, MONITOR["x"], stats=traffic.sized_side(traffic.window_spread(b, key)))
+    return lambda b: traffic.deviants(b, key, MONITOR["x"])
 
 
 _twin("stream_heavy_protocols", "protocol", _heavy_batch("protocol"))
@@ -409,3 +402,36 @@ def stream_latest_topk_protocols(spark, sf):
     q.awaitTermination()
     ensure_dir(sink)
     return latest_batch(spark.read.parquet(sink))
+
+
+@query("stream_latest_topk_ips")
+def stream_latest_topk_ips(spark, sf):
+    sink, ck = fresh_path(spark, "latest-out"), fresh_path(spark, "latest-ck")
+    top = latest_top_k_stream(_stream_agg(spark, sf, "source_ip", panes=False), "source_ip", MONITOR["k"])
+    q = run_upsert_latest(top, sink, ck, mode="complete")
+    q.awaitTermination()
+    ensure_dir(sink)
+    return latest_batch(spark.read.parquet(sink))
+
+
+# ---------------------------------------------------------------- store operations
+@query("results_replaced_after_delete")
+def results_replaced_after_delete(spark, sf):
+    """Insert, delete all, insert the top-k rows only, insert them again (a replay)."""
+    path, rows = _stored(spark, sf), _results(spark, sf).where("func IN ('func2', 'func5')")
+    store.delete_all(spark, path)
+    for _ in range(2):
+        store.insert(rows, path, batch_id=1)
+    return store.read_all(spark, path)
+
+
+# ---------------------------------------------------------------- text scans
+@query("log_text_bytes_by_ip")
+def log_text_bytes_by_ip(spark, sf):
+    lines = src.read_log_text(spark, src.log_text_path(spark, sf))
+    return logs.bytes_by_ip(src.parse_log_lines(lines, src.EVENTS_YEAR_MONTH))
+
+
+@query("flow_text_parse")
+def flow_text_parse(spark, sf):
+    return src.parse_flow_lines(src.read_flow_text(spark, src.flow_text_path(spark, sf)))

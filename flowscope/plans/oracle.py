@@ -284,3 +284,10 @@ ORACLE["stream_hourly_bytes"] = (
     f"(WITH {LOG} SELECT max(datetime) FROM lg) - INTERVAL 10 MINUTE")
 ORACLE["stream_running_total_by_protocol"] = ORACLE["running_total_by_protocol"]
 ORACLE["stream_latest_topk_protocols"] = ORACLE["latest_topk_protocols"]
+ORACLE["stream_latest_topk_ips"] = ORACLE["latest_topk_ips"]
+
+# ---------------------------------------------------------------- store operations, text scans
+ORACLE["results_replaced_after_delete"] = (_RES + "SELECT window_end AS time, func, key, value FROM r "
+                                           "WHERE func IN ('func2', 'func5')")
+ORACLE["log_text_bytes_by_ip"] = ORACLE["log_bytes_by_ip"]
+ORACLE["flow_text_parse"] = ORACLE["flow_parse"]

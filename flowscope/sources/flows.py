@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, flow_timestamp, ip_of_user
-from flowscope.sources.tables import derived, table
+from flowscope.sources.tables import derived, derived_path, table
 
 # version of the rendered lines; stored lines of another version are not reused
 FLOW_VERSION = 2
@@ -37,6 +37,12 @@ def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, f"flow-lines-v{FLOW_VERSION}", "events", lambda ev: format_flow_lines(flow_view(ev)))
 
 
+def flow_text_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the same flow feed as plain text files, one line each."""
+    return derived_path(spark, sf_dir, f"flow-text-v{FLOW_VERSION}", "events",
+                        lambda ev: format_flow_lines(flow_view(ev)), "text")
+
+
 def format_flow_lines(fl: DataFrame) -> DataFrame:
     """``yyyy-MM-dd_HH:mm:ss.SSS PROTO SRC DST SIZE`` (milliseconds)."""
     return fl.select(F.concat_ws(" ", F.date_format("datetime", FLOW_TIME_FORMAT), "protocol",

@@ -62,6 +62,12 @@ def log_lines_path(spark: SparkSession, sf_dir: str) -> str:
     return derived_path(spark, sf_dir, f"access-log-v{LOG_VERSION}", "events", render_log_lines)
 
 
+def log_text_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the same access log as plain text files, one line each."""
+    return derived_path(spark, sf_dir, f"access-log-text-v{LOG_VERSION}", "events",
+                        lambda ev: render_log_lines(ev).select("value"), "text")
+
+
 def valid_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     """P5 + P6: host contains a dotted quad and bytes are present."""
     return lines.where(is_ipv4_host(field("value", 0), strict) & bytes_present("value"))

@@ -23,9 +23,9 @@ def derived(spark: SparkSession, sf_dir: str, name: str, source: str,
 
 
 def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
-                 build: Callable[[DataFrame], DataFrame]) -> str:
+                 build: Callable[[DataFrame], DataFrame], fmt: str = "parquet") -> str:
     """Folder of a table Spark derives from ``source`` (e.g. text lines rendered from
-    ``events``), written once as parquet in the shared checkpoint folder and
+    ``events``), written once (as ``fmt``) in the shared checkpoint folder and
     read back on every later call.
 
     The folder name hashes path, length and modification time (ms) of every
@@ -44,7 +44,7 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, source: str,
         # write aside, then move into place: a concurrent writer never sees a
         # half-written table, and if another writer finished first its table is kept
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-        build(table(spark, sf_dir, source)).write.mode("overwrite").parquet(tmp)
+        build(table(spark, sf_dir, source)).write.mode("overwrite").format(fmt).save(tmp)
         _rename(spark, tmp, path)
     return path
 

@@ -51,9 +51,9 @@ def test_topk_partial_limit_before_shuffle(plans, name):
     assert exchange and max(partial) > min(exchange), "a WindowGroupLimit must sit below the window shuffle"
 
 
-# The snapshot reads its two staged aggregates (written once each, from one
-# scan of the input per key) ten times: heavy and deviant read theirs twice,
-# top-k once, for each key. The latest results read the small store twice
+# Scans named in the initial plan, before exchanges are reused: the snapshot names
+# each key's input three times (rows, statistics, top-k), see
+# test_monitor_scans_input_once. The latest results read the small store twice
 # (rows and the max-time subquery).
 SCAN_LIMIT = {"monitor_snapshot": 10, "results_json_roundtrip": 10, "results_latest": 3}
 
@@ -87,3 +87,32 @@ def test_aggregations_combine_map_side(plans, name):
     p = plans[name]
     if "HashAggregate" in p and "Exchange hashpartitioning" in p:
         assert "partial_" in p, name
+
+
+@pytest.mark.parametrize("name,keys", [("heavy_protocols", 1), ("heavy_ips", 1), ("deviant_protocols", 1),
+                                       ("deviant_ips", 1), ("monitor_snapshot", 2)])
+def test_monitor_scans_input_once(spark, name, keys):
+    """Rows and per-window statistics of a key share one scan and shuffle, and
+    nothing is stored or counted while the plan is built."""
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    try:
+        df = queries()[name](spark, SF_SMALL)
+        # a job that reads the parquet footer for the schema is no work on rows
+        built = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(built) <= keys
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Scan parquet", final)) == keys
+    assert final.count("ReusedExchange") >= keys
+
+
+def test_rows_without_time_have_no_window(spark):
+    from flowscope.operators.windows import keyed_window_agg
+    rows = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-01-01 00:00:05', 'a', 3), (NULL, 'a', 4), "
+                     "(TIMESTAMP_NTZ'2024-01-01 00:00:06', NULL, NULL) AS t(datetime, protocol, packet_size)")
+    for slide in ("10 seconds", "5 seconds", "1 second"):
+        got = keyed_window_agg(rows, "protocol", "10 seconds", slide).groupBy("protocol").sum("bytes", "n").collect()
+        f = {"10 seconds": 1, "5 seconds": 2, "1 second": 10}[slide]
+        assert {(r[0], r[1], r[2]) for r in got} == {("a", 3 * f, f), (None, None, 0)}
