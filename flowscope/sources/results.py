@@ -2,8 +2,9 @@
 
 The store is a parquet table of monitoring results in long form
 ``time, func, key, value`` (one row per reported key), appended per batch
-under ``batch_id=`` partitions so that a replayed micro-batch overwrites
-its own partition (idempotent, at-least-once safe).
+under ``source=/batch_id=`` partitions, the layout that streams write too, so
+that a replayed micro-batch overwrites its own partition (idempotent,
+at-least-once safe) and one store can hold both.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ STORE_SCHEMA = StructType([
     StructField("func", StringType(), True),
     StructField("key", StringType(), True),
     StructField("value", DoubleType(), True),
+    StructField("source", StringType(), True),
     StructField("batch_id", LongType(), True),
 ])
 DOC_COLUMNS = ["time", "func", "key", "value"]
@@ -40,11 +42,12 @@ def snapshot_to_results(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(F.col("window_end").alias("time"), "func", "key", "value")
 
 
-def insert(df: DataFrame, store: str, batch_id: int = 0) -> None:
-    """Add result rows; re-inserting the same ``batch_id`` replaces it."""
-    (df.select(*DOC_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+def insert(df: DataFrame, store: str, batch_id: int = 0, source: str = "batch") -> None:
+    """Add result rows; re-inserting the same ``batch_id`` of a ``source``
+    replaces it (streams write under the name of their key)."""
+    (df.select(*DOC_COLUMNS, F.lit(source).alias("source"), F.lit(batch_id).cast("bigint").alias("batch_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(store))
+     .partitionBy("source", "batch_id").parquet(store))
 
 
 def read_all(spark: SparkSession, store: str) -> DataFrame:
@@ -61,7 +64,7 @@ def read_latest(spark: SparkSession, store: str) -> DataFrame:
 def delete_all(spark: SparkSession, store: str) -> None:
     """Replace the store with an empty table of the same schema."""
     empty = spark.createDataFrame([], STORE_SCHEMA)
-    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(store)
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source", "batch_id").parquet(store)
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:

@@ -67,3 +67,17 @@ def test_monitor_stream_to_store(spark, tmp_dir):
     assert {r.func for r in rows.select("func").distinct().collect()} == {f"func{i}" for i in range(1, 7)}
     assert store.read_latest(spark, path).count() > 0
     assert store.peek(rows, 5).count() == 5
+
+
+def test_store_holds_inserts_and_stream_batches(spark, tmp_dir):
+    from flowscope.sources import results as store
+    rows = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS time, 'func1' AS func, 'a' AS key, 1.0D AS value")
+    path = f"{tmp_dir}/mixed"
+    store.insert(rows, path)
+    # as monitor_to_store writes a batch
+    (rows.withColumn("batch_id", F.lit(0).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/source=protocol"))
+    store.insert(rows, path)  # a replay replaces its own batch only
+    assert store.read_all(spark, path).count() == 2
+    store.delete_all(spark, path)
+    assert store.read_all(spark, path).count() == 0
