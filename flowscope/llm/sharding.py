@@ -1,20 +1,25 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
 Documents with equal texts are linked; a link whose ends lie in different
-shards is cut. Every document starts with a label hashed from its row. The
-links of a group of equal texts are complete, so a document's neighbours are
-counted per (group, label) cell instead of per link: each round joins the
-cells of a group with the label most of its members carry (labels with room
-first), proposes to move the other cells there, and accepts proposals in order
-while the target's quota lasts (a part of a cell may be accepted). Rounds go
-on until none moves, ``rounds`` at most. Then shards are evened out exactly:
-each keeps its quota of rows, linked rows first, and what exceeds it (unlinked
-rows, as long as there are any) fills the shards with room.
+shards is cut. Groups of more than 1/``HEAVY`` of a quota are placed first, the
+largest first: each goes to the shard it fits best, or fills the shards with
+most room one after the other, so one larger than a quota ends in about
+members / quota shards. All other documents start with a label hashed from their
+row, over the room that is left. The links of a group of equal texts are complete, so
+a document's neighbours are counted per (group, label) cell instead of per link:
+each round proposes that the cells of a group join the one most of its members are
+in (labels with room first), and accepts proposals in order while the target's
+quota lasts. A cell moves whole, so every move leaves one cell less. Rounds
+go on while at least a quarter of the proposals is accepted (so their number
+grows with the logarithm of the cells); the groups still split then are laid out
+whole, one behind the other, in the room of the shards, which cuts one group at
+most per border of two shards. No shard then holds more linked rows than its quota,
+and unlinked rows even the shards out exactly.
 
 Law ``rows``: row counts of any two shards differ by one at most. Numbering is
 two-level (running counts of buckets, then inside a bucket), so neither a shard
-nor a group is ever sorted in one task. Only tables of one row per shard reach
-the driver.
+nor a group is ever sorted in one task. Only tables of one row per shard, and fewer
+than ``HEAVY`` rows per shard of placed groups, reach the driver.
 
 Defined results: a null text has size 16, crc32 0 and is equal to the empty
 text; repeated rows are linked rows of their own; null doc_ids are carried.
@@ -30,6 +35,7 @@ from flowscope.llm.common import running_offset, stage
 SHARDS = 40
 GROUP = ["text_hash", "text_crc32", "size"]
 BUCKET_ROWS = 1024
+HEAVY = 8
 
 
 def _of_shard(values: list[int], shard: Column) -> Column:
@@ -52,10 +58,35 @@ def _numbered(df: DataFrame, keys: list[str], bucket: str, out: str) -> DataFram
             .withColumn(out, F.col("_before") + F.col("_inside")).drop("_before", "_inside"))
 
 
-def propagate(cells: DataFrame, quotas: list[int], rounds: int) -> DataFrame:
+def _starts(sizes: list[int]) -> list[int]:
+    return [sum(sizes[:s]) for s in range(len(sizes))]
+
+
+def _shard_at(starts: list[int], number: Column) -> Column:
+    """The last shard whose room begins at or before the number (shards without room share their successor's start)."""
+    return F.size(F.filter(F.array(*(F.lit(x).cast("long") for x in starts)), lambda x: x <= number)) - 1
+
+
+def place_heavy(sizes: list[int], quotas: list[int]) -> tuple[list[list[tuple[int, int]]], list[int]]:
+    """Per group (largest first) its (shard, rows), and the room left per shard."""
+    room, out = list(quotas), []
+    for left in sizes:
+        cells = []
+        while left:
+            fits = [s for s, x in enumerate(room) if x >= left]
+            s = min(fits, key=lambda s: room[s]) if fits else max(range(len(room)), key=lambda s: room[s])
+            n = min(left, room[s])
+            cells.append((s, n))
+            room[s] -= n
+            left -= n
+        out.append(cells)
+    return out, room
+
+
+def propagate(cells: DataFrame, quotas: list[int]) -> DataFrame:
     """Cells (group, label, n) after balanced label propagation."""
     shards = len(quotas)
-    for _ in range(rounds):
+    while True:
         loads = _per_shard(cells, "label", F.col("n"), shards)
         room = [max(0, q - x) for q, x in zip(quotas, loads)]
         has_room = _of_shard(room, F.col("label")) > 0
@@ -69,18 +100,38 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int) -> DataFrame:
         inside = F.sum("wish").over(order.rowsBetween(Window.unboundedPreceding, -1))
         moves = moves.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(before, ["goal", "bucket"], "left")
         free = _of_shard(room, F.col("goal")) - F.coalesce("_before", F.lit(0)) - F.col("_inside")
-        moves = moves.withColumn("go", F.greatest(F.lit(0), F.least("wish", free)))
-        sides = F.explode(F.array(F.struct(F.col("goal").alias("label"), F.col("go").alias("n")),
-                                  F.struct("label", (F.col("n") - F.col("go")).alias("n"))))
-        moves = stage(moves.select(*GROUP, "label", "goal", "n", "go"), "shard-moves")
-        cells = stage(moves.select(*GROUP, sides.alias("c")).select(*GROUP, "c.label", "c.n").where("n > 0")
+        moves = stage(moves.select(*GROUP, "label", "goal", "n", "wish", ((F.col("wish") > 0) & (F.col("wish") <= free)).alias("go")),
+                      "shard-moves")
+        asked, moved = moves.agg(F.count_if(F.col("wish") > 0), F.count_if("go")).first()
+        if not moved:
+            return cells
+        cells = stage(moves.select(*GROUP, F.when(F.col("go"), F.col("goal")).otherwise(F.col("label")).alias("label"), "n")
                       .groupBy(*GROUP, "label").agg(F.sum("n").alias("n")), "shard-cells")
-        if moves.where("go > 0").isEmpty():
-            break
-    return cells
+        if 4 * moved < asked:
+            return cells
 
 
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 4) -> DataFrame:
+def gather(cells: DataFrame, quotas: list[int]) -> DataFrame:
+    """Cells with the groups that are still split, or in a shard beyond its quota, laid out whole in the free room."""
+    shards = len(quotas)
+    groups = stage(cells.groupBy(*GROUP).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"),
+                                             F.max("label").alias("label")), "shard-split")
+    loads = _per_shard(groups.where("parts = 1"), "label", F.col("n"), shards)
+    fits = [int(x <= q) for q, x in zip(quotas, loads)]
+    free = [q - x if f else q for q, x, f in zip(quotas, loads, fits)]
+    stays = (F.col("parts") == 1) & (_of_shard(fits, F.col("label")) == 1)
+    split = groups.where(~stays).withColumn("bucket", F.pmod(F.xxhash64(*GROUP), F.lit(4096)))
+    before = running_offset(split, [], "bucket", F.col("n"), "_before")
+    order = Window.partitionBy("bucket").orderBy(*GROUP).rowsBetween(Window.unboundedPreceding, -1)
+    split = split.withColumn("_inside", F.coalesce(F.sum("n").over(order), F.lit(0))).join(before, "bucket")
+    at = F.col("_before") + F.col("_inside")
+    pieces = F.array(*(F.struct(F.lit(s).alias("label"), (F.least(at + F.col("n"), F.lit(a + x)) - F.greatest(at, F.lit(a))).alias("n"))
+                       for s, (a, x) in enumerate(zip(_starts(free), free))))
+    laid = split.select(*GROUP, F.explode(pieces).alias("c")).select(*GROUP, "c.label", "c.n").where("n > 0")
+    return stage(groups.where(stays).select(*GROUP, "label", "n").unionByName(laid), "shard-cells")
+
+
+def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard per row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = stage(docs.select(
@@ -89,12 +140,21 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 4) -> D
         F.xxhash64(text).alias("text_hash")), "shard-rows")
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
-    start = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     # stored, so that the join below reads plain exchanges whose hot partitions Spark can split
     groups = stage(rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shard-groups")
+    is_heavy = F.col("members") * (HEAVY * shards) > total
+    heavy = groups.where(is_heavy).orderBy(F.desc("members"), *GROUP).collect()  # fewer than HEAVY * shards rows
+    given, room = place_heavy([g["members"] for g in heavy], quotas)
+    start = _shard_at(_starts(room), F.pmod(F.xxhash64("row"), F.lit(max(1, sum(room)))))
     linked = stage(rows.withColumn("label", start).join(groups, GROUP, "left"), "shard-linked")
-    cells = stage(linked.where("members > 1").groupBy(*GROUP, "label").agg(F.count(F.lit(1)).alias("n")), "shard-cells")
-    cells = propagate(cells, quotas, rounds)
+    cells = stage(linked.where("members > 1").where(~is_heavy).groupBy(*GROUP, "label")
+                  .agg(F.count(F.lit(1)).alias("n")), "shard-cells")
+    cells = gather(propagate(cells, room), room)
+    fixed = [F.struct(*(F.lit(g[k]).alias(k) for k in GROUP), F.lit(s).alias("label"), F.lit(n).cast("long").alias("n"))
+             for g, own in zip(heavy, given) for s, n in own]
+    if fixed:
+        one = docs.sparkSession.range(1).select(F.explode(F.array(*fixed)).alias("c")).select("c.*")
+        cells = cells.unionByName(one.select(*(F.col(c).cast(cells.schema[c].dataType).alias(c) for c in cells.columns)))
     # members of a group take its cells in turn
     spans = cells.groupBy(*GROUP).agg(F.sort_array(F.collect_list(F.struct("label", "n"))).alias("cells"))  # <= shards entries
     spans = spans.withColumn("ends", F.expr(
@@ -118,10 +178,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 4) -> D
         taken += max(0, quota - load)
     stays = F.col("rank") < _of_shard(quotas, F.col("label"))
     number = _of_shard(over, F.col("label")) + F.col("rank") - _of_shard(quotas, F.col("label"))
-    starts = F.array(*(F.lit(x).cast("long") for x in room_starts))
-    # the last shard whose room begins at or before the number; shards without room share their successor's start
-    target = F.size(F.filter(starts, lambda x: x <= number)) - 1
-    ranked = ranked.withColumn("shard", F.when(stays, F.col("label")).otherwise(target).cast("int"))
+    ranked = ranked.withColumn("shard", F.when(stays, F.col("label")).otherwise(_shard_at(room_starts, number)).cast("int"))
     slot = F.when(stays, F.col("rank")).otherwise(
         F.least(_of_shard(loads, F.col("shard")), _of_shard(quotas, F.col("shard"))) + number - _of_shard(room_starts, F.col("shard")))
     return ranked.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",

@@ -156,6 +156,33 @@ def test_sharding_law(spark, docs):
     assert sharding.balanced_shards(big.limit(0)).count() == 0
 
 
+def _links(rows):
+    """Shards of the text "hot", and other groups of equal texts in more than one shard."""
+    shards = collections.defaultdict(set)
+    for r in rows:
+        shards[r.size, r.text_crc32].add(r.shard)
+    hot = shards.pop((19, zlib.crc32(b"hot")), set())
+    return len(hot), sum(len(s) > 1 for s in shards.values())
+
+
+def test_sharding_keeps_groups_together(spark):
+    i = F.col("id")
+
+    def texts(text):
+        return spark.range(0, 40000, 1, 4).select(i.alias("doc_id"), text.alias("text"))
+
+    single = F.concat(F.lit("single "), i.cast("string"))
+    pair = F.concat(F.lit("pair "), F.expr("id div 2").cast("string"))
+    hot = texts(F.when(i >= 26667, F.lit("hot")).when(i < 4000, pair).otherwise(single))
+    cases = {"a third and 2000 pairs": (hot, 14), "18000 pairs": (texts(F.when(i < 36000, pair).otherwise(single)), 0),
+             "pairs only": (texts(pair), 0)}
+    for name, (table, want) in cases.items():
+        got = sharding.balanced_shards(table, shards=40).collect()
+        assert collections.Counter(r.shard for r in got) == dict.fromkeys(range(40), 1000), name
+        in_hot, split = _links(got)
+        assert in_hot == want and split <= 39, (name, in_hot, split)
+
+
 def test_chat_events_fold(spark):
     events = spark.createDataFrame([
         (1, 0, 0, "message", "user", "hi"), (1, 1, 1, "delta", "assistant", "a"), (1, 1, 2, "delta", "assistant", "b"),
