@@ -20,10 +20,24 @@ The training data are the (v1, v2, w) counts of all training texts, dealt over
 corpus size); each task trains on its share from the same start, the driver
 averages the ``SHARDS`` parameter sets, ``ROUNDS`` times.
 
+**Words.** Every known token of a shared class has a vector of its own, however many
+there are. The owners of the hash space cut their tokens of a shared class, in hash
+order, into lists of at most ``WORDS``; a token w of a list, with p its smoothed
+unigram in the list, has given the token before it (x, of class v1) the probability
+
+    p_w exp(u_w . (r1_v1 + r2_v2 + e_x)) / (the same, summed over the list),
+
+with u and e trained in the owner's task by the softmax over the list, on every
+(x, v2, w) of all training texts; r1 and r2 stay as they are. Blocks send the owners
+their (x, v2, w) by row and get the logarithms back, added up per row, so these
+contexts and the vectors grow with the corpus, and none reach the driver. Which list
+of its class a token is in depends on the unigram alone.
+
 **Scoring.** Normalisers of all classes**2 contexts come from batched matrix
 products, so token probabilities are normalised exactly. A token of the shared
 class also pays for itself among those tokens: (c + 0.1) / (M + 0.1 (U + 1)), with
-M occurrences and U distinct tokens in that class.
+M occurrences and U distinct tokens in that class, times its probability in its list
+by its unigram there (a list sums to one, so the product is normalised, too).
 
 Defined results: a null text is empty and holds only the end token; repeated
 rows are scored (and learned from) separately; without training texts every
@@ -56,6 +70,8 @@ BLOCK_WORDS = 2_000_000
 OWNERS_PER_PARTITION = 2
 SMOOTH = 0.1
 SHARED = 128
+WORDS = 32  # tokens of a list, at most
+PASSES = 2
 MARK = np.zeros(256, bool)
 MARK[[ord(c) for c in ".,;:!?"]] = True
 
@@ -171,12 +187,23 @@ class Vocabulary:
         at = np.searchsorted(self.tokens, h).clip(max=self.size - 1)
         return np.where(self.tokens[at] == h, at, shared)
 
+    def low_classes(self, low: np.ndarray) -> np.ndarray:
+        """``classes`` by the low 32 bits of the hashes."""
+        shared = self.size + (low & np.uint32(SHARED - 1)).astype(np.int64)
+        if not self.size:
+            return shared
+        order = np.argsort(self.tokens.astype(np.uint32))
+        mine = self.tokens.astype(np.uint32)[order]
+        at = np.searchsorted(mine, low).clip(max=self.size - 1)
+        return np.where(mine[at] == low, order[at], shared)
+
 
 _SCORED = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("base_score", pa.float64()), ("rest_score", pa.float64()),
-                     ("classes", pa.binary()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+                     ("classes", pa.binary()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()),
+                     ("block", pa.int64()), ("row", pa.int64()), ("items", pa.binary())])
 _SCORED_SQL = ("kind string, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-               "rest_score double, classes binary, shard int, keys binary, counts binary")
+               "rest_score double, classes binary, shard int, keys binary, counts binary, block long, row long, items binary")
 
 
 def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +225,8 @@ def _block_scores(vocabulary):
         v = vocabulary.value
         order = np.argsort(replies["owner"].to_numpy())
         messages, replied = replies["message"].to_pylist(), replies["counts"].to_pylist()
-        h = np.concatenate([decode(messages[i]) for i in order])
+        owners, sets = replies["owner"].to_numpy()[order], [decode(messages[i]) for i in order]
+        h = np.concatenate(sets)
         c = np.concatenate([np.frombuffer(replied[i], np.uint64) for i in order]).astype(np.float64)
         of_token = v.classes(h)
         base = np.log10((c + SMOOTH) / (v.n + SMOOTH * (v.v + 1)))
@@ -211,14 +239,31 @@ def _block_scores(vocabulary):
         tokens = np.concatenate(rows)
         classes = of_token[tokens]
         n = len(rows)
+        v1, v2 = contexts(classes, first, v.size + SHARED)
+        wide = v.size + SHARED + 1
+        learn = np.repeat(~held, sizes)
+        # the known words of shared classes, with the token before each and the class before that
+        pos = np.flatnonzero((classes >= v.size) & (c[tokens] > 0))
+        pos = pos[np.argsort(tokens[pos], kind="stable")]
+        word, before = tokens[pos], contexts(tokens, first, len(h))[0][pos]
+        block = docs["block"][0].as_py()
         add = lambda x: np.add.reduceat(x[tokens], first[:-1])  # noqa: E731  every row has its end token
         out = [_fill(_SCORED, n, kind=pa.array(["doc"] * n), doc_id=docs["doc_id"].combine_chunks(),
                      held_out=pa.array(held), n_tokens=pa.array(sizes), n_known=pa.array(add((c > 0).astype(np.int64))),
                      base_score=pa.array(add(base)), rest_score=pa.array(add(rest)),
-                     classes=pa.array([classes[a:b].astype(np.uint16).tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()))]
-        v1, v2 = contexts(classes, first, v.size + SHARED)
-        wide = v.size + SHARED + 1
-        key = ((v1 * wide + v2) * wide + classes)[np.repeat(~held, sizes)]
+                     classes=pa.array([classes[a:b].astype(np.uint16).tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()),
+                     block=pa.array([block] * n, pa.int64()), row=pa.array(np.arange(n)))]
+        name = np.append(h.astype(np.uint32), np.uint32(0))[before]  # low bits, which hold the shared class
+        near = (v2[pos] + (1 << 15) * ~learn[pos]).astype(np.uint16)
+        row = np.repeat(np.arange(n, dtype=np.uint32), sizes)[pos]
+        cuts = np.searchsorted(word, np.concatenate([[0], np.cumsum([len(o) for o in sets])]))
+        for owner, a, b in zip(owners, cuts[:-1], cuts[1:]):
+            if a < b:
+                own, n_own = np.unique(word[a:b], return_counts=True)
+                out.append(_fill(_SCORED, 1, kind=pa.array(["words"]), block=pa.array([block], pa.int64()), shard=pa.array([owner], pa.int32()),
+                                 keys=pa.array([h[own].tobytes()], pa.binary()), counts=pa.array([np.stack([c[own], n_own]).astype(np.uint64).tobytes()], pa.binary()),
+                                 items=pa.array([b"".join((name[a:b].tobytes(), row[a:b].tobytes(), near[a:b].tobytes()))], pa.binary())))
+        key = ((v1 * wide + v2) * wide + classes)[learn]
         key, count = np.unique(key, return_counts=True)
         shard = (key * 0x9E3779B1 >> 16) % SHARDS
         for s in range(SHARDS):
@@ -323,6 +368,97 @@ def _train(context_counts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     return model
 
 
+def fit_list(word, name, x, learn, p, seed: int) -> np.ndarray:
+    """log(model / p) of each item of one list: word of the list, token before it, context vector, whether to learn from it."""
+    u, e = np.zeros((len(p), SIZE), np.float32), np.zeros((name.max() + 1, SIZE), np.float32)
+    sums = [np.full(a.shape, 1e-6, np.float32) for a in (u, e)]
+    log_p, rng = np.log(p).astype(np.float32), np.random.default_rng(seed)
+    learn = np.flatnonzero(learn)
+
+    def model(i):
+        h = x[i] + e[name[i]]
+        s = h @ u.T + log_p
+        s -= s.max(1, keepdims=True)
+        return h, s
+
+    for _ in range(PASSES):
+        order = rng.permutation(learn)
+        for a in range(0, len(order), 1024):
+            i = order[a: a + 1024]
+            h, s = model(i)
+            np.exp(s, out=s)
+            s /= -s.sum(1, keepdims=True)
+            s[np.arange(len(i)), word[i]] += 1
+            seen, of = np.unique(name[i], return_inverse=True)
+            by = np.argsort(of, kind="stable")
+            to_e = np.add.reduceat((s @ u)[by], np.searchsorted(of[by], np.arange(len(seen))))
+            g = s.T @ h
+            sums[0] += g * g
+            sums[1][seen] += to_e * to_e
+            u += 0.1 * g / np.sqrt(sums[0])
+            e[seen] += 0.1 * to_e / np.sqrt(sums[1][seen])
+    out = np.empty(len(word), np.float32)
+    for a in range(0, len(word), 4096):
+        i = np.arange(a, min(a + 4096, len(word)))
+        s = model(i)[1]
+        out[i] = s[np.arange(len(i)), word[i]] - np.log(np.exp(s).sum(1)) - log_p[word[i]]
+    return out
+
+
+def _train_words(held, vocabulary):
+    """An owner's work: fit its lists, answer every message with its items' log10 of model over unigram, added up per row."""
+    def run(table: pa.Table) -> pa.Table:
+        m = held.value[0]
+        table = table.sort_by("block")
+        hashes = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
+        items = table["items"].to_pylist()
+        told = [np.frombuffer(c, np.uint64).reshape(2, -1) for c in table["counts"].to_pylist()]
+        n_own = [t[1].astype(np.int64) for t in told]
+        sizes = [int(n.sum()) for n in n_own]
+        field = lambda dtype, at: np.concatenate([np.frombuffer(b, dtype, n, at * n) for b, n in zip(items, sizes)])
+        name, row, v2 = field(np.uint32, 0), field(np.uint32, 4), field(np.uint16, 8)
+        learn, v2 = v2 < 1 << 15, v2 & (1 << 15) - 1
+        v1 = np.where(name == 0, m.r.shape[1] - 1, vocabulary.value.low_classes(name))
+        own, first, of = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        total = np.concatenate([t[0] for t in told])[first].astype(np.float64) + SMOOTH
+        word = np.repeat(of, np.concatenate(n_own))
+        shared = (own & U(SHARED - 1)).astype(np.int64)
+        place = np.empty(len(own), np.int64)  # of each token, by (class, hash)
+        order = np.argsort(shared, kind="stable")
+        place[order] = np.arange(len(own))
+        heads = np.searchsorted(shared[order], np.arange(SHARED + 1))
+        lists = np.unique(np.concatenate([np.arange(a, b, WORDS) for a, b in zip(heads[:-1], heads[1:])] + [heads[-1:]]))
+        word, total = place[word], total[order]
+        by = np.argsort(word, kind="stable")
+        cuts = np.searchsorted(word[by], lists)
+        out = np.zeros(len(word), np.float32)
+        for k, (a, b) in enumerate(zip(lists[:-1], lists[1:])):
+            i = by[cuts[k]: cuts[k + 1]]
+            if b - a > 1:
+                x = m.r[0][v1[i]] + m.r[1][v2[i]]
+                out[i] = fit_list(word[i] - a, np.unique(name[i], return_inverse=True)[1], x, learn[i],
+                                  total[a:b] / total[a:b].sum(), k)
+        out /= np.float32(np.log(10))
+        ends, rows, scores = np.cumsum(sizes), [], []
+        for n, e in zip(sizes, ends):
+            mine, of = np.unique(row[e - n: e], return_inverse=True)
+            rows.append(mine.tobytes())
+            scores.append(np.bincount(of, out[e - n: e]).astype(np.float32).tobytes())
+        return pa.table({"block": table["block"], "owner": table["shard"], "rows": pa.array(rows, pa.binary()),
+                         "scores": pa.array(scores, pa.binary())})
+    return run
+
+
+def _add_words(docs: pa.Table, replies: pa.Table) -> pa.Table:
+    """One block: the owners' answers added to its documents' scores."""
+    row = docs["row"].to_numpy()
+    words = np.zeros(row.max(initial=0) + 1)
+    for i in np.argsort(replies["owner"].to_numpy()):
+        words[np.frombuffer(replies["rows"][i].as_py(), np.uint32)] += np.frombuffer(replies["scores"][i].as_py(), np.float32)
+    score = docs["class_score"].to_numpy() + docs["rest_score"].to_numpy() + words[row]
+    return docs.select(["doc_id", "held_out", "n_tokens", "n_known", "base_score"]).append_column("score", pa.array(score))
+
+
 def _score_task(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, log_z = held.value
@@ -337,7 +473,8 @@ def _score_task(held):
                 v1, v2 = contexts(w, first, start)
                 s = np.einsum("nd,nd->n", m.r[0][v1] + m.r[1][v2], m.q[w]) + m.b[w] - log_z[v1, v2]
                 scores[a:b] = np.add.reduceat(s.astype(np.float64), first[:-1]) / np.log(10)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(scores)], [*batch.schema.names[:6], "class_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(scores), *batch.columns[7:]],
+                                                  [*batch.schema.names[:6], "class_score", *batch.schema.names[7:]])
     return run
 
 
@@ -357,17 +494,23 @@ def score_texts(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
     top = counted.where("kind = 'top'").orderBy(F.desc("n"), "token").limit(frequent).select("token", "n").toPandas()
     vocabulary = Vocabulary(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64),
                             sums["n"].to_numpy(np.int64), sums["v"].to_numpy(np.int64))
-    of_block = _block_scores(spark.sparkContext.broadcast(vocabulary))
+    told = spark.sparkContext.broadcast(vocabulary)
+    of_block = _block_scores(told)
     blocks = stage(sent.where("kind = 'doc'").select("block", "doc_id", "held_out", "tokens").groupBy("block").cogroup(
         counted.where("kind = 'reply'").select("block", "owner", "message", "counts").groupBy("block"))
         .applyInArrow(of_block, _SCORED_SQL), "lm-blocks")
     model = _train(blocks.where("kind = 'contexts'").select("shard", "keys", "counts"), vocabulary)
     held = spark.sparkContext.broadcast((model, model.normalisers()))
-    out = (blocks.where("kind = 'doc'").select("doc_id", "held_out", "n_tokens", "n_known", "base_score", "rest_score", "classes")
-           .mapInArrow(lambda it: _score_task(held)(it), "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                       "base_score double, rest_score double, class_score double"))
+    answers = (blocks.where("kind = 'words'").select("block", "shard", "keys", "counts", "items").groupBy("shard")
+               .applyInArrow(_train_words(held, told), "block long, owner int, rows binary, scores binary"))
+    classes = (blocks.where("kind = 'doc'")
+               .select("doc_id", "held_out", "n_tokens", "n_known", "base_score", "rest_score", "classes", "block", "row")
+               .mapInArrow(lambda it: _score_task(held)(it), "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                           "base_score double, rest_score double, class_score double, block long, row long"))
+    out = classes.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _add_words, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.n).cast("long").alias("train_tokens"),
-                      "base_score", (F.col("class_score") + F.col("rest_score")).alias("score"))
+                      "base_score", "score")
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:

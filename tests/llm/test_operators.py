@@ -7,6 +7,7 @@ import re
 import zlib
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack, langid, lm, quality, sharding
@@ -113,6 +114,28 @@ def test_lm_base_score_is_exact_and_empty_input_works(spark, docs):
     assert lm.lm_scores(docs.limit(0)).count() == 0
 
 
+def test_lm_learns_words_beyond_the_classes(spark):
+    """1500 pairs of words with one ending: far more than the classes, which cannot tell them apart."""
+    i = F.col("id")
+    pair, kind = i % 1500, F.floor(i / 1500)
+    text = F.concat_ws(" ", F.concat(F.lit("a"), pair.cast("string"), F.lit("ing")),
+                       F.concat(F.lit("b"), F.when(kind == 9, (pair + 7) % 1500).otherwise(pair).cast("string"), F.lit("ing")))
+    docs = spark.range(0, 15000, 1, 3).select(i.alias("doc_id"), (kind >= 8).alias("held_out"), text.alias("text"))
+    got = {r.doc_id: r.score for r in lm.score_texts(docs).collect()}
+    right, wrong = (sum(got[k * 1500 + j] for j in range(1500)) / 1500 for k in (8, 9))
+    assert right > wrong + 0.02, (right, wrong)
+
+
+def test_lm_list_probabilities_sum_to_one():
+    rng = np.random.default_rng(3)
+    word, name, x = rng.integers(0, 9, 5000), rng.integers(0, 40, 5000), rng.standard_normal((5000, lm.SIZE)).astype(np.float32)
+    every = np.arange(9)  # all words of the list in one context, not learned from
+    p = np.arange(1, 10) / 45
+    out = lm.fit_list(np.append(word, every), np.append(name, np.full(9, 5)), np.vstack([x, np.repeat(x[:1], 9, 0)]),
+                      np.append(np.ones(5000, np.float32), np.zeros(9, np.float32)), p, 1)[-9:]
+    assert abs((p * np.exp(out)).sum() - 1) < 1e-4 and np.abs(out).max() > 0.01
+
+
 def test_language_and_quality_rows(spark, docs):
     got = {r.doc_id: r for r in langid.identify(docs).collect()}
     assert got[3].lang_pred == got[4].lang_pred == got[8].lang_pred == "und" and got[9].lang_pred == "en"
