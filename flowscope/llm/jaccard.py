@@ -162,7 +162,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     for h, row in zip(hashes, who):
         row, n = np.unique(row[np.isin(h, again, assume_unique=True) & (row >= 0)], return_counts=True)
         rows.append(row.astype(np.uint16).tobytes())
-        counts.append(n.astype(np.uint16).tobytes())
+        counts.append(n.astype(np.uint32).tobytes())  # a long text may share more than 65,535 with one owner
     return pa.table({"block": table["block"], "first": table["row"], "rows": pa.array(rows, pa.binary()),
                      "counts": pa.array(counts, pa.binary())})
 
@@ -171,7 +171,7 @@ def _sum_shared(table: pa.Table) -> pa.Table:
     """All owners' answers to one block, added up per row."""
     total = np.zeros(BLOCK_ROWS, np.int64)
     for rows, counts in zip(table["rows"].to_pylist(), table["counts"].to_pylist()):
-        total[np.frombuffer(rows, np.uint16)] += np.frombuffer(counts, np.uint16)
+        total[np.frombuffer(rows, np.uint16)] += np.frombuffer(counts, np.uint32)
     at = np.flatnonzero(total)
     return pa.table({"row": pa.array(at + table["first"][0].as_py()), "shared": pa.array(total[at])})
 

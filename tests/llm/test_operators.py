@@ -8,9 +8,12 @@ import zlib
 
 import pytest
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from flowscope.llm import binpack, chat, decontam, dedup, jaccard, kkpack, langid, lm, quality, sharding
+from flowscope.llm.exchange import encode
 
 LONG = " ".join(f"w{i}" for i in range(400))
 ROWS = [
@@ -72,6 +75,18 @@ def test_jaccard_components(spark, docs):
     assert all(n == 1 for n in sizes.values())
 
 
+def test_jaccard_counts_of_very_long_texts():
+    """Two rows in different blocks share 70,000 prefix hashes with one owner."""
+    h = np.unique(np.random.default_rng(1).integers(0, 2**63, 70_000, np.uint64))
+    members = np.packbits(np.ones(len(h), bool)).tobytes() + np.zeros(len(h), np.uint16).tobytes()
+    sent = pa.table({"block": pa.array([0, 1]), "row": pa.array([0, 5]), "message": pa.array([encode(h)] * 2, pa.binary()),
+                     "members": pa.array([members] * 2, pa.binary())})
+    answers = jaccard._count_shared(sent)
+    for block, row in ((0, 0), (1, 5)):
+        mine = answers.filter(pc.equal(answers["block"], block))
+        assert jaccard._sum_shared(mine).to_pylist() == [{"row": row, "shared": len(h)}]
+
+
 def test_decontamination(spark, docs):
     items = [(1, " ".join(f"W{i}" for i in range(50, 75))), (2, "a  B"), (2, "one"), (None, "ß"), (4, None), (5, "..."),
              (6, "w300 w301 w302 w303 w304 w305 w306 w307 w308 nope w309")]
