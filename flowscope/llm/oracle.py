@@ -1,5 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+from flowscope.llm.oracle_secrets import SECRETS
+
 # a word of a text, after lower-casing A-Z
 LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
@@ -66,3 +68,27 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM g
 """
+
+ORACLE["op11_secrets"] = SECRETS
+
+ORACLE["op13_fill_in_middle"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS x, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, x, n,
+         CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+         CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), c AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM u)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x
+              WHEN 'psm' THEN '<P>' || substr(x, 1, a) || '<S>' || substr(x, b + 1) || '<M>' || substr(x, a + 1, b - a)
+              ELSE '<S>' || substr(x, b + 1) || '<P>' || substr(x, 1, a) || '<M>' || substr(x, a + 1, b - a) END)
+         AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM c
+"""
