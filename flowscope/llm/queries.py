@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowscope.llm import binpack, chat, decontam, dedup, fim, jaccard, kkpack, langid, lm, quality, secrets, sharding
+from flowscope.llm import binpack, chat, decontam, dedup, fim, jaccard, kkpack, langid, lm, quality, secrets, sharding, variants
 from flowscope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def op11_secrets(spark, sf):
     return secrets.secret_digest(read_table(spark, sf, "documents"))
 
 
+@query("op12_variants")
+def op12_variants(spark, sf):
+    return variants.spelling_groups(read_table(spark, sf, "documents"))
+
+
 @query("op13_fill_in_middle")
 def op13_fill_in_middle(spark, sf):
     return fim.fim_digest(read_table(spark, sf, "documents"))

@@ -7,7 +7,7 @@ from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
 # no SQL: held against brute force, round trips or held-out rows in this folder
-NO_SQL = {"op2_language_id", "op3_quality", "op4_lm_score", "op6_binary_output", "op8_pack", "op9_jaccard_join", "op10_shard"}
+NO_SQL = {"op2_language_id", "op3_quality", "op4_lm_score", "op6_binary_output", "op8_pack", "op9_jaccard_join", "op10_shard", "op12_variants"}
 
 
 def test_all_are_registered():
