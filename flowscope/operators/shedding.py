@@ -36,6 +36,22 @@ def bernoulli_shed(df: DataFrame, rate: float, seed: int = 7) -> DataFrame:
     return df.where(F.rand(seed) < F.lit(float(rate)))
 
 
+def shed_report(rows: DataFrame, kept: DataFrame, key: str, rate: float, deviations: float = 6.0) -> DataFrame:
+    """One row on a shed table ``kept`` of ``rows`` (both with a unique ``key``): ``n_in, is_subset,
+    no_repeats, share_in_bounds``. The share is in bounds when the number kept lies within so
+    many standard deviations of a binomial draw, whatever the seed was."""
+    a = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_in"))
+    b = kept.groupBy(key).agg(F.count(F.lit(1)).alias("_out"))
+    both = a.join(b, a[key].eqNullSafe(b[key]), "full").select(F.coalesce("_in", F.lit(0)).alias("_in"),
+                                                              F.coalesce("_out", F.lit(0)).alias("_out"))
+    one = both.agg(F.coalesce(F.sum("_in"), F.lit(0)).alias("n_in"), F.coalesce(F.sum("_out"), F.lit(0)).alias("n_out"),
+                   (F.count_if((F.col("_out") > 0) & (F.col("_in") == 0)) == 0).alias("is_subset"),
+                   (F.count_if(F.col("_out") > F.col("_in")) == 0).alias("no_repeats"))
+    bound = F.lit(deviations) * F.sqrt(F.col("n_in") * F.lit(rate * (1 - rate)))
+    return one.select("n_in", "is_subset", "no_repeats",
+                      (F.abs(F.col("n_out") - F.col("n_in") * F.lit(rate)) <= bound).alias("share_in_bounds"))
+
+
 def hash_shed(df: DataFrame, key: str, rate: float, mult: int = HASH_A) -> DataFrame:
     """L2: keep a row iff ``unit_hash(key) < rate * 65536``."""
     return df.where(hash_keep(key, rate, mult))

@@ -11,9 +11,8 @@ Scale notes
   of that join carry the same filters and columns (``_shared``), so they read
   one shuffle of the input (``ReusedExchange``): one scan, nothing stored or
   counted while the plan is built. The join strategy is left to Spark, which
-  broadcasts by the measured size of the shuffled statistics; callers may
-  pass statistics sized by ``sized_side`` instead. No operator gathers all
-  keys of a window into one task.
+  broadcasts by the measured size of the shuffled statistics. No operator
+  gathers all keys of a window into one task.
 * Adaptive execution, and with it skew splitting, is off inside
   ``foreachBatch``; there a batch holds the windows one trigger closed.
 * Top-k per window filters ``row_number() <= k``; Spark plans a partial
@@ -23,32 +22,15 @@ Scale notes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowscope.session import stage
+from flowscope.functions.kbest import k_best
 
 WIN = ["window_start", "window_end"]
 
-# Statistics tables with at most this many rows (one per window; ~40 bytes
-# each in memory) are broadcast; larger ones are joined by a shuffle.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def sized_side(stats: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, store: bool = False) -> DataFrame:
-    """Measure a small join side (one action: a count of its rows) and mark
-    it for broadcast when ``rows <= max_rows``; otherwise force a shuffle
-    join, so that the optimizer cannot broadcast it from a size estimate
-    (estimates come from compressed file sizes and can be far too small).
-
-    ``store`` first writes the side once to the shared folder, so that the
-    count and the join (or several joins) read it instead of recomputing it.
-    """
-    if store:
-        stats = stage(stats, "join-side")
-    return F.broadcast(stats) if stats.count() <= max_rows else stats.hint("shuffle_merge")
-
-
 def _shared(agg: DataFrame) -> DataFrame:
     """``agg`` with the null filters that the window join would put on one side
     only, so that both sides keep one plan and share its shuffle. Drops nothing:
@@ -64,8 +46,7 @@ def window_totals(agg: DataFrame) -> DataFrame:
 def heavy_hitters(agg: DataFrame, key: str, h: float, totals: DataFrame | None = None) -> DataFrame:
     """keys whose bytes exceed ``h`` (a fraction) of the window total.
 
-    ``totals`` defaults to ``window_totals(agg)`` (pass it sized, see
-    ``sized_side``). Output: ``window_start, window_end, key, bytes,
+    ``totals`` defaults to ``window_totals(agg)``. Output: ``window_start, window_end, key, bytes,
     total_bytes, share``. At most ``floor(1/h)`` keys per window can pass.
     """
     agg = _shared(agg)
@@ -120,7 +101,7 @@ def deviants(agg: DataFrame, key: str, x: float, center: str = "zero", stats: Da
     standard deviation of the per-key means of the same window
     (``center='mean'`` adds the mean of those means to the bound).
 
-    ``stats`` defaults to ``window_spread(agg, key)`` (pass it sized).
+    ``stats`` defaults to ``window_spread(agg, key)``.
     Output: ``window_start, window_end, key, avg_size``.
     """
     agg = _shared(agg)
@@ -168,3 +149,30 @@ def snapshot(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: fl
     """
     return monitor_rows(protocol_agg, protocol_key, h, k, x, ("func1", "func2", "func3")).unionByName(
         monitor_rows(ip_agg, ip_key, h, k, x, ("func4", "func5", "func6")))
+
+
+def window_documents(agg: DataFrame, key: str, h: float, k: int, x: float, funcs: tuple[str, str, str]) -> DataFrame:
+    """One row per window: ``window_start, window_end`` and a column per function.
+
+    * heavy hitters: array of (bytes, key), largest first; at most ``ceil(1/h)`` keys can pass
+    * top-k: array of (bytes, key), largest first
+    * deviants: struct of their number and the ``k`` with the largest mean size, as (avg_size, key)
+
+    Each list is a bounded k-best aggregate, so what a window holds does not grow with its keys.
+    """
+    agg = _shared(agg).where(F.col("n") >= 0)
+    joined = agg.withColumn("avg_size", F.try_divide("bytes", "n")).join(window_stats(agg), WIN)
+    heavy = F.col("bytes") > F.lit(float(h)) * F.col("total_bytes")
+    deviant = F.col("avg_size") > F.lit(float(x)) * F.col("_sd")
+    return joined.groupBy(*WIN).agg(
+        k_best(key, "bytes", math.ceil(1 / h), heavy).alias(funcs[0]),
+        k_best(key, "bytes", k).alias(funcs[1]),
+        F.struct(F.count_if(deviant).alias("n"), k_best(key, "avg_size", k, deviant).alias("largest")).alias(funcs[2]))
+
+
+def documents(protocol_agg: DataFrame, ip_agg: DataFrame, h: float, k: int, x: float,
+              protocol_key: str = "protocol", ip_key: str = "source_ip") -> DataFrame:
+    """J3 as documents: ``window_start, window_end, func1 .. func6``, one row per window."""
+    a = window_documents(protocol_agg, protocol_key, h, k, x, ("func1", "func2", "func3"))
+    b = window_documents(ip_agg, ip_key, h, k, x, ("func4", "func5", "func6"))
+    return a.join(b, WIN, "full")

@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 
 from flowscope import sources as src
 from flowscope import streaming as st
-from flowscope.operators import logs, profile, shedding, traffic
+from flowscope.operators import distinct, frequent, logs, profile, shedding, traffic
 from flowscope.operators.windows import (
     grand_total, keyed_window_agg, running_total, window_avg, window_bytes,
 )
-from flowscope.session import ensure_dir, fresh_path
+from flowscope.session import ensure_dir, fresh_path, stage
 from flowscope.sources import results as store
 from flowscope.sources.synth import synth_flows as _synth
+from flowscope.streaming.chained import joined_heavy_stream, top_k_stream
+from flowscope.streaming.feeds import run_feed, windows_with_late_rows
 from flowscope.streaming.runner import (
-    latest_batch, latest_rows, latest_top_k_stream, run_to_end, run_upsert_latest, running_total_stream,
+    latest_batch, latest_rows, latest_top_k_stream, run_upsert_latest, running_total_stream,
 )
 
 # Monitoring parameters for the tables: 30 days of events, so T is an hour
@@ -189,6 +191,17 @@ def topk_ips(spark, sf):
     return traffic.top_k(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["k"])
 
 
+@query("frequent_heavy_ips")
+def frequent_heavy_ips(spark, sf):
+    return frequent.frequent_heavy_hitters(_fl(spark, sf), "source_ip", MONITOR["h"], MONITOR["width"], MONITOR["slide"])
+
+
+@query("distinct_ips_sliding")
+def distinct_ips_sliding(spark, sf):
+    counts = distinct.distinct_per_window(_fl(spark, sf), "source_ip", MONITOR["width"], MONITOR["slide"])
+    return counts.select("window_start", "window_end", F.col("n_keys").alias("n_ips"), "within_bound")
+
+
 @query("deviant_ips")
 def deviant_ips(spark, sf):
     return traffic.deviants(_agg(spark, sf, "source_ip"), "source_ip", MONITOR["x"])
@@ -226,6 +239,13 @@ def shed_bernoulli(spark, sf):
     return shedding.bernoulli_shed(_shed_in(spark, sf), SHED_RATE, seed=7)
 
 
+@query("shed_bernoulli_report")
+def shed_bernoulli_report(spark, sf):
+    rows = _shed_in(spark, sf)
+    # the draw is made once and stored: a seeded draw depends on how the rows are split
+    return shedding.shed_report(rows, stage(shedding.bernoulli_shed(rows, SHED_RATE, seed=7), "shed"), "event_id", SHED_RATE)
+
+
 @query("histogram_aligned")
 def histogram_aligned(spark, sf):
     lines = _shed_in(spark, sf)
@@ -332,15 +352,22 @@ def results_latest(spark, sf):
     return store.read_latest(spark, _stored(spark, sf))
 
 
+@query("results_documents")
+def results_documents(spark, sf):
+    m = MONITOR
+    return store.documents_as_text(traffic.documents(_agg(spark, sf, "protocol"), _agg(spark, sf, "source_ip"),
+                                                     m["h"], m["k"], m["x"]))
+
+
 @query("results_json_roundtrip")
 def results_json_roundtrip(spark, sf):
     return store.from_json_lines(store.to_json_lines(_results(spark, sf)))
 
 
 # ---------------------------------------------------------------- streaming twins
-# File stream over the events table, append mode, run to the end of the
-# available input (availableNow), per-batch functions in foreachBatch. Only
-# windows closed by the final watermark are emitted.
+# File stream over the events table, append mode, run until the table is read and
+# its end announced (``feeds.run_feed``), so that every window is closed; per-batch
+# functions in foreachBatch.
 STREAM_WATERMARK = "1 minute"
 LOG_WATERMARK = "10 minutes"
 
@@ -351,9 +378,13 @@ def _stream_agg(spark, sf, key, panes="auto"):
                                   panes=panes)
 
 
+def _windowed(feed, key):
+    return st.keyed_window_stream(feed, key, MONITOR["width"], MONITOR["slide"], STREAM_WATERMARK)
+
+
 def _twin(name, key, fn):
     def run(spark, sf):
-        return run_to_end(spark, _stream_agg(spark, sf, key), fn, kind=name)
+        return run_feed(spark, st.flows_stream(spark, sf), lambda feed: _windowed(feed, key), fn, kind=name)
     QUERIES[name] = run
     return run
 
@@ -376,12 +407,31 @@ _twin("stream_deviant_ips", "source_ip", _deviant_batch("source_ip"))
 
 @query("stream_hourly_bytes")
 def stream_hourly_bytes(spark, sf):
-    log = st.log_stream(spark, sf).withWatermark("datetime", LOG_WATERMARK)
-    agg = (log.groupBy(F.window("datetime", "60 minutes").alias("w"), "ip")
-           .agg(F.sum("bytes").alias("bytes"))
-           .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                   F.col("w.end").cast("timestamp_ntz").alias("window_end"), "ip", "bytes"))
-    return run_to_end(spark, agg, None, kind="stream_hourly_bytes")
+    def hourly(feed):
+        agg = (feed.withWatermark("datetime", LOG_WATERMARK).groupBy(F.window("datetime", "60 minutes").alias("w"), "ip")
+               .agg(F.sum("bytes").alias("bytes")))
+        return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                          F.col("w.end").cast("timestamp_ntz").alias("window_end"), "ip", "bytes")
+    return run_feed(spark, st.log_stream(spark, sf), hourly, kind="stream_hourly_bytes")
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, sf):
+    return windows_with_late_rows(spark, src.flow_drops(spark, sf), "protocol", MONITOR["width"], None, STREAM_WATERMARK)
+
+
+@query("stream_joined_heavy_protocols")
+def stream_joined_heavy_protocols(spark, sf):
+    m = MONITOR
+    return run_feed(spark, st.flows_stream(spark, sf), lambda feed: joined_heavy_stream(
+        feed, "protocol", m["h"], m["width"], m["slide"], STREAM_WATERMARK), kind="stream_joined")
+
+
+@query("stream_append_topk_ips")
+def stream_append_topk_ips(spark, sf):
+    m = MONITOR
+    return run_feed(spark, st.flows_stream(spark, sf), lambda feed: top_k_stream(
+        feed, "source_ip", m["k"], m["width"], m["slide"], STREAM_WATERMARK), kind="stream_append_topk")
 
 
 @query("stream_running_total_by_protocol")
@@ -418,7 +468,8 @@ def stream_latest_topk_ips(spark, sf):
 @query("results_replaced_after_delete")
 def results_replaced_after_delete(spark, sf):
     """Insert, delete all, insert the top-k rows only, insert them again (a replay)."""
-    path, rows = _stored(spark, sf), _results(spark, sf).where("func IN ('func2', 'func5')")
+    path = _stored(spark, sf)
+    rows = stage(store.read_all(spark, path).where("func IN ('func2', 'func5')"), "replay")
     store.delete_all(spark, path)
     for _ in range(2):
         store.insert(rows, path, batch_id=1)

@@ -273,15 +273,56 @@ ORACLE["results_latest"] = (_RES + "SELECT window_end AS time, func, key, value
 ORACLE["results_json_roundtrip"] = ORACLE["results_all"]
 
 # ---------------------------------------------------------------- streaming twins
-# the batch answer restricted to windows closed by the final watermark
-_CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"
+# the end of the feed is announced, so every twin is the batch answer
 for _name, _batch in (("stream_heavy_protocols", "heavy_protocols"), ("stream_topk_protocols", "topk_protocols"),
                       ("stream_deviant_protocols", "deviant_protocols"), ("stream_heavy_ips", "heavy_ips"),
-                      ("stream_topk_ips", "topk_ips"), ("stream_deviant_ips", "deviant_ips")):
-    ORACLE[_name] = f"SELECT * FROM ({ORACLE[_batch]}) WHERE {_CLOSED}"
-ORACLE["stream_hourly_bytes"] = (
-    f"SELECT * FROM ({ORACLE['log_hourly_bytes']}) WHERE window_end <= "
-    f"(WITH {LOG} SELECT max(datetime) FROM lg) - INTERVAL 10 MINUTE")
+                      ("stream_topk_ips", "topk_ips"), ("stream_deviant_ips", "deviant_ips"),
+                      ("stream_hourly_bytes", "log_hourly_bytes"), ("stream_joined_heavy_protocols", "heavy_protocols"),
+                      ("stream_append_topk_ips", "topk_ips"), ("frequent_heavy_ips", "heavy_ips")):
+    ORACLE[_name] = ORACLE[_batch]
+# rows of a drop are late for windows that ended at or before the largest time of the
+# drops before, less the delay (whole milliseconds)
+ORACLE["stream_late_rows"] = f"""WITH a AS (
+    SELECT *, epoch_us(ts) + CASE WHEN event_id % 10 = 3 THEN (event_id * 37) % 100 + 1 ELSE 0 END * 3600000000 AS arrival
+    FROM events),
+  b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM a),
+  d AS (SELECT ts, event_type AS protocol, CAST(round(value * 100) AS INTEGER) AS packet_size,
+               (arrival - lo) * 4 // (hi - lo + 1) AS drop_no, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM a, b),
+  m AS (SELECT drop_no, date_trunc('millisecond', max(ts)) AS top FROM d GROUP BY drop_no),
+  c AS (SELECT r.i, max(m.top) - INTERVAL 1 MINUTE AS cut FROM range(4) r(i) LEFT JOIN m ON m.drop_no < r.i GROUP BY r.i),
+  f AS (SELECT d.*, coalesce(window_start + INTERVAL 1 HOUR <= cut, false) AS late FROM d JOIN c ON c.i = d.drop_no)
+  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, protocol, CAST(sum(packet_size) AS BIGINT) AS bytes,
+         count(*) AS n, (SELECT count(*) FROM f WHERE late) AS late_rows
+  FROM f WHERE NOT late GROUP BY ALL"""
+ORACLE["distinct_ips_sliding"] = (
+    f"WITH {FL}, {SW} SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, "
+    f"count(DISTINCT source_ip) AS n_ips, true AS within_bound FROM sw GROUP BY window_start")
+ORACLE["shed_bernoulli_report"] = (f"WITH {SI} SELECT count(*) AS n_in, true AS is_subset, true AS no_repeats, "
+                                   f"true AS share_in_bounds FROM si")
+
+
+def _keys(body, key, order, k=None):
+    return (f"SELECT window_start, string_agg({key}, ',' ORDER BY {order} DESC, {key}) AS keys, count(*) AS n "
+            f"FROM ({body}) {f'WHERE rank <= {k}' if k else ''} GROUP BY window_start")
+
+
+def _documents():
+    parts, names = [], []
+    for key, funcs in (("protocol", (1, 2, 3)), ("source_ip", (4, 5, 6))):
+        ranked = (f"SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY avg_size DESC, {key}) AS rank "
+                  f"FROM ({_deviant(key)})")
+        for f, body in zip(funcs, (_keys(_heavy(key), key, "bytes"), _keys(_topk(key), key, "bytes"),
+                                   _keys(ranked, key, "avg_size", 3))):
+            parts.append(f"f{f} AS (WITH {_agg(key)} {body})")
+            names.append(f"coalesce(f{f}.keys, '') AS func{f}")
+        parts.append(f"n{funcs[2]} AS (WITH {_agg(key)} SELECT window_start, count(*) AS n FROM ({_deviant(key)}) GROUP BY 1)")
+    joins = " ".join(f"LEFT JOIN {t} ON {t}.window_start = w.window_start" for t in ("f1", "f2", "f3", "f4", "f5", "f6", "n3", "n6"))
+    return (f"WITH {FL}, {SW}, {', '.join(parts)}, w AS (SELECT DISTINCT window_start FROM sw) "
+            f"SELECT w.window_start + INTERVAL 1 HOUR AS time, {', '.join(names)}, coalesce(n3.n, 0) AS n_func3, "
+            f"coalesce(n6.n, 0) AS n_func6 FROM w {joins}")
+
+
+ORACLE["results_documents"] = _documents()
 ORACLE["stream_running_total_by_protocol"] = ORACLE["running_total_by_protocol"]
 ORACLE["stream_latest_topk_protocols"] = ORACLE["latest_topk_protocols"]
 ORACLE["stream_latest_topk_ips"] = ORACLE["latest_topk_ips"]

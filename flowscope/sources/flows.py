@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flowscope.functions.parse import FLOW_LINE_PATTERN, FLOW_TIME_FORMAT, flow_timestamp, ip_of_user
+from flowscope.session import fresh_path
 from flowscope.sources.tables import derived, derived_path, table
 
 # version of the rendered lines; stored lines of another version are not reused
@@ -101,3 +102,24 @@ def read_flow_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
     """S3: socket stream of flow lines (column ``value``); not fault tolerant,
     kept for parity with a live feed."""
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
+
+
+# ---- a feed that arrives in drops ----------------------------------------------
+DROPS = 4
+# one flow in ten is held up by 1 to 100 hours
+_HELD_UP = "CASE WHEN event_id % 10 = 3 THEN (event_id * 37) % 100 + 1 ELSE 0 END"
+
+
+def flow_drops(spark: SparkSession, sf_dir: str, drops: int = DROPS) -> list[DataFrame]:
+    """The flows of a folder as a feed with stragglers: split by arrival time, which lags behind
+    ``datetime`` for some, into ``drops`` spans of equal length, in the order of arrival. The
+    flows are stored once, by drop; each frame reads its own."""
+    fl = table(spark, sf_dir, "events")
+    fl = fl.withColumn("_arrival", F.expr(f"unix_micros(CAST(ts AS timestamp)) + ({_HELD_UP}) * 3600000000"))
+    b = fl.agg(F.struct(F.min("_arrival").alias("lo"), F.max("_arrival").alias("hi"))).scalar()
+    part = F.floor((F.col("_arrival") - b.getField("lo")) * drops / (b.getField("hi") - b.getField("lo") + 1)).cast("int")
+    rows = flow_view(fl.withColumn("_drop", part), keep=("_drop",))
+    path = fresh_path(spark, "flow-drops")
+    rows.withColumn("datetime", F.col("datetime").cast("timestamp")).write.partitionBy("_drop").parquet(path)
+    stored = spark.read.parquet(path)
+    return [stored.where(F.col("_drop") == i).drop("_drop") for i in range(drops)]

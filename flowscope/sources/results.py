@@ -42,6 +42,19 @@ def snapshot_to_results(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(F.col("window_end").alias("time"), "func", "key", "value")
 
 
+def documents_as_text(docs: DataFrame) -> DataFrame:
+    """Result documents with each function's keys as one comma-separated text, best first, and the
+    number of deviants: ``time, func1, .. func6, n_func3, n_func6``."""
+    def keys(entries, key):
+        return F.array_join(F.transform(entries, lambda e: e[key]), ",")
+    names = {f: [x.name for x in docs.schema[f].dataType.elementType][1] for f in ("func1", "func2", "func4", "func5")}
+    names |= {f: [x.name for x in docs.schema[f].dataType["largest"].dataType.elementType][1] for f in ("func3", "func6")}
+    return docs.select(
+        F.col("window_end").alias("time"),
+        *[keys(F.col(f if f not in ("func3", "func6") else f"{f}.largest"), names[f]).alias(f) for f in sorted(names)],
+        F.col("func3.n").alias("n_func3"), F.col("func6.n").alias("n_func6"))
+
+
 def insert(df: DataFrame, store: str, batch_id: int = 0, source: str = "batch") -> None:
     """Add result rows; re-inserting the same ``batch_id`` of a ``source``
     replaces it (streams write under the name of their key)."""

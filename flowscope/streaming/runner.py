@@ -210,17 +210,29 @@ def read_sink(spark: SparkSession, sink: str, schema: StructType | None = None)
     return r.parquet(sink).drop("batch_id")
 
 
+def start_run(df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None, sink: str, checkpoint: str,
+              trigger: dict | None = None) -> StreamingQuery:
+    """Append mode into ``sink``: through ``fn`` per micro-batch, or rows as they are."""
+    return run_foreach_batch(df, fn, sink, checkpoint, trigger) if fn else run_append(df, sink, checkpoint, trigger)
+
+
 def run_to_end(spark: SparkSession, df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None = None,
                kind: str = "stream") -> DataFrame:
     """Run a stream over everything available (``availableNow``), wait for it
     and return the sink as a table. Sink and checkpoint are fresh folders
     under the shared checkpoint directory; a query restarted on the same
-    folders resumes from its checkpoint."""
+    folders resumes from its checkpoint. Windows that the watermark has not
+    passed stay open; ``feeds.run_feed`` closes them."""
     sink, ck = fresh_path(spark, f"{kind}-out"), fresh_path(spark, f"{kind}-ck")
-    q = run_foreach_batch(df, fn, sink, ck) if fn else run_append(df, sink, ck)
+    q = start_run(df, fn, sink, ck)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return read_run(spark, df, fn, sink)
+
+
+def read_run(spark: SparkSession, df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None, sink: str) -> DataFrame:
+    """The sink of a run of ``df`` (through ``fn``) as a table; empty if no window ever closed."""
     ensure_dir(sink)
     schema = _batch_schema(spark, df, fn)
     try:

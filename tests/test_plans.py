@@ -65,20 +65,6 @@ def test_bounded_input_scans(plans, name):
     assert n <= SCAN_LIMIT.get(name, 2), (name, n)
 
 
-def test_sized_side_broadcasts_only_under_bound(spark):
-    from flowscope.operators import traffic
-    from flowscope.operators.windows import keyed_window_agg
-    from flowscope.sources.flows import flows
-    agg = keyed_window_agg(flows(spark, SF_SMALL), "protocol", "1 hour", "15 minutes")
-    small = traffic.heavy_hitters(agg, "protocol", 0.2, traffic.sized_side(traffic.window_totals(agg)))
-    big = traffic.heavy_hitters(agg, "protocol", 0.2, traffic.sized_side(traffic.window_totals(agg), max_rows=10))
-    p_small = small._jdf.queryExecution().executedPlan().toString()
-    p_big = big._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in p_small
-    assert "SortMergeJoin" in p_big and "BroadcastHashJoin" not in p_big
-    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
-
-
 @pytest.mark.parametrize("name", BATCH)
 def test_aggregations_combine_map_side(plans, name):
     """Every shuffled aggregation is split into a map-side partial aggregate
