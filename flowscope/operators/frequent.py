@@ -10,7 +10,8 @@ tasks is at most ``tasks * panes * ceil(1/h)`` rows however many keys there are.
 
 Pass 2 counts the candidates' rows exactly and compares them with the totals
 per window. The result is that of ``traffic.heavy_hitters``, without a shuffle
-of all (window, key) groups. Sizes must not be negative.
+of all (window, key) groups. Sizes must not be negative; rows without a key or a
+size count towards the total of their window only.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowscope.functions.hashing import HASH_A, HASH_B, HASH_RANGE, hash_keep, unit_hash
+from flowscope.operators.running import running_sums
 
 
 def _c(x) -> Column:
@@ -160,14 +161,10 @@ def weights_to_cdf(df: DataFrame, key: str) -> DataFrame:
     """S15 from data: empirical weights of ``key`` -> ``idx, key, pdf, cdf``.
 
     Keys are indexed by name; ``cdf`` is the running count over the index
-    divided by the total, so the last value is exactly 1.0. The running sum
-    is a window over one row per distinct key (a small dimension such as
-    protocols).
+    divided by the total, so the last value is exactly 1.0. The counts are
+    range-partitioned by key (``running_sums``): any number of keys will do.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy(key)
-    c = counts.select(key, "n", F.row_number().over(order).alias("idx"),
-                      F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-                      F.sum("n").over(Window.partitionBy()).alias("tot"))
-    return c.select((F.col("idx") - 1).alias("idx"), key, (F.col("n") / F.col("tot")).alias("pdf"),
-                    (F.col("cum") / F.col("tot")).alias("cdf"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1))
+    c = running_sums(counts, key, ["n", "one"])
+    return c.select((F.col("one_upto") - 1).cast("int").alias("idx"), key, (F.col("n") / F.col("n_all")).alias("pdf"),
+                    (F.col("n_upto") / F.col("n_all")).alias("cdf"))

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowscope.functions.hashing import HASH_A, HASH_RANGE, hash_keep, unit_hash
+from flowscope.operators.running import running_sums
 
 DEC = "decimal(38,0)"
 
@@ -82,13 +83,18 @@ def wasserstein_aligned(h: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
     Output: ``[*by,] n_u, n_v, distance`` (null when either side is empty).
     """
-    order = Window.partitionBy(*by).orderBy("bucket")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by)
     nu, nv = F.col("nu").cast(DEC), F.col("nv").cast(DEC)
-    c = h.select(*by, F.sum(nu).over(upto).alias("cu"), F.sum(nv).over(upto).alias("cv"),
-                 F.sum(nu).over(whole).alias("tu"), F.sum(nv).over(whole).alias("tv"),
-                 (F.lead("bucket").over(order) - F.col("bucket")).cast(DEC).alias("gap"))
+    if by:  # one window per group, which a parameter grid bounds
+        order = Window.partitionBy(*by).orderBy("bucket")
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.partitionBy(*by)
+        c = h.select(*by, F.sum(nu).over(upto).alias("cu"), F.sum(nv).over(upto).alias("cv"),
+                     F.sum(nu).over(whole).alias("tu"), F.sum(nv).over(whole).alias("tv"),
+                     (F.lead("bucket").over(order) - F.col("bucket")).cast(DEC).alias("gap"))
+    else:
+        c = running_sums(h.select("bucket", nu.alias("u"), nv.alias("v")), "bucket", ["u", "v"])
+        c = c.select(F.col("u_upto").alias("cu"), F.col("v_upto").alias("cv"), F.col("u_all").alias("tu"),
+                     F.col("v_all").alias("tv"), (F.col("bucket_next") - F.col("bucket")).cast(DEC).alias("gap"))
     term = F.abs(F.col("cu") * F.col("tv") - F.col("cv") * F.col("tu")) * F.coalesce("gap", F.lit(0).cast(DEC))
     g = c.groupBy(*by).agg(F.sum(term).alias("num"), F.max("tu").alias("tu"), F.max("tv").alias("tv"))
     den = F.col("tu").cast("double") * F.col("tv").cast("double")
