@@ -80,7 +80,7 @@ def test_groups_equal_brute_force(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(3) for c in ("word", "n", "tile", "w", "id")})
     want = brute(rows)
     assert run(docs) == want
-    assert want["corecton"][:2] == ("corection", "corrections") and sum(v[0] is not None for v in want.values()) > 3
+    assert want["corecton"][:2] == ("corection", "correction") and sum(v[0] is not None for v in want.values()) > 3
     assert run(docs.limit(0)) == {}
 
 
