@@ -21,7 +21,8 @@ from flowscope.session import ensure_dir, fresh_path, stage
 from flowscope.sources import results as store
 from flowscope.sources.synth import synth_flows as _synth
 from flowscope.streaming.chained import joined_heavy_stream, top_k_stream
-from flowscope.streaming.feeds import run_feed, windows_with_late_rows
+from flowscope.streaming.feeds import run_drops, run_feed, windows_with_late_rows
+from flowscope.streaming.panes import Settings, change, monitor_by_history, pane_stream, settings_spans
 from flowscope.streaming.runner import (
     latest_batch, latest_rows, latest_top_k_stream, run_upsert_latest, running_total_stream,
 )
@@ -420,6 +421,28 @@ def stream_late_rows(spark, sf):
     return windows_with_late_rows(spark, src.flow_drops(spark, sf), "protocol", MONITOR["width"], None, STREAM_WATERMARK)
 
 
+# settings after the change in the middle of the feed, and the panes that both are made of
+CHANGED = Settings("2 hours", "30 minutes", 0.3, 2, 1.5)
+PANE = "15 minutes"
+
+
+@query("stream_changed_parameters")
+def stream_changed_parameters(spark, sf):
+    """The monitor over a feed of four drops, H, T, k and X changed after the second."""
+    m = MONITOR
+    log, history = fresh_path(spark, "pane-log"), fresh_path(spark, "settings")
+    change(spark, history, Settings(m["width"], m["slide"], m["h"], m["k"], m["x"]), PANE)
+
+    def feed():
+        for i, drop in enumerate(src.flow_drops(spark, sf, stragglers=False)):
+            if i == 2:
+                change(spark, history, CHANGED, PANE, log)
+            yield drop
+
+    panes, _ = run_drops(spark, feed(), lambda f: pane_stream(f, "source_ip", PANE, STREAM_WATERMARK), "panes", sink=log)
+    return monitor_by_history(panes, settings_spans(spark, history), "source_ip")
+
+
 @query("stream_joined_heavy_protocols")
 def stream_joined_heavy_protocols(spark, sf):
     m = MONITOR

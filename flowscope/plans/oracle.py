@@ -294,6 +294,36 @@ ORACLE["stream_late_rows"] = f"""WITH a AS (
   SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, protocol, CAST(sum(packet_size) AS BIGINT) AS bytes,
          count(*) AS n, (SELECT count(*) FROM f WHERE late) AS late_rows
   FROM f WHERE NOT late GROUP BY ALL"""
+
+
+def _changed():
+    """Panes up to the last one logged before the change under the first settings, the others under the second."""
+    def windows(width, slide, cond):
+        return (f"SELECT unnest(generate_series(time_bucket(INTERVAL {slide} MINUTE, pane) - INTERVAL {width - slide} MINUTE, "
+                f"time_bucket(INTERVAL {slide} MINUTE, pane), INTERVAL {slide} MINUTE)) AS window_start, "
+                f"INTERVAL {width} MINUTE AS width, since, source_ip, packet_size FROM p WHERE {cond}")
+    limits = ((0.2, 3, 2.0), (0.3, 2, 1.5))
+    pick = lambda i: f"CASE WHEN first THEN {limits[0][i]} ELSE {limits[1][i]} END"
+    return f"""WITH {FL},
+  b AS (SELECT min(datetime) AS lo, max(datetime) AS hi FROM fl),
+  d AS (SELECT *, (epoch_us(datetime) - epoch_us(lo)) * 4 // (epoch_us(hi) - epoch_us(lo) + 1) AS drop_no,
+               time_bucket(INTERVAL 15 MINUTE, datetime) AS pane FROM fl, b),
+  m AS (SELECT date_trunc('millisecond', max(datetime)) - INTERVAL 1 MINUTE AS top FROM d WHERE drop_no < 2),
+  c AS (SELECT max(pane) + INTERVAL 15 MINUTE AS cut FROM d, m WHERE drop_no < 2 AND pane + INTERVAL 15 MINUTE <= top),
+  p AS (SELECT *, CASE WHEN pane < cut THEN TIMESTAMP '1900-01-01' ELSE cut END AS since FROM d, c),
+  w AS ({windows(60, 15, "pane < cut")} UNION ALL {windows(120, 30, "pane >= cut")}),
+  a AS (SELECT since, since < TIMESTAMP '1901-01-01' AS first, window_start, window_start + width AS window_end, source_ip,
+               CAST(sum(packet_size) AS BIGINT) AS bytes, sum(packet_size) / count(packet_size) AS mean FROM w GROUP BY ALL),
+  s AS (SELECT *, sum(bytes) OVER q AS total, stddev_pop(mean) OVER q AS sd,
+               row_number() OVER (PARTITION BY since, window_start ORDER BY bytes DESC, source_ip) AS rank
+        FROM a WINDOW q AS (PARTITION BY since, window_start))
+  SELECT since, window_start, window_end, 'func1' AS func, source_ip AS key, CAST(bytes / total AS DOUBLE) AS value
+  FROM s WHERE bytes > CAST({pick(0)} AS DOUBLE) * total
+  UNION ALL SELECT since, window_start, window_end, 'func2', source_ip, CAST(bytes AS DOUBLE) FROM s WHERE rank <= {pick(1)}
+  UNION ALL SELECT since, window_start, window_end, 'func3', source_ip, mean FROM s WHERE mean > CAST({pick(2)} AS DOUBLE) * sd"""
+
+
+ORACLE["stream_changed_parameters"] = _changed()
 ORACLE["distinct_ips_sliding"] = (
     f"WITH {FL}, {SW} SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, "
     f"count(DISTINCT source_ip) AS n_ips, true AS within_bound FROM sw GROUP BY window_start")

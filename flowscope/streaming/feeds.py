@@ -95,12 +95,14 @@ def arrived_rows(query: StreamingQuery) -> int:
 
 
 def run_drops(spark: SparkSession, drops: Iterable[DataFrame], build: Callable[[DataFrame], DataFrame],
-              kind: str = "drops", time_col: str = "datetime") -> tuple[DataFrame, int]:
+              kind: str = "drops", time_col: str = "datetime", sink: str | None = None) -> tuple[DataFrame, int]:
     """A feed that arrives in drops, each processed by a run of its own on one checkpoint, as a
     scheduled job does: rows of a drop see the watermark that the drops before it left.
-    After the last drop the end is announced. Returns the sink as a table and the number of pairs
+    A drop is taken from ``drops`` when the one before it has been processed; after the last one
+    the end is announced. Returns the sink (a fresh folder by default) as a table and the number of pairs
     that arrived. All files of a drop are read in one micro-batch, whatever their number."""
-    feed, sink, ck = (fresh_path(spark, f"{kind}-{x}") for x in ("in", "out", "ck"))
+    feed, ck = fresh_path(spark, f"{kind}-in"), fresh_path(spark, f"{kind}-ck")
+    sink = sink or fresh_path(spark, f"{kind}-out")
     end, arrived, df = EndOfInput(spark, time_col), 0, None
 
     def run() -> int:

@@ -133,3 +133,44 @@ def test_drops_hold_every_flow_once(spark):
     assert same(out, keyed_window_agg(flows(spark, SF_SMALL), "protocol", "1 hour"))  # a long delay: nothing is late
     with pytest.raises(ValueError):
         run_drops(spark, [], agg)
+
+
+def test_change_loses_and_repeats_no_row(spark, tmp_dir):
+    """Tumbling windows of 4 minutes, then of 6: a change between two drops, in the middle of a
+    window of either width. Every pane is in one window, every file is read once."""
+    from flowscope.streaming.panes import Settings, change, monitor_by_history, pane_stream, settings_spans, windows_by_history
+    log, history = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "history")
+    drops = [[(60 * m + 1, f"p{m % 3}", 1, 2 ** m) for m in range(9)], [(60 * m + 1, f"p{m % 3}", 1, 2 ** m) for m in range(9, 20)]]
+    change(spark, history, Settings("4 minutes", None, 0.5, 1, 2.0), "1 minute")
+
+    def feed():
+        yield frame(spark, drops[0])
+        change(spark, history, Settings("5 minutes", None, 0.5, 1, 2.0), "1 minute", log)
+        change(spark, history, Settings("6 minutes", None, 0.1, 2, 2.0), "1 minute", log)  # replaces it: no pane in between
+        yield frame(spark, drops[1])
+
+    panes, read = run_drops(spark, feed(), lambda f: pane_stream(f, "protocol", "1 minute"), sink=log)
+    spans = settings_spans(spark, history)
+    assert spans.count() == 2
+    rows = windows_by_history(panes, spans, "protocol").collect()
+    start = dt.datetime(2024, 1, 1)
+    got = {}
+    for r in rows:
+        w = (int((r.window_start - start).total_seconds() // 60), int((r.window_end - start).total_seconds() // 60))
+        got[w] = got.get(w, 0) + r.bytes
+    # the cut-off after the first drop lies in minute 7: panes 0 to 6 are logged
+    want = {(0, 4): range(0, 4), (4, 8): range(4, 7), (6, 12): range(7, 12), (12, 18): range(12, 18), (18, 24): range(18, 20)}
+    assert got == {w: sum(2 ** m for m in v) for w, v in want.items()}
+    assert sum(got.values()) == 2 ** 20 - 1 and sum(r.n for r in rows) == 20
+    found = monitor_by_history(panes, spans, "protocol").where("func = 'func2'").groupBy("since").agg(F.max("value")).count()
+    assert found == 2
+    with pytest.raises(ValueError):
+        change(spark, history, Settings("90 seconds", None, 0.5, 1, 2.0), "1 minute", log)
+
+
+def test_change_before_any_pane(spark, tmp_dir):
+    from flowscope.streaming.panes import Settings, change, settings_spans
+    history = os.path.join(tmp_dir, "history")
+    for k in (1, 2):
+        change(spark, history, Settings("4 minutes", None, 0.5, k, 2.0), "1 minute", os.path.join(tmp_dir, "no-log"))
+    assert [(r.k, r.until) for r in settings_spans(spark, history).collect()] == [(2, None)]
