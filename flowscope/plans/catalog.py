@@ -24,7 +24,7 @@ from flowscope.streaming.chained import joined_heavy_stream, top_k_stream
 from flowscope.streaming.feeds import run_drops, run_feed, windows_with_late_rows
 from flowscope.streaming.panes import Settings, change, monitor_by_history, pane_stream, settings_spans
 from flowscope.streaming.runner import (
-    latest_batch, latest_rows, latest_top_k_stream, run_upsert_latest, running_total_stream,
+    latest_top_k_stream, read_newest, read_totals, run_latest, run_totals, running_total_stream,
 )
 
 # Monitoring parameters for the tables: 30 days of events, so T is an hour
@@ -459,32 +459,26 @@ def stream_append_topk_ips(spark, sf):
 
 @query("stream_running_total_by_protocol")
 def stream_running_total_by_protocol(spark, sf):
-    sink, ck = fresh_path(spark, "running-out"), fresh_path(spark, "running-ck")
-    q = run_upsert_latest(running_total_stream(st.flows_stream(spark, sf), "protocol"), sink, ck, mode="update")
-    q.awaitTermination()
-    ensure_dir(sink)
-    return latest_rows(spark.read.parquet(sink), ["protocol"])
+    sink, totals = fresh_path(spark, "running-out"), running_total_stream(st.flows_stream(spark, sf), "protocol")
+    run_totals(totals, ["protocol"], sink, fresh_path(spark, "running-ck")).awaitTermination()
+    return read_totals(totals, ["protocol"], sink)
+
+
+def _latest(spark, sf, key):
+    # complete mode allows one stateful operator only: direct windows, no panes
+    sink, top = fresh_path(spark, "latest-out"), latest_top_k_stream(_stream_agg(spark, sf, key, panes=False), key, MONITOR["k"])
+    run_latest(top, sink, fresh_path(spark, "latest-ck")).awaitTermination()
+    return read_newest(top, sink)
 
 
 @query("stream_latest_topk_protocols")
 def stream_latest_topk_protocols(spark, sf):
-    sink, ck = fresh_path(spark, "latest-out"), fresh_path(spark, "latest-ck")
-    # complete mode allows one stateful operator only: direct windows, no panes
-    top = latest_top_k_stream(_stream_agg(spark, sf, "protocol", panes=False), "protocol", MONITOR["k"])
-    q = run_upsert_latest(top, sink, ck, mode="complete")
-    q.awaitTermination()
-    ensure_dir(sink)
-    return latest_batch(spark.read.parquet(sink))
+    return _latest(spark, sf, "protocol")
 
 
 @query("stream_latest_topk_ips")
 def stream_latest_topk_ips(spark, sf):
-    sink, ck = fresh_path(spark, "latest-out"), fresh_path(spark, "latest-ck")
-    top = latest_top_k_stream(_stream_agg(spark, sf, "source_ip", panes=False), "source_ip", MONITOR["k"])
-    q = run_upsert_latest(top, sink, ck, mode="complete")
-    q.awaitTermination()
-    ensure_dir(sink)
-    return latest_batch(spark.read.parquet(sink))
+    return _latest(spark, sf, "source_ip")
 
 
 # ---------------------------------------------------------------- store operations

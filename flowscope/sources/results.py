@@ -1,25 +1,24 @@
 """Result sinks and the result store.
 
-The store is a parquet table of monitoring results in long form
-``time, func, key, value`` (one row per reported key), appended per batch
-under ``source=/batch_id=`` partitions, the layout that streams write too, so
-that a replayed micro-batch overwrites its own partition (idempotent,
-at-least-once safe) and one store can hold both.
+The store is a table of monitoring results in long form ``time, func, key,
+value`` (one row per reported key), a folder per inserted batch and a log of
+commits (``commits.CommittedTable``): a replayed micro-batch replaces its own
+rows, readers see whole batches only, and streams and inserts share one store.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
+
+from flowscope.sources.commits import CommittedTable
 
 STORE_SCHEMA = StructType([
     StructField("time", TimestampNTZType(), True),
     StructField("func", StringType(), True),
     StructField("key", StringType(), True),
     StructField("value", DoubleType(), True),
-    StructField("source", StringType(), True),
-    StructField("batch_id", LongType(), True),
 ])
 DOC_COLUMNS = ["time", "func", "key", "value"]
 
@@ -55,29 +54,29 @@ def documents_as_text(docs: DataFrame) -> DataFrame:
         F.col("func3.n").alias("n_func3"), F.col("func6.n").alias("n_func6"))
 
 
+def store_table(spark: SparkSession, store: str) -> CommittedTable:
+    return CommittedTable(spark, store, STORE_SCHEMA, "time")
+
+
 def insert(df: DataFrame, store: str, batch_id: int = 0, source: str = "batch") -> None:
     """Add result rows; re-inserting the same ``batch_id`` of a ``source``
     replaces it (streams write under the name of their key)."""
-    (df.select(*DOC_COLUMNS, F.lit(source).alias("source"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "batch_id").parquet(store))
+    store_table(df.sparkSession, store).put(df, source, batch_id)
 
 
 def read_all(spark: SparkSession, store: str) -> DataFrame:
-    """Every stored result row."""
-    return spark.read.schema(STORE_SCHEMA).parquet(store).select(*DOC_COLUMNS)
+    """Every stored result row, as of now."""
+    return store_table(spark, store).read()
 
 
 def read_latest(spark: SparkSession, store: str) -> DataFrame:
-    """The rows of the most recent ``time`` (a scalar subquery, no collect)."""
-    r = read_all(spark, store)
-    return r.where(F.col("time") == r.agg(F.max("time")).scalar())
+    """The rows of the most recent ``time``, from the folders that hold it."""
+    return store_table(spark, store).read_latest()
 
 
 def delete_all(spark: SparkSession, store: str) -> None:
-    """Replace the store with an empty table of the same schema."""
-    empty = spark.createDataFrame([], STORE_SCHEMA)
-    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source", "batch_id").parquet(store)
+    """An empty table from now on; frames read before keep their rows."""
+    store_table(spark, store).replace()
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:
@@ -87,7 +86,7 @@ def to_json_lines(df: DataFrame) -> DataFrame:
 
 def from_json_lines(lines: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Decode JSON rows back into typed columns."""
-    schema = schema or StructType([f for f in STORE_SCHEMA.fields if f.name in DOC_COLUMNS])
+    schema = schema or STORE_SCHEMA
     return lines.select(F.from_json("value", schema).alias("d")).select("d.*")
 
 

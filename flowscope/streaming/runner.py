@@ -31,9 +31,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from flowscope.session import ensure_dir, fresh_path
+from flowscope.sources.commits import CommittedTable
 from flowscope.sources.flows import flow_view
 from flowscope.sources.logs import EVENTS_YEAR_MONTH, log_lines_path, parse_log_lines
 from flowscope.sources.tables import table
@@ -117,15 +118,18 @@ def monitor_to_store(spark: SparkSession, flows: DataFrame, key: str, store: str
                      watermark: str = "1 minute", trigger: dict | None = None,
                      checkpoint: str | None = None) -> StreamingQuery:
     """Monitor one key of a flow stream and push every micro-batch's
-    results (heavy hitters, top-k, deviants) to the result store, under
-    ``store/source=<key>/batch_id=<id>`` (replays overwrite their batch)."""
+    results (heavy hitters, top-k, deviants) to the result store, as batch
+    ``<id>`` of the source ``<key>`` (replays replace their batch)."""
     from flowscope.operators.traffic import monitor_rows
-    from flowscope.sources.results import DOC_COLUMNS, snapshot_to_results
+    from flowscope.sources.results import insert, snapshot_to_results
 
     agg = keyed_window_stream(flows, key, width, slide, watermark)
-    fn = lambda b: snapshot_to_results(monitor_rows(b, key, h, k, x, funcs)).select(*DOC_COLUMNS)
-    return run_foreach_batch(agg, fn, f"{store.rstrip('/')}/source={key}",
-                             checkpoint or fresh_path(spark, "monitor-ck"), trigger)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            insert(snapshot_to_results(monitor_rows(batch, key, h, k, x, funcs)), store, batch_id, key)
+
+    return _writer(agg, checkpoint or fresh_path(spark, "monitor-ck"), trigger, "append").foreachBatch(per_batch).start()
 
 
 def running_total_stream(stream: DataFrame, key: str, value: str = "packet_size") -> DataFrame:
@@ -167,12 +171,46 @@ def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], sink:
     return _writer(df, checkpoint, trigger, mode).foreachBatch(per_batch).start()
 
 
-def run_upsert_latest(df: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
-                      mode: str = "update") -> StreamingQuery:
-    """Update/complete mode into a file sink: every batch lands in its own
-    ``batch_id=`` partition (idempotent); ``latest_rows`` reads the newest
-    row per key back."""
-    return run_foreach_batch(df, lambda b: b, sink, checkpoint, trigger, mode)
+def run_totals(df: DataFrame, keys: list[str], sink: str, checkpoint: str, trigger: dict | None = None,
+               fold_every: int = 16) -> StreamingQuery:
+    """Update mode into a committed table. A micro-batch adds the keys it changed; every
+    ``fold_every`` batches the table is replaced by the newest row of each key, so it holds at most
+    so many batches besides one row per key. ``read_totals`` returns the newest rows."""
+    table = _batch_table(df, sink)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if batch_id % fold_every == fold_every - 1:
+            # a replay folds the same rows again
+            table.replace(latest_rows(table.read().unionByName(rows), keys).withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                          "totals", batch_id)
+        else:
+            table.put(rows, "totals", batch_id)
+
+    return _writer(df, checkpoint, trigger, "update").foreachBatch(per_batch).start()
+
+
+def read_totals(df: DataFrame, keys: list[str], sink: str) -> DataFrame:
+    """The newest row of each key that ``run_totals(df, ...)`` wrote to ``sink``."""
+    return latest_rows(_batch_table(df, sink).read(), keys)
+
+
+def run_latest(df: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Complete mode into a committed table that every micro-batch replaces: it holds the newest result alone."""
+    table = _batch_table(df, sink)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        table.replace(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "latest", batch_id)
+
+    return _writer(df, checkpoint, trigger, "complete").foreachBatch(per_batch).start()
+
+
+def read_newest(df: DataFrame, sink: str) -> DataFrame:
+    return _batch_table(df, sink).read().drop("batch_id")
+
+
+def _batch_table(df: DataFrame, sink: str) -> CommittedTable:
+    return CommittedTable(df.sparkSession, sink, StructType([*df.schema.fields, StructField("batch_id", LongType())]))
 
 
 def latest_rows(stored: DataFrame, keys: list[str]) -> DataFrame:
@@ -183,11 +221,6 @@ def latest_rows(stored: DataFrame, keys: list[str]) -> DataFrame:
     return latest.select(*keys, *[F.col("_v").getField(c).alias(c) for c in vals])
 
 
-def latest_batch(stored: DataFrame) -> DataFrame:
-    """Rows of the newest batch (the whole result in complete mode)."""
-    return stored.where(F.col("batch_id") == stored.agg(F.max("batch_id")).scalar()).drop("batch_id")
-
-
 def run_append(df: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None,
                fmt: str = "parquet") -> StreamingQuery:
     """Append rows to a file sink (exactly-once through its commit log)."""
