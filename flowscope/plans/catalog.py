@@ -111,6 +111,11 @@ def flow_parse(spark, sf):
     return src.parse_flow_lines(src.flow_lines(spark, sf))
 
 
+@query("flow_parse_zoned")
+def flow_parse_zoned(spark, sf):
+    return src.parse_flow_lines(src.flow_lines(spark, sf), zone="America/New_York")
+
+
 @query("flow_parse_rejects")
 def flow_parse_rejects(spark, sf):
     return src.flow_parse_rejects(src.flow_lines(spark, sf))

@@ -101,6 +101,9 @@ def _latest(key, k=3):
 
 ORACLE["flow_parse"] = (f"WITH {FL} SELECT date_trunc('millisecond', datetime) AS datetime, protocol, "
                         f"source_ip, destination_ip, packet_size FROM fl")
+# the events lie in January, five hours behind UTC in New York
+ORACLE["flow_parse_zoned"] = (f"WITH {FL} SELECT date_trunc('millisecond', datetime) + INTERVAL 5 HOUR AS datetime, protocol, "
+                              f"source_ip, destination_ip, packet_size FROM fl")
 ORACLE["flow_parse_rejects"] = (f"WITH {FL} SELECT count(*) AS n_lines, CAST(0 AS BIGINT) AS n_bad_time, "
                                 f"count(*) FILTER (packet_size IS NULL) AS n_bad_size FROM fl")
 ORACLE["format_flow_line"] = (f"WITH {FL} SELECT strftime(datetime, '%Y-%m-%d_%H:%M:%S.%g') || ' ' || protocol "

@@ -61,7 +61,7 @@ def flow_parse_rejects(lines: DataFrame) -> DataFrame:
 _SEP = "\u0001"
 
 
-def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
+def parse_flow_lines(lines: DataFrame, drop_bad: bool = True, zone: str | None = None) -> DataFrame:
     """X4 + X5: the five groups of ``FLOW_LINE_PATTERN``, then typed columns.
 
     One anchored ``regexp_replace`` evaluates the pattern once per line and
@@ -69,7 +69,8 @@ def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
     does not occur in flow lines); a line that does not match keeps a ``#``
     prefix, so all its groups become ``''`` as with ``regexp_extract``, and
     its timestamp cast fails. The timestamp group is cast to
-    ``timestamp_ntz`` (time-zone independent, null on junk). Rows with a null
+    ``timestamp_ntz`` (time-zone independent, null on junk); a feed written in
+    the wall clock of a ``zone`` (``America/New_York``) is taken to UTC. Rows with a null
     datetime are dropped unless ``drop_bad`` is false.
     """
     body = FLOW_LINE_PATTERN[1:]  # pattern without its leading ^
@@ -81,7 +82,10 @@ def parse_flow_lines(lines: DataFrame, drop_bad: bool = True) -> DataFrame:
     def grp(i):
         return F.when(ok, F.try_element_at("_g", F.lit(i))).otherwise(F.lit(""))
 
-    out = g.select(flow_timestamp(F.try_element_at("_g", F.lit(1))).alias("datetime"),
+    at = flow_timestamp(F.try_element_at("_g", F.lit(1)))
+    if zone is not None:
+        at = F.convert_timezone(F.lit(zone), F.lit("UTC"), at)
+    out = g.select(at.alias("datetime"),
                    grp(2).alias("protocol"), grp(3).alias("source_ip"), grp(4).alias("destination_ip"),
                    F.when(ok, F.try_element_at("_g", F.lit(5))).try_cast("int").alias("packet_size"))
     return out.where(F.col("datetime").isNotNull()) if drop_bad else out

@@ -131,3 +131,14 @@ def test_a_rewritten_input_is_rendered_anew(spark, tmp_dir):
     assert flow_lines(spark, folder).count() == 7
     events.limit(14).write.mode("overwrite").parquet(f"{folder}/events.parquet")
     assert flow_lines(spark, folder).count() == 14
+
+
+def test_flow_time_in_a_zone(spark):
+    """Wall clocks of a zone, in winter and in summer, become UTC; junk stays null."""
+    import datetime as dt
+
+    from flowscope.sources.flows import parse_flow_lines
+    lines = spark.createDataFrame([("2024-01-15_22:30:00.250 DNS 1.1.1.1 2.2.2.2 7",), ("2024-07-15_22:30:00.000 DNS 1.1.1.1 2.2.2.2 8",),
+                                   ("junk",)], "value string")
+    got = {r.packet_size: r.datetime for r in parse_flow_lines(lines, drop_bad=False, zone="America/New_York").collect()}
+    assert got == {7: dt.datetime(2024, 1, 16, 3, 30, 0, 250000), 8: dt.datetime(2024, 7, 16, 2, 30), None: None}
