@@ -22,6 +22,7 @@ from flowscope.sources import results as store
 from flowscope.sources.synth import synth_flows as _synth
 from flowscope.streaming.chained import joined_heavy_stream, top_k_stream
 from flowscope.streaming.feeds import run_drops, run_feed, windows_with_late_rows
+from flowscope.streaming.shed import shed_drops
 from flowscope.streaming.panes import Settings, change, monitor_by_history, pane_stream, settings_spans
 from flowscope.streaming.runner import (
     latest_top_k_stream, read_newest, read_totals, run_latest, run_totals, running_total_stream,
@@ -448,6 +449,18 @@ def stream_changed_parameters(spark, sf):
     return monitor_by_history(panes, settings_spans(spark, history), "source_ip")
 
 
+# rows that a micro-batch of the shedding stream may keep
+CAPACITY = 1500
+
+
+@query("stream_shed_backlog")
+def stream_shed_backlog(spark, sf):
+    """Counters per micro-batch of a shedding stream, and what its kept rows hold."""
+    kept, counters = shed_drops(spark, src.flow_drops(spark, sf, keep=("event_id",)), "event_id", CAPACITY)
+    total = kept.agg(F.sum("packet_size")).scalar()
+    return counters.withColumn("kept_bytes", total)
+
+
 @query("stream_joined_heavy_protocols")
 def stream_joined_heavy_protocols(spark, sf):
     m = MONITOR

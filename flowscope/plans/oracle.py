@@ -327,6 +327,16 @@ def _changed():
 
 
 ORACLE["stream_changed_parameters"] = _changed()
+ORACLE["stream_shed_backlog"] = f"""WITH a AS (
+    SELECT *, epoch_us(ts) + CASE WHEN event_id % 10 = 3 THEN (event_id * 37) % 100 + 1 ELSE 0 END * 3600000000 AS arrival
+    FROM events),
+  b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM a),
+  d AS (SELECT {unit_hash_sql("event_id", HASH_A)} AS u, CAST(round(value * 100) AS INTEGER) AS packet_size,
+               (arrival - lo) * 4 // (hi - lo + 1) AS batch_id FROM a, b),
+  r AS (SELECT batch_id, count(*) AS n_in, least(1.0, CAST(1500 AS DOUBLE) / count(*)) AS rate FROM d GROUP BY batch_id),
+  k AS (SELECT d.*, r.n_in, r.rate, u < r.rate * 65536 AS kept FROM d JOIN r ON d.batch_id = r.batch_id)
+  SELECT CAST(batch_id AS BIGINT) AS batch_id, n_in, count(*) FILTER (kept) AS n_kept, CAST(rate AS DOUBLE) AS rate,
+         (SELECT CAST(sum(packet_size) AS BIGINT) FROM k WHERE kept) AS kept_bytes FROM k GROUP BY batch_id, n_in, rate"""
 ORACLE["distinct_ips_sliding"] = (
     f"WITH {FL}, {SW} SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, "
     f"count(DISTINCT source_ip) AS n_ips, true AS within_bound FROM sw GROUP BY window_start")

@@ -114,15 +114,16 @@ DROPS = 4
 _HELD_UP = "CASE WHEN event_id % 10 = 3 THEN (event_id * 37) % 100 + 1 ELSE 0 END"
 
 
-def flow_drops(spark: SparkSession, sf_dir: str, drops: int = DROPS, stragglers: bool = True) -> list[DataFrame]:
+def flow_drops(spark: SparkSession, sf_dir: str, drops: int = DROPS, stragglers: bool = True,
+               keep: tuple[str, ...] = ()) -> list[DataFrame]:
     """The flows of a folder as a feed: split by arrival time, which with ``stragglers`` lags behind
     ``datetime`` for some, into ``drops`` spans of equal length, in the order of arrival. The
-    flows are stored once, by drop; each frame reads its own."""
+    flows are stored once, by drop (with the columns ``keep`` of ``events``); each frame reads its own."""
     fl = table(spark, sf_dir, "events")
     fl = fl.withColumn("_arrival", F.expr(f"unix_micros(CAST(ts AS timestamp)) + ({_HELD_UP if stragglers else 0}) * 3600000000"))
     b = fl.agg(F.struct(F.min("_arrival").alias("lo"), F.max("_arrival").alias("hi"))).scalar()
     part = F.floor((F.col("_arrival") - b.getField("lo")) * drops / (b.getField("hi") - b.getField("lo") + 1)).cast("int")
-    rows = flow_view(fl.withColumn("_drop", part), keep=("_drop",))
+    rows = flow_view(fl.withColumn("_drop", part), keep=("_drop", *keep))
     path = fresh_path(spark, "flow-drops")
     rows.withColumn("datetime", F.col("datetime").cast("timestamp")).write.partitionBy("_drop").parquet(path)
     stored = spark.read.parquet(path)

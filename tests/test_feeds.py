@@ -174,3 +174,20 @@ def test_change_before_any_pane(spark, tmp_dir):
     for k in (1, 2):
         change(spark, history, Settings("4 minutes", None, 0.5, k, 2.0), "1 minute", os.path.join(tmp_dir, "no-log"))
     assert [(r.k, r.until) for r in settings_spans(spark, history).collect()] == [(2, None)]
+
+
+def test_shedding_follows_the_backlog(spark):
+    """Small batches pass whole, large ones are cut to about the capacity; kept rows are a subset."""
+    from flowscope.streaming.shed import shed_drops
+
+    def rows(lo, n):
+        return spark.range(lo, lo + n).select(F.col("id").alias("event_id"), (F.col("id") * 2).alias("x"))
+
+    kept, counters = shed_drops(spark, [rows(0, 300), rows(1000, 4000), rows(9000, 8000), rows(20000, 0)], "event_id", 1000)
+    got = {r.batch_id: r for r in counters.collect()}
+    assert (got[0].n_in, got[0].n_kept, got[0].rate) == (300, 300, 1.0)
+    sizes = [got[b].n_in for b in sorted(got)]
+    assert sizes == [300, 4000, 8000] and all(abs(got[b].n_kept - 1000) < 150 for b in sorted(got)[1:])
+    ids = [r.event_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) == sum(r.n_kept for r in got.values())
+    assert set(ids) <= {*range(300), *range(1000, 5000), *range(9000, 17000)}
