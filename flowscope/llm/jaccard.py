@@ -19,8 +19,8 @@ work at three levels.
   similar to the pivot inherits its links (same component, no comparison), and
   its overlap with a set y of known overlap with the pivot is at most
   min(|x & p|, |y & p|) + min(|x - p|, |y - p|), which rules out sets that only share a
-  passage. Parity signatures of 512 bits bound the symmetric difference from
-  below and rule out most near misses. Pivots leave their blocks, blocks whose neighbourhood is one
+  passage. Parity signatures (512 bits in the first round, 2048 after it) bound the
+  symmetric difference from below and rule out most near misses. Pivots leave their blocks, blocks whose neighbourhood is one
   component leave the index, pivots multiply, until the index is empty; so every
   pair of the index is compared, connected or ruled out by a bound, and large
   groups of copies are never expanded into pairs.
@@ -212,16 +212,21 @@ def filter_words(classes: DataFrame, bits: int) -> np.ndarray:
     return words
 
 
-SIGNATURE = [f"s{i}" for i in range(8)]
+# 64-bit words of the signatures: in the first round, and for the few sets that are left after it
+FIRST_WORDS, LATER_WORDS = 8, 32
 
 
-def _signatures(sets: DataFrame) -> DataFrame:
-    """(node, s0..s7): bit h of the 512 is the parity of the set's hashes with residue h; the
-    signatures of two sets differ in at most as many bits as the sets differ in items."""
+def _signature(words: int) -> list[str]:
+    return [f"s{i}" for i in range(words)]
+
+
+def _signatures(sets: DataFrame, words: int) -> DataFrame:
+    """(node, s0, s1, ..): bit h of the 64 * ``words`` is the parity of the set's hashes with residue
+    h; the signatures of two sets differ in at most as many bits as the sets differ in items."""
     def word(i: int):
-        return F.expr(f"aggregate(items, 0L, (acc, x) -> if(pmod(shiftright(x, 6), 8) = {i}, "
+        return F.expr(f"aggregate(items, 0L, (acc, x) -> if(pmod(shiftright(x, 6), {words}) = {i}, "
                       "acc ^ shiftleft(1L, cast(x & 63 as int)), acc))")
-    return sets.select("node", *(word(i).alias(s) for i, s in enumerate(SIGNATURE)))
+    return sets.select("node", *(word(i).alias(s) for i, s in enumerate(_signature(words))))
 
 
 def _prefix_index(sets: DataFrame) -> DataFrame:
@@ -242,13 +247,16 @@ def _prefix_index(sets: DataFrame) -> DataFrame:
 LINKED = "100 * both >= 75 * (a_n + b_n - both)"
 # a link of sets of n and p_n items needs this overlap, and so at most this many differing items
 NEED = "ceil(3 * (n + p_n) / 7)"
-DIFFER = " + ".join(f"bit_count({s} ^ p_{s})" for s in SIGNATURE)
-WORTH = (f"node <> p_node and comp <> p_comp and least(pos, p_pos) + least(n - pos, p_n - p_pos) >= {NEED}"
-         " and not coalesce(leader = p_leader and least(with_leader, p_with_leader)"
-         f" + least(n - with_leader, p_n - p_with_leader) < {NEED}, false) and {DIFFER} <= n + p_n - 2 * {NEED}")
 
 
-def _candidates(live: DataFrame, pivots: int, seed: int) -> tuple[DataFrame, DataFrame]:
+def _worth(words: int) -> str:
+    differ = " + ".join(f"bit_count({s} ^ p_{s})" for s in _signature(words))
+    return (f"node <> p_node and comp <> p_comp and least(pos, p_pos) + least(n - pos, p_n - p_pos) >= {NEED}"
+            " and not coalesce(leader = p_leader and least(with_leader, p_with_leader)"
+            f" + least(n - with_leader, p_n - p_with_leader) < {NEED}, false) and {differ} <= n + p_n - 2 * {NEED}")
+
+
+def _candidates(live: DataFrame, pivots: int, seed: int, words: int) -> tuple[DataFrame, DataFrame]:
     """(pairs a < b of pivots and members worth comparing, postings without the pivots)."""
     group = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(pivots))
     first = (live.groupBy("item", "size_block", group.alias("g")).agg(F.min("node").alias("node"))
@@ -256,8 +264,8 @@ def _candidates(live: DataFrame, pivots: int, seed: int) -> tuple[DataFrame, Dat
     marked = live.join(first, ["item", "size_block", "node"], "left")
     near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
     p = marked.where("is_pivot").select("item", near.alias("size_block"), *(
-        F.col(c).alias("p_" + c) for c in ("node", "comp", "n", "pos", "leader", "with_leader", *SIGNATURE)))
-    pairs = live.join(p, ["item", "size_block"]).where(WORTH)
+        F.col(c).alias("p_" + c) for c in ("node", "comp", "n", "pos", "leader", "with_leader", *_signature(words))))
+    pairs = live.join(p, ["item", "size_block"]).where(_worth(words))
     pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
     return pairs, marked.where("is_pivot is null").select("item", "node", "n", "pos", "size_block")
 
@@ -310,7 +318,7 @@ def _connected(sets: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have links, by rounds of pivots."""
     spark = sets.sparkSession
     index = stage(_prefix_index(sets), "jaccard-index")
-    marks = stage(_signatures(sets.join(index.select("node").distinct(), "node", "left_semi")), "jaccard-signatures")
+    marks, words = None, 0
     nodes = spark.createDataFrame([], "node long, component long")
     checked, pivots, rounds = None, 1, 0
     while True:
@@ -319,7 +327,11 @@ def _connected(sets: DataFrame) -> DataFrame:
         near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
         mixed = (live.select("item", near.alias("size_block"), "comp").groupBy("item", "size_block")
                  .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("item", "size_block"))
-        live = live.join(mixed, ["item", "size_block"], "left_semi").join(marks, "node")
+        live = live.join(mixed, ["item", "size_block"], "left_semi")
+        if rounds < 2:
+            words = LATER_WORDS if rounds else FIRST_WORDS
+            marks = stage(_signatures(sets.join(index.select("node").distinct(), "node", "left_semi"), words), "jaccard-signatures")
+        live = live.join(marks, "node")
         if checked is None:
             live = live.withColumns({"leader": F.lit(None).cast("long"), "with_leader": F.lit(None).cast("long")})
         else:
@@ -327,18 +339,20 @@ def _connected(sets: DataFrame) -> DataFrame:
                 checked.select(F.col("b").alias("node"), F.struct(F.col("a").alias("leader"), "both").alias("x")))
             known = known.groupBy("node").agg(F.min("x").alias("x")).select("node", "x.leader", F.col("x.both").alias("with_leader"))
             live = live.join(known, "node", "left")
-        live = stage(live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader", *SIGNATURE), "jaccard-live")
+        live = stage(live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader", *_signature(words)), "jaccard-live")
         if live.isEmpty():
             return nodes
-        pairs, rest = _candidates(live, pivots, rounds)
+        pairs, rest = _candidates(live, pivots, rounds, words)
         if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+            # an outer join: Spark would test an anti-join before the pairs are made distinct, once
+            # for every item that a pair shares
+            pairs = pairs.join(checked.select("a", "b", F.lit(True).alias("known")), ["a", "b"], "left").where("known IS NULL").select("a", "b")
         found = stage(_overlaps(pairs, sets), "jaccard-answers")
         links = found.where(LINKED).select("a", "b")
+        checked = found if checked is None else checked.unionByName(found)
         if links.isEmpty():
             pivots *= 16
         else:
-            checked = found if checked is None else checked.unionByName(found)
             nodes = components(links.unionByName(nodes.where("node <> component").select(
                 F.col("component").alias("a"), F.col("node").alias("b"))))
             pivots *= 8
