@@ -2,7 +2,8 @@
 
 Training collects the byte 4-grams of lower-cased letters (everything else is
 a space) per language, keeps those that at least ``min_share`` of the
-language's training texts contain, and inserts them into Bloom filters stored
+language's training texts contain (and two of them, unless there are fewer than
+``FEW_ROWS``: one training row is enough to be learned from), and inserts them into Bloom filters stored
 bit-sliced: one table of slots, each a mask with one bit per language, so one
 lookup returns every language that contains an n-gram. A text is scored by
 popcount: per language the number of its n-grams found, corrected for the
@@ -15,7 +16,8 @@ language (all rows of a smaller language), chosen by a hash of the id.
 
 Defined results: ``und`` with score 0 for null texts and texts without a
 letter; a text none of whose n-grams is known gets the language with most
-training rows and score 0; without training rows everything is ``und``.
+training rows and score 0; without training rows everything is ``und``; more than
+``MAX_LANGUAGES`` languages are an error.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from flowscope.llm.common import fold_of, map_arrow, slices, string_bytes
 U = np.uint64
 SAMPLE_ROWS = 3000
 MIN_SHARE = 0.01
+FEW_ROWS = 10
 SLOTS = 1 << 20
 HASHES = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77))
 MAX_LANGUAGES = 4096
@@ -133,7 +136,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, min_share: float = MI
         grams = (map_arrow(sample, _train_task(languages), "lang int, gram long, n long")
                  .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
         least = F.create_map(*(F.lit(v) for i, x in enumerate(languages)
-                               for v in (i, max(2.0, min_share * min(sample_rows, counts[x])))))
+                               for v in (i, max(1.0 if counts[x] < FEW_ROWS else 2.0, min_share * min(sample_rows, counts[x])))))
         # bounded by the sample: an n-gram kept occurs in a fixed share of a language's sampled texts
         kept = grams.where(F.col("n") >= least[F.col("lang")]).toPandas()
         filters.insert(kept["lang"].to_numpy(np.int64), kept["gram"].to_numpy(np.int64))
