@@ -46,10 +46,12 @@ probability is the smoothed uniform one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,12 +74,43 @@ SMOOTH = 0.1
 SHARED = 128
 WORDS = 32  # tokens of a list, at most
 PASSES = 2
+LIST_BATCH = 2048
 MARK = np.zeros(256, bool)
 MARK[[ord(c) for c in ".,;:!?"]] = True
 
-_SENT = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-                   ("tokens", pa.binary()), ("owner", pa.int32()), ("message", pa.binary()), ("counts", pa.binary())])
-_SENT_SQL = "kind string, block long, doc_id long, held_out boolean, tokens binary, owner int, message binary, counts binary"
+_SENT = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("owner", pa.int32()), ("message", pa.binary()),
+                   ("counts", pa.binary()), ("tokens", pa.binary()), ("ids", pa.binary()), ("flags", pa.binary()),
+                   ("sizes", pa.binary())])
+_SENT_SQL = ("kind string, block long, owner int, message binary, counts binary, tokens binary, ids binary, flags binary, "
+             "sizes binary")
+
+
+def pack(values: np.ndarray) -> bytes:
+    """An array as one compressed string: all first bytes, then all second bytes and so on."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+
+
+def unpack(blob: bytes, dtype) -> np.ndarray:
+    size = int.from_bytes(blob[:8], "little")
+    if not size:
+        return np.empty(0, dtype)
+    planes = np.frombuffer(pa.decompress(blob[8:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def pack_rising(values: np.ndarray) -> bytes:
+    """``pack`` for ascending integers."""
+    return pack(np.diff(values.astype(np.uint64), prepend=U(0)))
+
+
+def unpack_rising(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)
+
+
+def by_rank(times: np.ndarray) -> np.ndarray:
+    """Positions of the tokens, the most frequent first."""
+    return np.argsort(-times.astype(np.int64), kind="stable")
 
 
 def token_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,16 +140,21 @@ def _send(owners: int):
         distinct, local = np.unique(h, return_inverse=True)
         learn = np.repeat(~np.array(held, bool), sizes)
         counts = np.bincount(local[learn], minlength=len(distinct)).astype(np.uint32)
-        local = local.astype(np.uint32)
-        n = len(ids)
-        yield _fill(_SENT, n, kind=pa.array(["doc"] * n), block=pa.array([block] * n, pa.int64()), doc_id=pa.array(ids, pa.int64()),
-                    held_out=pa.array(held), tokens=pa.array([local[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()))
+        # tokens by rank of their count in the block: small numbers pack well, and the counts tell the ranks
+        times = np.bincount(local, minlength=len(distinct)).astype(np.uint32)
+        rank = np.empty(len(distinct), np.uint32)
+        rank[by_rank(times)] = np.arange(len(distinct), dtype=np.uint32)
+        flags = np.array([h + 2 * (i is None) for h, i in zip(held, ids)], np.uint8)
+        yield _fill(_SENT, 1, kind=pa.array(["block"]), block=pa.array([block], pa.int64()),
+                    tokens=pa.array([_bundle((pack(rank[local]), pack(times)))], pa.binary()),
+                    ids=pa.array([pack(np.array([i or 0 for i in ids], np.int64))], pa.binary()),
+                    flags=pa.array([pack(flags)], pa.binary()), sizes=pa.array([pack(sizes.astype(np.uint32))], pa.binary()))
         parts = cut_by_owner(distinct, owners)
         m = len(parts)
         yield _fill(_SENT, m, kind=pa.array(["message"] * m), block=pa.array([block] * m, pa.int64()),
                     owner=pa.array([p[0] for p in parts], pa.int32()),
                     message=pa.array([encode(distinct[a:b]) for _, a, b in parts], pa.binary()),
-                    counts=pa.array([counts[a:b].tobytes() for _, a, b in parts], pa.binary()))
+                    counts=pa.array([pack(counts[a:b]) for _, a, b in parts], pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
@@ -138,23 +176,23 @@ def _send(owners: int):
     return run
 
 
-_COUNTED = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("owner", pa.int32()), ("message", pa.binary()),
+_COUNTED = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("owner", pa.int32()),
                       ("counts", pa.binary()), ("token", pa.int64()), ("n", pa.int64())])
-_COUNTED_SQL = "kind string, block long, owner int, message binary, counts binary, token long, n long"
+_COUNTED_SQL = "kind string, block long, owner int, counts binary, token long, n long"
 
 
 def _count(classes: int):
     def run(table: pa.Table) -> pa.Table:
         """An owner's work: corpus counts for every message, totals, most frequent tokens."""
         sets = [decode(m) for m in table["message"].to_pylist()]
-        counts = [np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()]
+        counts = [unpack(c, np.uint32) for c in table["counts"].to_pylist()]
         distinct, at = np.unique(np.concatenate(sets), return_inverse=True)
         total = np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.uint64)
         ends = np.cumsum([len(s) for s in sets])
         n = len(sets)
         replies = _fill(_COUNTED, n, kind=pa.array(["reply"] * n), block=table["block"].combine_chunks(),
-                        owner=table["owner"].combine_chunks(), message=table["message"].combine_chunks(),
-                        counts=pa.array([total[at[e - len(s): e]].tobytes() for s, e in zip(sets, ends)], pa.binary()))
+                        owner=table["owner"].combine_chunks(),
+                        counts=pa.array([pack(total[at[e - len(s): e]]) for s, e in zip(sets, ends)], pa.binary()))
         top = np.lexsort((distinct, -total.astype(np.int64)))[: classes]
         top = top[total[top] > 0]
         tops = _fill(_COUNTED, len(top), kind=pa.array(["top"] * len(top)), token=pa.array(distinct[top].view(np.int64)),
@@ -206,6 +244,19 @@ _SCORED_SQL = ("kind string, doc_id long, held_out boolean, n_tokens long, n_kno
                "rest_score double, classes binary, shard int, keys binary, counts binary, block long, row long, items binary")
 
 
+def _bundle(blobs) -> bytes:
+    return b"".join(len(b).to_bytes(8, "little") + b for b in blobs)
+
+
+def _unbundle(blob: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(blob):
+        n = int.from_bytes(blob[at: at + 8], "little")
+        out.append(blob[at + 8: at + 8 + n])
+        at += 8 + n
+    return out
+
+
 def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes of the two tokens before each token of rows classes[first[r]:first[r+1]]."""
     v1 = np.full(len(classes), start, np.int64)
@@ -220,25 +271,27 @@ def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> tuple[np.nda
 
 
 def _block_scores(vocabulary):
-    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
+    def run(sent: pa.Table, replies: pa.Table) -> pa.Table:
         """One block: counts by local token, per-document sums, class ids and context counts."""
         v = vocabulary.value
-        order = np.argsort(replies["owner"].to_numpy())
-        messages, replied = replies["message"].to_pylist(), replies["counts"].to_pylist()
-        owners, sets = replies["owner"].to_numpy()[order], [decode(messages[i]) for i in order]
+        replied = dict(zip(replies["owner"].to_pylist(), replies["counts"].to_pylist()))
+        messages = sorted(((o, m) for k, o, m in zip(*(sent[c].to_pylist() for c in ("kind", "owner", "message"))) if k == "message"))
+        owners, sets = [o for o, _ in messages], [decode(m) for _, m in messages]
         h = np.concatenate(sets)
-        c = np.concatenate([np.frombuffer(replied[i], np.uint64) for i in order]).astype(np.float64)
+        c = np.concatenate([unpack(replied[o], np.uint64) for o in owners]).astype(np.float64)
+        own = sent.filter(pc.equal(sent["kind"], "block")).to_pylist()[0]
+        flags, ids = unpack(own["flags"], np.uint8), unpack(own["ids"], np.int64)
         of_token = v.classes(h)
         base = np.log10((c + SMOOTH) / (v.n + SMOOTH * (v.v + 1)))
         inside = (h & U(SHARED - 1)).astype(np.int64)
         rest = np.where(of_token >= v.size, np.log10((c + SMOOTH) / (v.rest_n + SMOOTH * (v.rest_v + 1))[inside]), 0.0)
-        rows = [np.frombuffer(t, np.uint32) for t in docs["tokens"].to_pylist()]
-        held = np.array(docs["held_out"].to_pylist(), bool)
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        held = (flags & 1).astype(bool)
+        sizes = unpack(own["sizes"], np.uint32).astype(np.int64)
         first = np.concatenate([[0], np.cumsum(sizes)])
-        tokens = np.concatenate(rows)
+        ranks, times = (unpack(x, np.uint32) for x in _unbundle(own["tokens"]))
+        tokens = by_rank(times)[ranks]
         classes = of_token[tokens]
-        n = len(rows)
+        n = len(sizes)
         v1, v2 = contexts(classes, first, v.size + SHARED)
         wide = v.size + SHARED + 1
         learn = np.repeat(~held, sizes)
@@ -246,9 +299,9 @@ def _block_scores(vocabulary):
         pos = np.flatnonzero((classes >= v.size) & (c[tokens] > 0))
         pos = pos[np.argsort(tokens[pos], kind="stable")]
         word, before = tokens[pos], contexts(tokens, first, len(h))[0][pos]
-        block = docs["block"][0].as_py()
+        block = own["block"]
         add = lambda x: np.add.reduceat(x[tokens], first[:-1])  # noqa: E731  every row has its end token
-        out = [_fill(_SCORED, n, kind=pa.array(["doc"] * n), doc_id=docs["doc_id"].combine_chunks(),
+        out = [_fill(_SCORED, n, kind=pa.array(["doc"] * n), doc_id=pa.array(ids, mask=flags > 1),
                      held_out=pa.array(held), n_tokens=pa.array(sizes), n_known=pa.array(add((c > 0).astype(np.int64))),
                      base_score=pa.array(add(base)), rest_score=pa.array(add(rest)),
                      classes=pa.array([classes[a:b].astype(np.uint16).tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()),
@@ -259,10 +312,14 @@ def _block_scores(vocabulary):
         cuts = np.searchsorted(word, np.concatenate([[0], np.cumsum([len(o) for o in sets])]))
         for owner, a, b in zip(owners, cuts[:-1], cuts[1:]):
             if a < b:
-                own, n_own = np.unique(word[a:b], return_counts=True)
+                mine, n_mine = np.unique(word[a:b], return_counts=True)
+                names, of_name = np.unique(name[a:b], return_inverse=True)
+                told = (pack(c[mine].astype(np.uint64)), pack(n_mine.astype(np.uint32)))
+                # rows rise within a word: their differences are small
+                items = (pack_rising(names), pack(of_name.astype(np.uint32)), pack(np.diff(row[a:b], prepend=np.uint32(0))), pack(near[a:b]))
                 out.append(_fill(_SCORED, 1, kind=pa.array(["words"]), block=pa.array([block], pa.int64()), shard=pa.array([owner], pa.int32()),
-                                 keys=pa.array([h[own].tobytes()], pa.binary()), counts=pa.array([np.stack([c[own], n_own]).astype(np.uint64).tobytes()], pa.binary()),
-                                 items=pa.array([b"".join((name[a:b].tobytes(), row[a:b].tobytes(), near[a:b].tobytes()))], pa.binary())))
+                                 keys=pa.array([encode(h[mine])], pa.binary()), counts=pa.array([_bundle(told)], pa.binary()),
+                                 items=pa.array([_bundle(items)], pa.binary())))
         key = ((v1 * wide + v2) * wide + classes)[learn]
         key, count = np.unique(key, return_counts=True)
         shard = (key * 0x9E3779B1 >> 16) % SHARDS
@@ -270,12 +327,20 @@ def _block_scores(vocabulary):
             mine = shard == s
             if mine.any():
                 out.append(_fill(_SCORED, 1, kind=pa.array(["contexts"]), shard=pa.array([s], pa.int32()),
-                                 keys=pa.array([key[mine].astype(np.int64).tobytes()], pa.binary()),
-                                 counts=pa.array([count[mine].astype(np.uint32).tobytes()], pa.binary())))
+                                 keys=pa.array([pack_rising(key[mine])], pa.binary()), block=pa.array([block], pa.int64()),
+                                 counts=pa.array([pack(count[mine].astype(np.uint64))], pa.binary())))
         return pa.Table.from_batches(out)
     return run
 
 
+def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``to[at] += rows`` with repeated positions added up."""
+    order = np.argsort(at, kind="stable")
+    own = at[order]
+    head = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    to[own[head]] += np.add.reduceat(rows[order], head)
+
+
 class LogBilinear:
     """The parameters and what follows from them."""
 
@@ -292,14 +357,16 @@ class LogBilinear:
     def nce(self, v1, v2, w, weight, rng, rate=0.2):
         """One pass of noise-contrastive estimation over weighted contexts (Adagrad)."""
         sums = [np.full(x.shape, 1e-6, np.float32) for x in self.arrays()]
+        # noise is drawn from a table of 2^20 entries, each class by its share
         cdf = np.cumsum(self.noise)
+        table = np.searchsorted(cdf, (np.arange(1 << 20) + 0.5) / (1 << 20) * cdf[-1]).clip(max=len(cdf) - 1).astype(np.int32)
         log_noise = np.log(self.noise * NOISE).astype(np.float32)
         order = rng.permutation(len(w))
         for at in range(0, len(order), BATCH):
             i = order[at: at + BATCH]
-            target = np.empty((len(i), 1 + NOISE), np.int64)
+            target = np.empty((len(i), 1 + NOISE), np.int32)
             target[:, 0] = w[i]
-            target[:, 1:] = np.searchsorted(cdf, rng.random((len(i), NOISE)) * cdf[-1]).clip(max=len(cdf) - 1)
+            target[:, 1:] = table[rng.integers(0, len(table), (len(i), NOISE), np.uint32)]
             h = self.r[0][v1[i]] + self.r[1][v2[i]]
             q = self.q[target]
             logit = np.einsum("nd,nkd->nk", h, q) + (self.b - log_noise)[target]
@@ -307,13 +374,12 @@ class LogBilinear:
             error = -1 / (1 + np.exp(-logit.clip(-30, 30)))
             error[:, 0] += 1
             error *= (weight[i] / weight[i].mean())[:, None]
-            error = error.astype(np.float32)
             to_h = np.einsum("nk,nkd->nd", error, q)
             grads = [np.zeros_like(x) for x in self.arrays()]
-            np.add.at(grads[0], target.ravel(), (error[:, :, None] * h[:, None, :]).reshape(-1, SIZE))
-            np.add.at(grads[1][0], v1[i], to_h)
-            np.add.at(grads[1][1], v2[i], to_h)
-            np.add.at(grads[2], target.ravel(), error.ravel())
+            _add_rows(grads[0], target.ravel(), (error[:, :, None] * h[:, None, :]).reshape(-1, SIZE))
+            _add_rows(grads[1][0], v1[i], to_h)
+            _add_rows(grads[1][1], v2[i], to_h)
+            grads[2] += np.bincount(target.ravel(), error.ravel(), len(grads[2])).astype(np.float32)
             for x, g, s in zip(self.arrays(), grads, sums):
                 s += g * g
                 x += rate * g / np.sqrt(s)
@@ -329,12 +395,47 @@ class LogBilinear:
         return out
 
 
+MERGE_ROWS = 1 << 22
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts of a group's messages with their counts added up, a bounded number of messages at a time."""
+    keys, counts, held = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], 0
+
+    def add():
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        return [key], [np.bincount(at, np.concatenate(counts), len(key)).astype(np.uint64)]
+
+    for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist()):
+        keys.append(unpack_rising(k))
+        counts.append(unpack(c, np.uint64))
+        held += len(keys[-1])
+        if held >= MERGE_ROWS:
+            keys, counts = add()
+            held = 0
+    keys, counts = add()
+    return keys[0], counts[0]
+
+
+def _merge_contexts(table: pa.Table) -> pa.Table:
+    key, count = _merged(table)
+    return pa.table({"shard": table["shard"][:1], "keys": pa.array([pack_rising(key)], pa.binary()), "counts": pa.array([pack(count)], pa.binary())})
+
+
+def _merge(blocks: DataFrame) -> DataFrame:
+    """(shard, keys, counts): the contexts of all blocks, counted once. Blocks are merged in groups
+    first, so that no task takes the messages of all blocks."""
+    parts = F.lit(max(1, math.isqrt(shuffle_partitions(blocks.sparkSession))))
+    sent = blocks.where("kind = 'contexts'").select("shard", F.pmod(F.xxhash64("block"), parts).alias("part"), "keys", "counts")
+    schema = "shard int, keys binary, counts binary"
+    some = sent.groupBy("shard", "part").applyInArrow(_merge_contexts, schema)
+    return stage(some.groupBy("shard").applyInArrow(_merge_contexts, schema), "lm-contexts")
+
+
 def _train_shard(model):
     def run(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(k, np.int64) for k in table["keys"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()])
-        key, at = np.unique(keys, return_inverse=True)
-        weight = np.bincount(at, counts).astype(np.float32)
+        key, counts = _merged(table)
+        key, weight = key.astype(np.int64), counts.astype(np.float32)
         m = model.value
         wide = m.r.shape[1]
         # tame the heaviest contexts: a weight above the batch size would overshoot; it is split instead
@@ -383,8 +484,8 @@ def fit_list(word, name, x, learn, p, seed: int) -> np.ndarray:
 
     for _ in range(PASSES):
         order = rng.permutation(learn)
-        for a in range(0, len(order), 1024):
-            i = order[a: a + 1024]
+        for a in range(0, len(order), LIST_BATCH):
+            i = order[a: a + LIST_BATCH]
             h, s = model(i)
             np.exp(s, out=s)
             s /= -s.sum(1, keepdims=True)
@@ -410,13 +511,14 @@ def _train_words(held, vocabulary):
     def run(table: pa.Table) -> pa.Table:
         m = held.value[0]
         table = table.sort_by("block")
-        hashes = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-        items = table["items"].to_pylist()
-        told = [np.frombuffer(c, np.uint64).reshape(2, -1) for c in table["counts"].to_pylist()]
+        hashes = [decode(k) for k in table["keys"].to_pylist()]
+        told = [[unpack(x, t) for x, t in zip(_unbundle(c), (np.uint64, np.uint32))] for c in table["counts"].to_pylist()]
+        items = [_unbundle(b) for b in table["items"].to_pylist()]
         n_own = [t[1].astype(np.int64) for t in told]
         sizes = [int(n.sum()) for n in n_own]
-        field = lambda dtype, at: np.concatenate([np.frombuffer(b, dtype, n, at * n) for b, n in zip(items, sizes)])
-        name, row, v2 = field(np.uint32, 0), field(np.uint32, 4), field(np.uint16, 8)
+        name = np.concatenate([unpack_rising(b[0]).astype(np.uint32)[unpack(b[1], np.uint32)] for b in items])
+        row = np.concatenate([np.cumsum(unpack(b[2], np.uint32), dtype=np.uint32) for b in items])
+        v2 = np.concatenate([unpack(b[3], np.uint16) for b in items])
         learn, v2 = v2 < 1 << 15, v2 & (1 << 15) - 1
         v1 = np.where(name == 0, m.r.shape[1] - 1, vocabulary.value.low_classes(name))
         own, first, of = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
@@ -442,8 +544,8 @@ def _train_words(held, vocabulary):
         ends, rows, scores = np.cumsum(sizes), [], []
         for n, e in zip(sizes, ends):
             mine, of = np.unique(row[e - n: e], return_inverse=True)
-            rows.append(mine.tobytes())
-            scores.append(np.bincount(of, out[e - n: e]).astype(np.float32).tobytes())
+            rows.append(pack_rising(mine))
+            scores.append(pack(np.bincount(of, out[e - n: e]).astype(np.float32)))
         return pa.table({"block": table["block"], "owner": table["shard"], "rows": pa.array(rows, pa.binary()),
                          "scores": pa.array(scores, pa.binary())})
     return run
@@ -454,7 +556,7 @@ def _add_words(docs: pa.Table, replies: pa.Table) -> pa.Table:
     row = docs["row"].to_numpy()
     words = np.zeros(row.max(initial=0) + 1)
     for i in np.argsort(replies["owner"].to_numpy()):
-        words[np.frombuffer(replies["rows"][i].as_py(), np.uint32)] += np.frombuffer(replies["scores"][i].as_py(), np.float32)
+        words[unpack_rising(replies["rows"][i].as_py())] += unpack(replies["scores"][i].as_py(), np.float32)
     score = docs["class_score"].to_numpy() + docs["rest_score"].to_numpy() + words[row]
     return docs.select(["doc_id", "held_out", "n_tokens", "n_known", "base_score"]).append_column("score", pa.array(score))
 
@@ -496,10 +598,10 @@ def score_texts(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
                             sums["n"].to_numpy(np.int64), sums["v"].to_numpy(np.int64))
     told = spark.sparkContext.broadcast(vocabulary)
     of_block = _block_scores(told)
-    blocks = stage(sent.where("kind = 'doc'").select("block", "doc_id", "held_out", "tokens").groupBy("block").cogroup(
-        counted.where("kind = 'reply'").select("block", "owner", "message", "counts").groupBy("block"))
+    blocks = stage(sent.select("kind", "block", "owner", "message", "tokens", "ids", "flags", "sizes").groupBy("block").cogroup(
+        counted.where("kind = 'reply'").select("block", "owner", "counts").groupBy("block"))
         .applyInArrow(of_block, _SCORED_SQL), "lm-blocks")
-    model = _train(blocks.where("kind = 'contexts'").select("shard", "keys", "counts"), vocabulary)
+    model = _train(_merge(blocks), vocabulary)
     held = spark.sparkContext.broadcast((model, model.normalisers()))
     answers = (blocks.where("kind = 'words'").select("block", "shard", "keys", "counts", "items").groupBy("shard")
                .applyInArrow(_train_words(held, told), "block long, owner int, rows binary, scores binary"))
