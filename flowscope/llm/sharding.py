@@ -8,10 +8,12 @@ members / quota shards. All other documents start with a label hashed from their
 row, over the room that is left. The links of a group of equal texts are complete, so
 a document's neighbours are counted per (group, label) cell instead of per link:
 each round proposes that the cells of a group join the one most of its members are
-in (labels with room first), and accepts proposals in order while the target's
-quota lasts. A cell moves whole, so every move leaves one cell less. Rounds
-go on while at least a quarter of the proposals is accepted (so their number
-grows with the logarithm of the cells); the groups still split then are laid out
+in (ties drawn anew each round; every other round labels with room first). Proposals
+are accepted in order while the target's room lasts, and beyond it as exchanges: as
+many cells of n rows from one shard to another as of n rows the other way, which needs
+no room. A cell moves whole and joins another of its group, so every move leaves one
+cell less, and rounds go on until a round of either rule moves nothing. The few groups
+still split then (their shards are full and nobody comes the other way) are laid out
 whole, one behind the other, in the room of the shards, which cuts one group at
 most per border of two shards. No shard then holds more linked rows than its quota,
 and unlinked rows even the shards out exactly.
@@ -83,32 +85,49 @@ def place_heavy(sizes: list[int], quotas: list[int]) -> tuple[list[list[tuple[in
     return out, room
 
 
+def _exchanges(stuck: DataFrame) -> DataFrame:
+    """Of the cells (GROUP, label, goal, n, bucket) that wish to move, those that change places: as
+    many of n rows that go from one shard to another as of n rows that go the other way, in the
+    order of the buckets. Both shards keep their loads."""
+    way = ["label", "goal", "n"]
+    back = stuck.groupBy(*way).agg(F.count(F.lit(1)).alias("offers")).select(
+        F.col("label").alias("goal"), F.col("goal").alias("label"), "n", "offers")
+    before = running_offset(stuck, way, "bucket", F.lit(1), "_before")
+    inside = F.row_number().over(Window.partitionBy(*way, "bucket").orderBy(*GROUP)) - 1
+    return (stuck.withColumn("_inside", inside).join(before, [*way, "bucket"]).join(back, way)
+            .where(F.col("_before") + F.col("_inside") < F.col("offers")).select(*GROUP, "label", F.lit(True).alias("swap")))
+
+
 def propagate(cells: DataFrame, quotas: list[int]) -> DataFrame:
     """Cells (group, label, n) after balanced label propagation."""
-    shards = len(quotas)
-    while True:
+    shards, rounds, still = len(quotas), 0, 0
+    while still < 2:  # a round of either rule that moves nothing
         loads = _per_shard(cells, "label", F.col("n"), shards)
         room = [max(0, q - x) for q, x in zip(quotas, loads)]
-        has_room = _of_shard(room, F.col("label")) > 0
+        open_first = _of_shard(room, F.col("label")) > 0 if rounds % 2 else F.lit(True)
         goal = cells.groupBy(*GROUP).agg(F.max(F.struct(
-            has_room.alias("open"), "n", F.xxhash64(*GROUP, "label").alias("tie"), "label")).alias("best"))
+            open_first.alias("open"), "n", F.xxhash64(*GROUP, "label", F.lit(rounds // 2)).alias("tie"), "label")).alias("best"))
         moves = (cells.join(goal.select(*GROUP, F.col("best.label").alias("goal")), GROUP)
                  .withColumn("wish", F.when(F.col("goal") != F.col("label"), F.col("n")).otherwise(F.lit(0)))
-                 .withColumn("bucket", F.pmod(F.xxhash64(*GROUP), F.lit(4096))))
+                 .withColumn("bucket", F.pmod(F.xxhash64(*GROUP, F.lit(rounds)), F.lit(4096))))
         before = running_offset(moves.where("wish > 0"), ["goal"], "bucket", F.col("wish"), "_before")
         order = Window.partitionBy("goal", "bucket").orderBy(*GROUP, "label")
         inside = F.sum("wish").over(order.rowsBetween(Window.unboundedPreceding, -1))
         moves = moves.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(before, ["goal", "bucket"], "left")
         free = _of_shard(room, F.col("goal")) - F.coalesce("_before", F.lit(0)) - F.col("_inside")
-        moves = stage(moves.select(*GROUP, "label", "goal", "n", "wish", ((F.col("wish") > 0) & (F.col("wish") <= free)).alias("go")),
+        moves = stage(moves.select(*GROUP, "label", "goal", "n", "wish", "bucket", ((F.col("wish") > 0) & (F.col("wish") <= free)).alias("go")),
+                      "shard-moves")
+        swaps = _exchanges(moves.where("wish > 0 and not go").select(*GROUP, "label", "goal", "n", "bucket"))
+        moves = stage(moves.join(swaps, [*GROUP, "label"], "left").withColumn("go", F.col("go") | F.coalesce("swap", F.lit(False))),
                       "shard-moves")
-        asked, moved = moves.agg(F.count_if(F.col("wish") > 0), F.count_if("go")).first()
-        if not moved:
-            return cells
+        rounds += 1
+        if moves.where("go").isEmpty():
+            still += 1
+            continue
+        still = 0
         cells = stage(moves.select(*GROUP, F.when(F.col("go"), F.col("goal")).otherwise(F.col("label")).alias("label"), "n")
                       .groupBy(*GROUP, "label").agg(F.sum("n").alias("n")), "shard-cells")
-        if 4 * moved < asked:
-            return cells
+    return cells
 
 
 def gather(cells: DataFrame, quotas: list[int]) -> DataFrame:
