@@ -85,10 +85,13 @@ _SENT_SQL = ("kind string, block long, owner int, message binary, counts binary,
              "sizes binary")
 
 
+LEVEL = 6  # of zstd
+
+
 def pack(values: np.ndarray) -> bytes:
     """An array as one compressed string: all first bytes, then all second bytes and so on."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
-    return len(planes).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+    return len(planes).to_bytes(8, "little") + (pa.Codec("zstd", LEVEL).compress(planes, asbytes=True) if planes else b"")
 
 
 def unpack(blob: bytes, dtype) -> np.ndarray:
@@ -315,8 +318,10 @@ def _block_scores(vocabulary):
                 mine, n_mine = np.unique(word[a:b], return_counts=True)
                 names, of_name = np.unique(name[a:b], return_inverse=True)
                 told = (pack(c[mine].astype(np.uint64)), pack(n_mine.astype(np.uint32)))
-                # rows rise within a word: their differences are small
-                items = (pack_rising(names), pack(of_name.astype(np.uint32)), pack(np.diff(row[a:b], prepend=np.uint32(0))), pack(near[a:b]))
+                # rows rise within a word: the first one, then differences
+                heads = np.r_[True, word[a + 1:b] != word[a:b - 1]]
+                steps = np.where(heads, row[a:b], np.diff(row[a:b], prepend=np.uint32(0)))
+                items = (pack_rising(names), pack(of_name.astype(np.uint32)), pack(steps), pack(near[a:b]))
                 out.append(_fill(_SCORED, 1, kind=pa.array(["words"]), block=pa.array([block], pa.int64()), shard=pa.array([owner], pa.int32()),
                                  keys=pa.array([encode(h[mine])], pa.binary()), counts=pa.array([_bundle(told)], pa.binary()),
                                  items=pa.array([_bundle(items)], pa.binary())))
@@ -506,6 +511,13 @@ def fit_list(word, name, x, learn, p, seed: int) -> np.ndarray:
     return out
 
 
+def _rows_of(steps: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Rows from, per word of n items, the first row and the differences behind it."""
+    total = np.cumsum(steps.astype(np.int64))
+    first = np.cumsum(n) - n
+    return (total - np.repeat(total[first] - steps[first], n)).astype(np.uint32)
+
+
 def _train_words(held, vocabulary):
     """An owner's work: fit its lists, answer every message with its items' log10 of model over unigram, added up per row."""
     def run(table: pa.Table) -> pa.Table:
@@ -517,7 +529,7 @@ def _train_words(held, vocabulary):
         n_own = [t[1].astype(np.int64) for t in told]
         sizes = [int(n.sum()) for n in n_own]
         name = np.concatenate([unpack_rising(b[0]).astype(np.uint32)[unpack(b[1], np.uint32)] for b in items])
-        row = np.concatenate([np.cumsum(unpack(b[2], np.uint32), dtype=np.uint32) for b in items])
+        row = np.concatenate([_rows_of(unpack(b[2], np.uint32), n) for b, n in zip(items, n_own)])
         v2 = np.concatenate([unpack(b[3], np.uint16) for b in items])
         learn, v2 = v2 < 1 << 15, v2 & (1 << 15) - 1
         v1 = np.where(name == 0, m.r.shape[1] - 1, vocabulary.value.low_classes(name))

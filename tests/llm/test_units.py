@@ -91,3 +91,35 @@ def test_best_fit_decreasing(sizes):
             room.append(32)
         room[at] -= s
     assert sorted(32 - sum(sizes[i] for i in r) for r in rows) == sorted(room)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=60), st.lists(st.integers(1, 4), max_size=20))
+def test_packed_arrays(values, sizes):
+    from flowscope.llm import lm
+    a = np.array(values, np.uint32)
+    assert (lm.unpack(lm.pack(a), np.uint32) == a).all()
+    up = np.sort(a.astype(np.uint64) << np.uint64(7))
+    assert (lm.unpack_rising(lm.pack_rising(up)) == up).all()
+    n = np.array(sizes, np.int64)
+    rows = np.concatenate([np.sort(np.resize(a, k)) for k in sizes] or [a[:0]]) if len(a) else np.zeros(n.sum(), np.uint32)
+    word = np.repeat(np.arange(len(n)), n)
+    if len(word):
+        heads = np.r_[True, word[1:] != word[:-1]]
+        assert (lm._rows_of(np.where(heads, rows, np.diff(rows, prepend=np.uint32(0))), n) == rows).all()
+
+
+def test_a_model_sums_to_one():
+    """All class probabilities of any context of a trained model, and those of a list, add up to one."""
+    from flowscope.llm import lm
+    rng = np.random.default_rng(3)
+    p = rng.random(20) + 0.1
+    model = lm.LogBilinear(p / p.sum())
+    v1, v2 = rng.integers(0, 21, 100_000), rng.integers(0, 21, 100_000)
+    w = (v1 + 1) % 20  # the class follows from the one before
+    model.nce(v1, v2, w, np.ones(len(w), np.float32), rng)
+    score = (model.r[0][:, None, None] + model.r[1][None, :, None]) @ model.q.T
+    log_p = score[:, :, 0] + model.b - model.normalisers()[:, :, None]
+    assert np.allclose(np.exp(log_p).sum(2), 1, atol=1e-3)
+    unigram = np.log(p / p.sum())[w].mean()
+    assert log_p[v1, v2, w].mean() > unigram + 0.5
