@@ -191,3 +191,46 @@ def test_shedding_follows_the_backlog(spark):
     ids = [r.event_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) == sum(r.n_kept for r in got.values())
     assert set(ids) <= {*range(300), *range(1000, 5000), *range(9000, 17000)}
+
+
+@pytest.mark.parametrize("width,slide,k", [("6 minutes", "4 minutes", 2), ("2 minutes", "5 minutes", 1), ("3 minutes", None, 1200)])
+def test_windows_are_laid_out_once(spark, tmp_dir, width, slide, k):
+    """The pane log is read once, rows beyond the largest k go before the shuffle, and windows that
+    overlap, leave gaps or hold fewer keys than k are those of plain Python."""
+    from flowscope.operators.windows import seconds
+    from flowscope.streaming.panes import Settings, change, monitor_by_history, settings_spans
+    log, history = os.path.join(tmp_dir, "panes"), os.path.join(tmp_dir, "history")
+    start, minute = dt.datetime(2024, 1, 1), dt.timedelta(minutes=1)
+    panes = [(start + m * minute, start + (m + 1) * minute, f"p{i}" if i else None, None if (m + i) % 7 == 6 else (m * i) % 5 * 10 + i, 1 + i % 2)
+             for m in range(20) for i in range(4)]
+    spark.createDataFrame(panes[: 4 * 7], "window_start timestamp_ntz, window_end timestamp_ntz, protocol string, bytes long, n long").write.parquet(log)
+    change(spark, history, Settings("2 minutes", "1 minute", 0.3, 3, 1.5), "1 minute")
+    change(spark, history, Settings(width, slide, 0.3, k, 1.5), "1 minute", log)
+    spark.createDataFrame(panes[4 * 7:], spark.read.parquet(log).schema).write.mode("append").parquet(log)
+    out = monitor_by_history(spark.read.parquet(log), settings_spans(spark, history), "protocol")
+
+    sums = {}
+    for at, _, key, size, n in panes:
+        m, later = int((at - start) / minute), at >= start + 7 * minute
+        w, s = (seconds(width) // 60, seconds(slide or width) // 60) if later else (2, 1)
+        base = int((start - dt.datetime(1970, 1, 1)) / minute)  # windows are aligned to the epoch
+        for first in range((base + m) // s * s, base + m - w, -s):
+            b, c = sums.setdefault((later, first - base, w), {}).get(key, (None, 0))
+            sums[later, first - base, w][key] = (b if size is None else (b or 0) + size, c + n)
+    want = set()
+    for (later, first, w), keys in sums.items():
+        total = sum(b for b, _ in keys.values() if b is not None)
+        means = {key: b / n for key, (b, n) in keys.items() if b is not None}
+        centre = sum(means.values()) / max(1, len(means))
+        sd = (sum((x - centre) ** 2 for x in means.values()) / max(1, len(means))) ** 0.5
+        best = sorted(keys, key=lambda key: (keys[key][0] is None, -(keys[key][0] or 0), key is not None, key or ""))
+        got = [("func1", key, b / total) for key, (b, _) in keys.items() if b is not None and b > 0.3 * total]
+        got += [("func3", key, x) for key, x in means.items() if x > 1.5 * sd]
+        got += [("func2", key, keys[key][0]) for key in best[: k if later else 3]]
+        want |= {(later, first, first + w, f, key, None if v is None else round(v, 9)) for f, key, v in got}
+    rows = [(r.since.year > 1900, int((r.window_start - start) / minute), int((r.window_end - start) / minute), r.func, r.key,
+             None if r.value is None else round(r.value, 9)) for r in out.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert not [f for f in out.inputFiles() if "/panes/" in f] and len([f for f in out.inputFiles() if "/windows-" in f]) > 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("WindowGroupLimit" in plan) == (max(k, 3) < 1000)
