@@ -221,12 +221,12 @@ def _signature(words: int) -> list[str]:
 
 
 def _signatures(sets: DataFrame, words: int) -> DataFrame:
-    """(node, s0, s1, ..): bit h of the 64 * ``words`` is the parity of the set's hashes with residue
+    """(node, n, items, s0, s1, ..): bit h of the 64 * ``words`` is the parity of the set's hashes with residue
     h; the signatures of two sets differ in at most as many bits as the sets differ in items."""
     def word(i: int):
         return F.expr(f"aggregate(items, 0L, (acc, x) -> if(pmod(shiftright(x, 6), {words}) = {i}, "
                       "acc ^ shiftleft(1L, cast(x & 63 as int)), acc))")
-    return sets.select("node", *(word(i).alias(s) for i, s in enumerate(_signature(words))))
+    return sets.select("node", "n", "items", *(word(i).alias(s) for i, s in enumerate(_signature(words))))
 
 
 def _prefix_index(sets: DataFrame) -> DataFrame:
@@ -302,7 +302,7 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
     words = spark.sparkContext.broadcast(filter_words(classes, filter_bits))
     sets = (map_arrow(source.select("text"), lambda it: _sets_task(words.value)(it), "cls binary, items array<long>")
             .groupBy("cls").agg(F.first("items").alias("items")))
-    sets = stage(classes.join(sets, "cls").select("node", "n", "items"), "jaccard-sets")
+    sets = stage(_signatures(classes.join(sets, "cls"), FIRST_WORDS), "jaccard-sets")
     nodes = _connected(sets)
     labels = classes.join(nodes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
     least = labels.groupBy("comp").agg(F.min("least").alias("first"))
@@ -315,10 +315,12 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
 
 
 def _connected(sets: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that have links, by rounds of pivots."""
+    """(node, component) of the nodes that have links, by rounds of pivots. A round after the first
+    stores the sets that its index still names and moves no other: what the rounds shuffle shrinks
+    with the index, however many there are."""
     spark = sets.sparkSession
     index = stage(_prefix_index(sets), "jaccard-index")
-    marks, words = None, 0
+    words = FIRST_WORDS
     nodes = spark.createDataFrame([], "node long, component long")
     checked, pivots, rounds = None, 1, 0
     while True:
@@ -328,10 +330,6 @@ def _connected(sets: DataFrame) -> DataFrame:
         mixed = (live.select("item", near.alias("size_block"), "comp").groupBy("item", "size_block")
                  .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("item", "size_block"))
         live = live.join(mixed, ["item", "size_block"], "left_semi")
-        if rounds < 2:
-            words = LATER_WORDS if rounds else FIRST_WORDS
-            marks = stage(_signatures(sets.join(index.select("node").distinct(), "node", "left_semi"), words), "jaccard-signatures")
-        live = live.join(marks, "node")
         if checked is None:
             live = live.withColumns({"leader": F.lit(None).cast("long"), "with_leader": F.lit(None).cast("long")})
         else:
@@ -339,7 +337,17 @@ def _connected(sets: DataFrame) -> DataFrame:
                 checked.select(F.col("b").alias("node"), F.struct(F.col("a").alias("leader"), "both").alias("x")))
             known = known.groupBy("node").agg(F.min("x").alias("x")).select("node", "x.leader", F.col("x.both").alias("with_leader"))
             live = live.join(known, "node", "left")
-        live = stage(live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader", *_signature(words)), "jaccard-live")
+        live = live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader")
+        if rounds:
+            live = stage(live, "jaccard-left")
+            if live.isEmpty():
+                return nodes
+            sets = sets.join(live.select("node").distinct(), "node", "left_semi")
+            if rounds == 1:
+                words = LATER_WORDS
+                sets = _signatures(sets, words)
+            sets = stage(sets, "jaccard-sets")
+        live = stage(live.join(sets.select("node", *_signature(words)), "node"), "jaccard-live")
         if live.isEmpty():
             return nodes
         pairs, rest = _candidates(live, pivots, rounds, words)

@@ -234,3 +234,19 @@ def test_chat_events_fold(spark):
     assert back[2].loss_texts == ["<s>2"] and [tuple(t) for t in back[None].turns] == [("", "")]
     assert [tuple(t) for t in back[1].turns] == [("user", "h\\0o")]  # the edit drops the turns written before it
     assert chat.chat_digest(events.limit(0)).count() == 0
+
+
+def test_jaccard_later_rounds_move_only_what_is_left(spark, monkeypatch):
+    """Pairs of copies settle in the first round; a family of near misses (0.66) takes more. Rounds
+    after the first hold the sets that their index names, and no other."""
+    words = lambda tag, n: [f"{tag}x{i}" for i in range(n)]
+    rows = [(2 * p + side, " ".join(words(f"p{p}", 40) + [f"end{side}"])) for p in range(30) for side in (0, 1)]
+    rows += [(1000 + d, " ".join(words("family", 80) + words(f"own{d}", 20))) for d in range(12)]
+    live, moved = [], []
+    candidates, overlaps = jaccard._candidates, jaccard._overlaps
+    nodes = lambda df: {r.node for r in df.select("node").distinct().collect()}
+    monkeypatch.setattr(jaccard, "_candidates", lambda index, *a: (live.append(nodes(index)), candidates(index, *a))[1])
+    monkeypatch.setattr(jaccard, "_overlaps", lambda pairs, sets: (moved.append(nodes(sets)), overlaps(pairs, sets))[1])
+    out = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == {d: d - d % 2 if d < 1000 else d for d, _ in rows}
+    assert len(live) > 1 and moved[1:] == live[1:] and len(moved[1]) < len(moved[0])
