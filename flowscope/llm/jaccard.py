@@ -11,9 +11,12 @@ work at three levels.
   that count the shared ones per row (hashes that repeat inside a block are
   counted there and sent once). Rows with too few cannot link with anything.
 * **Index.** For the rest, an inverted index over the prefixes in rarest-first
-  order. A list is cut into blocks by set size; a set skips every block but
-  its own and the two beside it, and every entry whose position in either
-  set leaves too few hashes for the required overlap.
+  order. Tasks send the keys of their sets (short prefixes of the hashes),
+  Golomb-coded, to owners that answer with a rank of each key's frequency;
+  keys that one set alone has need no posting. A list is cut into blocks by
+  set size; a set skips every block but its own and the two beside it, and
+  every entry whose position in either set leaves too few hashes for the
+  required overlap.
 * **Answers.** In each round a list block compares only its pivots with its
   members. The answers of a pivot settle the other members: a set highly
   similar to the pivot inherits its links (same component, no comparison), and
@@ -59,6 +62,10 @@ _SENT = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("key", pa.int64(
 _SENT_SQL = ("kind string, row long, key long, doc_id long, n long, shared long, cls binary, owner int, block long, "
              "message binary, members binary")
 
+_POSTED = pa.schema([("block", pa.int64()), ("owner", pa.int32()), *((c, pa.binary()) for c in (
+    "message", "counts", "members", "nodes", "sizes", "signs"))])
+_POSTED_SQL = "block long, owner int, message binary, counts binary, members binary, nodes binary, sizes binary, signs binary"
+
 
 def document_sets(raw: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each row."""
@@ -201,17 +208,37 @@ def filter_hit(words: np.ndarray, cls: bytes) -> bool:
     return bool(int(words[slot >> 6]) >> (slot & 63) & 1)
 
 
-def filter_words(classes: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of fixed size over class ids: at most bits / 64 rows reach the driver.
-    It only spares the second scan sets that cannot link; a join follows."""
-    low = F.conv(F.hex(F.expr("substring(cls, 1, 8)")), 16, 10).cast("decimal(20,0)") % F.lit(bits)
-    rows = (classes.select(low.cast("long").alias("slot")).distinct().groupBy(F.expr("slot div 64").alias("word"))
+def filter_words(slots: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size over the column ``slot``: at most bits / 64 rows reach the driver.
+    It only spares work on sets that are not asked for; a join follows."""
+    rows = (slots.select("slot").distinct().groupBy(F.expr("slot div 64").alias("word"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toPandas())
     words = np.zeros(bits // 64, np.uint64)
     words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     return words
 
 
+def _class_slots(classes: DataFrame, bits: int) -> DataFrame:
+    low = F.conv(F.hex(F.expr("substring(cls, 1, 8)")), 16, 10).cast("decimal(20,0)") % F.lit(bits)
+    return classes.select(low.cast("long").alias("slot"))
+
+
+def _sets_of(sets: DataFrame, nodes: DataFrame, bits: int) -> DataFrame:
+    """(node, n, items) of the sets whose node is in ``nodes`` and of a few others (a bitmap of fixed size
+    decides), so that a join with ``nodes`` does not shuffle every set first."""
+    def slot(node: str):
+        return F.pmod(F.xxhash64(node), F.lit(bits)).alias("slot")
+    words = sets.sparkSession.sparkContext.broadcast(filter_words(nodes.select(slot("node")), bits))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False)
+            hit = words.value[at >> 6] >> (at & 63).astype(np.uint64) & U(1)
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], ["node", "n", "items"]).filter(pa.array(hit.astype(bool)))
+
+    return map_arrow(sets.select(slot("node"), "node", "n", "items"), named, "node long, n long, items array<long>")
+
+
 # 64-bit words of the signatures: in the first round, and for the few sets that are left after it
 FIRST_WORDS, LATER_WORDS = 8, 32
 
@@ -229,19 +256,130 @@ def _signatures(sets: DataFrame, words: int) -> DataFrame:
     return sets.select("node", "n", "items", *(word(i).alias(s) for i, s in enumerate(_signature(words))))
 
 
-def _prefix_index(sets: DataFrame) -> DataFrame:
-    """Postings (item, node, n, pos, size_block) of the rarest-first prefixes: hashes that
-    one set alone has come first and need no posting."""
-    items = sets.select("node", "n", F.explode("items").alias("item"))
-    rare = items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    mine = (items.join(rare, "item").groupBy("node", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("own")))
-    need = F.expr(f"cast(ceil({NUM} * n / {DEN}) as int)")
-    mine = mine.where(F.size("own") >= need).select(
-        "node", "n", (F.col("n") - F.size("own")).alias("alone"),
-        F.posexplode(F.slice("own", F.lit(1), F.size("own") - need + 1)).alias("k", "entry"))
-    return mine.select(F.col("entry.item").alias("item"), "node", "n", (F.col("alone") + F.col("k")).alias("pos"),
-                       F.floor(F.log(F.col("n")) / F.log(F.lit(DEN / NUM))).alias("size_block"))
+def _post(owners: int, width: int):
+    """Scan task over stored sets: per block its nodes, sizes and signatures, and to each owner of a range of
+    keys (the first ``width`` bits of the hashes) the block's keys there, how many of its items have each, and
+    the sets these belong to."""
+    shift = U(64 - width)
+
+    def fill(count, **given):
+        return pa.RecordBatch.from_arrays(
+            [given[f.name] if f.name in given else pa.nulls(count, f.type) for f in _POSTED], schema=_POSTED)
+
+    def flush(block, nodes, sizes, signs, items):
+        key = np.concatenate(items) >> shift
+        member = np.repeat(np.arange(len(sizes)), sizes).astype(np.uint16)
+        order = np.argsort(key, kind="stable")
+        key, member = key[order], member[order]
+        head = np.ones(len(key), bool)
+        head[1:] = key[1:] != key[:-1]
+        start = np.append(np.flatnonzero(head), len(key))
+        count = np.diff(start).astype(np.uint32)
+        distinct = key[head]
+        yield fill(1, block=pa.array([block]), nodes=pa.array([np.array(nodes, np.int64).tobytes()], pa.binary()),
+                   sizes=pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
+                   signs=pa.array([b"".join(signs)], pa.binary()))
+        parts = cut_by_owner(distinct << shift, owners)
+        yield fill(len(parts), block=pa.array([block] * len(parts), pa.int64()), owner=pa.array([p[0] for p in parts], pa.int32()),
+                   message=pa.array([encode(distinct[a:b]) for _, a, b in parts], pa.binary()),
+                   counts=pa.array([count[a:b].tobytes() for _, a, b in parts], pa.binary()),
+                   members=pa.array([member[start[a]: start[b]].tobytes() for _, a, b in parts], pa.binary()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 20
+        nodes, sizes, signs, items, held = [], [], [], [], 0
+        for batch in batches:
+            for node, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = row.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                nodes.append(node)
+                sizes.append(len(own))
+                signs.append(parity(own, FIRST_WORDS))
+                items.append(own)
+                held += len(own)
+                if len(nodes) == BLOCK_ROWS or held >= BLOCK_HASHES:
+                    yield from flush(block, nodes, sizes, signs, items)
+                    block += 1
+                    nodes, sizes, signs, items, held = [], [], [], [], 0
+        if nodes:
+            yield from flush(block, nodes, sizes, signs, items)
+
+    return run
+
+
+def parity(items: np.ndarray, words: int) -> bytes:
+    """The signature of one set (see ``_signatures``)."""
+    odd = np.bincount((items & U(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _rank(df: np.ndarray) -> np.ndarray:
+    """A byte that never falls with the frequency: up to 128 itself, then eight steps per doubling."""
+    return np.where(df <= 128, df, np.minimum(255, 128 + 8 * np.log2(np.maximum(df, 128) / 128))).astype(np.uint8)
+
+
+def _frequencies(table: pa.Table) -> pa.Table:
+    """An owner's work: per message, the keys that more than one item has, with their ranks."""
+    keys = [decode(m) for m in table["message"].to_pylist()]
+    counts = [np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()]
+    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    df = np.bincount(at, np.concatenate(counts)).astype(np.int64)[at]
+    out, start = [], 0
+    for key, count, members in zip(keys, counts, table["members"].to_pylist()):
+        mine = df[start: start + len(key)]
+        start += len(key)
+        again = mine > 1
+        out.append((encode(key[again]), count[again].tobytes(), _rank(mine[again]).tobytes(),
+                    np.frombuffer(members, np.uint16)[np.repeat(again, count)].tobytes()))
+    return pa.table({"block": table["block"], **{c: pa.array(v, pa.binary()) for c, v in zip(
+        ("message", "counts", "ranks", "members"), zip(*out))}})
+
+
+def _postings(table: pa.Table) -> pa.Table:
+    """All owners' answers to one block: the postings of its sets' prefixes. Keys that one item alone has come
+    first and need no posting."""
+    head = table.filter(table["nodes"].is_valid()).to_pylist()[0]
+    nodes, sizes = np.frombuffer(head["nodes"], np.int64), np.frombuffer(head["sizes"], np.int64)
+    answers = table.filter(table["message"].is_valid())
+    counts = [np.frombuffer(c, np.uint32) for c in answers["counts"].to_pylist()]
+    key, rank, member = (np.concatenate([np.empty(0, kind), *parts]) for kind, parts in (
+        (np.uint64, [np.repeat(decode(m), c) for m, c in zip(answers["message"].to_pylist(), counts)]),
+        (np.uint8, [np.repeat(np.frombuffer(r, np.uint8), c) for r, c in zip(answers["ranks"].to_pylist(), counts)]),
+        (np.uint16, [np.frombuffer(m, np.uint16) for m in answers["members"].to_pylist()])))
+    order = np.lexsort((key, rank, member))
+    key, member = key[order], member[order].astype(np.int64)
+    own = np.bincount(member, minlength=len(nodes))
+    k = np.arange(len(key)) - (np.cumsum(own) - own)[member]
+    kept = k <= (own - overlap_least(sizes))[member]
+    key, member, k = key[kept], member[kept], k[kept]
+    return pa.table({"item": pa.array(key.astype(np.int64)), "node": pa.array(nodes[member]), "n": pa.array(sizes[member]),
+                     "pos": pa.array((sizes - own)[member] + k)})
+
+
+def _block_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for nodes, signs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            signs = np.frombuffer(signs, np.int64).reshape(-1, FIRST_WORDS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(nodes, np.int64)), *map(pa.array, signs.T.copy())],
+                                             ["node", *_signature(FIRST_WORDS)])
+
+
+def _prefix_index(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings (item, node, n, pos, size_block) of the rarest-first prefixes, and (node, signature) of all sets.
+    Items go by keys of so many bits that about one in a thousand meets another item's key by chance; such a
+    meeting is a posting too many, never one too few."""
+    items = sets.agg(F.sum("n")).head()[0] or 0
+    width = min(64, 10 + max(1, int(items).bit_length()))
+    posted = stage(map_arrow(sets.select("node", "items"), _post(OWNERS_PER_PARTITION * shuffle_partitions(sets.sparkSession), width),
+                             _POSTED_SQL), "jaccard-posted")
+    answers = (posted.where("owner is not null").select("block", "owner", "message", "counts", "members")
+               .groupBy("owner").applyInArrow(_frequencies, "block long, message binary, counts binary, ranks binary, members binary"))
+    heads = posted.where("owner is null").select("block", "nodes", "sizes")
+    found = (answers.unionByName(heads, allowMissingColumns=True).groupBy("block")
+             .applyInArrow(_postings, "item long, node long, n long, pos long"))
+    found = found.withColumn("size_block", F.floor(F.log(F.col("n")) / F.log(F.lit(DEN / NUM))))
+    signs = map_arrow(posted.where("owner is null").select("nodes", "signs"), _block_signatures,
+                      ", ".join(f"{c} long" for c in ("node", *_signature(FIRST_WORDS))))
+    return stage(found, "jaccard-index"), signs
 
 
 LINKED = "100 * both >= 75 * (a_n + b_n - both)"
@@ -256,18 +394,22 @@ def _worth(words: int) -> str:
             f" + least(n - with_leader, p_n - p_with_leader) < {NEED}, false) and {differ} <= n + p_n - 2 * {NEED}")
 
 
-def _candidates(live: DataFrame, pivots: int, seed: int, words: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs a < b of pivots and members worth comparing, postings without the pivots)."""
+def _with_pivots(live: DataFrame, pivots: int, seed: int) -> DataFrame:
+    """``live`` with is_pivot: the least node of each of ``pivots`` random groups of a list block."""
     group = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(pivots))
     first = (live.groupBy("item", "size_block", group.alias("g")).agg(F.min("node").alias("node"))
-             .select("item", "size_block", "node", F.lit(True).alias("is_pivot")))
-    marked = live.join(first, ["item", "size_block", "node"], "left")
+             .select("item", "size_block", "node", F.lit(True).alias("first")))
+    return live.join(first, ["item", "size_block", "node"], "left").withColumn("is_pivot", F.col("first").isNotNull()).drop("first")
+
+
+def _candidates(live: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs a < b of pivots and members worth comparing, postings without the pivots)."""
     near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
-    p = marked.where("is_pivot").select("item", near.alias("size_block"), *(
+    p = live.where("is_pivot").select("item", near.alias("size_block"), *(
         F.col(c).alias("p_" + c) for c in ("node", "comp", "n", "pos", "leader", "with_leader", *_signature(words))))
     pairs = live.join(p, ["item", "size_block"]).where(_worth(words))
     pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
-    return pairs, marked.where("is_pivot is null").select("item", "node", "n", "pos", "size_block")
+    return pairs, live.where("not is_pivot").select("item", "node", "n", "pos", "size_block")
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -284,8 +426,9 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                          F.col(key_col).cast("long").alias("key"))
-    # width of the exchanged hashes: 24 bits beyond the row count, so chance hits stay rare at any size
-    width = min(64, 24 + max(1, int(source.count()).bit_length()))
+    # width of the exchanged hashes: 18 bits beyond the row count, so chance hits stay rare at any size
+    # (a row that they keep costs a comparison later)
+    width = min(64, 18 + max(1, int(source.count()).bit_length()))
     owners = OWNERS_PER_PARTITION * shuffle_partitions(spark)
     sent = stage(map_arrow(source, _send(owners, width), _SENT_SQL), "jaccard-sent")
     rows = sent.where("kind = 'row'").select("row", "key", "doc_id", "n", "shared", "cls")
@@ -299,11 +442,11 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
     alive = stage(alive, "jaccard-alive")
     least = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "doc_id"))
     classes = stage(alive.groupBy("cls", "n").agg(F.min("row").alias("node"), least.alias("least")), "jaccard-classes")
-    words = spark.sparkContext.broadcast(filter_words(classes, filter_bits))
+    words = spark.sparkContext.broadcast(filter_words(_class_slots(classes, filter_bits), filter_bits))
     sets = (map_arrow(source.select("text"), lambda it: _sets_task(words.value)(it), "cls binary, items array<long>")
             .groupBy("cls").agg(F.first("items").alias("items")))
-    sets = stage(_signatures(classes.join(sets, "cls"), FIRST_WORDS), "jaccard-sets")
-    nodes = _connected(sets)
+    sets = stage(classes.join(sets, "cls").select("node", "n", "items"), "jaccard-sets")
+    nodes = _connected(sets, filter_bits)
     labels = classes.join(nodes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
     least = labels.groupBy("comp").agg(F.min("least").alias("first"))
     labels = labels.join(least, "comp").select(F.col("cls").alias("_cls"), "first")
@@ -314,48 +457,54 @@ def similar_components(docs: DataFrame, key_col: str = "doc_id", filter_bits: in
         (alone | (F.col("row") == F.col("first.row"))).alias("first_row"))
 
 
-def _connected(sets: DataFrame) -> DataFrame:
+def _connected(sets: DataFrame, filter_bits: int) -> DataFrame:
     """(node, component) of the nodes that have links, by rounds of pivots. A round after the first
     stores the sets that its index still names and moves no other: what the rounds shuffle shrinks
     with the index, however many there are."""
     spark = sets.sparkSession
-    index = stage(_prefix_index(sets), "jaccard-index")
+    index, signs = _prefix_index(sets)
     words = FIRST_WORDS
     nodes = spark.createDataFrame([], "node long, component long")
     checked, pivots, rounds = None, 1, 0
     while True:
-        live = index.join(nodes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-        # keep what has another component in reach
-        near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
-        mixed = (live.select("item", near.alias("size_block"), "comp").groupBy("item", "size_block")
-                 .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("item", "size_block"))
-        live = live.join(mixed, ["item", "size_block"], "left_semi")
-        if checked is None:
-            live = live.withColumns({"leader": F.lit(None).cast("long"), "with_leader": F.lit(None).cast("long")})
+        if not rounds:
+            unknown = F.lit(None).cast("long")
+            live = index.withColumns({"comp": F.col("node"), "leader": unknown, "with_leader": unknown})
         else:
+            live = index.join(nodes, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+            # keep what has another component in reach
+            near = F.explode(F.array(*(F.col("size_block") + d for d in (-1, 0, 1))))
+            mixed = (live.select("item", near.alias("size_block"), "comp").groupBy("item", "size_block")
+                     .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("item", "size_block"))
+            live = live.join(mixed, ["item", "size_block"], "left_semi")
             known = checked.select(F.col("a").alias("node"), F.struct(F.col("b").alias("leader"), "both").alias("x")).unionByName(
                 checked.select(F.col("b").alias("node"), F.struct(F.col("a").alias("leader"), "both").alias("x")))
             known = known.groupBy("node").agg(F.min("x").alias("x")).select("node", "x.leader", F.col("x.both").alias("with_leader"))
-            live = live.join(known, "node", "left")
-        live = live.select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader")
-        if rounds:
+            live = live.join(known, "node", "left").select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader")
             live = stage(live, "jaccard-left")
             if live.isEmpty():
                 return nodes
-            sets = sets.join(live.select("node").distinct(), "node", "left_semi")
+            left = live.select("node").distinct()
             if rounds == 1:
                 words = LATER_WORDS
-                sets = _signatures(sets, words)
+                sets = _signatures(_sets_of(sets, left, filter_bits).join(left, "node", "left_semi"), words)
+            else:
+                sets = sets.join(left, "node", "left_semi")
             sets = stage(sets, "jaccard-sets")
-        live = stage(live.join(sets.select("node", *_signature(words)), "node"), "jaccard-live")
-        if live.isEmpty():
-            return nodes
-        pairs, rest = _candidates(live, pivots, rounds, words)
+            signs = sets.select("node", *_signature(words))
+        live = stage(_with_pivots(live, pivots, rounds).join(signs, "node"), "jaccard-live")
+        pairs, index = _candidates(live, words)
         if checked is not None:
             # an outer join: Spark would test an anti-join before the pairs are made distinct, once
             # for every item that a pair shares
             pairs = pairs.join(checked.select("a", "b", F.lit(True).alias("known")), ["a", "b"], "left").where("known IS NULL").select("a", "b")
-        found = stage(_overlaps(pairs, sets), "jaccard-answers")
+        pairs = stage(pairs, "jaccard-pairs")
+        if rounds:
+            found = _overlaps(pairs, sets)
+        else:
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+            found = _overlaps(pairs, _sets_of(sets, ends, filter_bits))
+        found = stage(found, "jaccard-answers")
         links = found.where(LINKED).select("a", "b")
         checked = found if checked is None else checked.unionByName(found)
         if links.isEmpty():
@@ -364,4 +513,4 @@ def _connected(sets: DataFrame) -> DataFrame:
             nodes = components(links.unionByName(nodes.where("node <> component").select(
                 F.col("component").alias("a"), F.col("node").alias("b"))))
             pivots *= 8
-        index, rounds = rest, rounds + 1
+        rounds += 1

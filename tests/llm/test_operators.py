@@ -250,3 +250,41 @@ def test_jaccard_later_rounds_move_only_what_is_left(spark, monkeypatch):
     out = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in out} == {d: d - d % 2 if d < 1000 else d for d, _ in rows}
     assert len(live) > 1 and moved[1:] == live[1:] and len(moved[1]) < len(moved[0])
+
+
+def test_jaccard_first_round_moves_only_sets_of_pairs(spark, monkeypatch):
+    """Rows made of passages that other rows have too are all in the index; one pair of them is worth comparing,
+    and only its two sets move."""
+    words = lambda tag, n: [f"{tag}x{i}" for i in range(n)]
+    rows = [(d, " ".join(words(f"p{d}", 40) + words(f"p{(d + 7) % 20}", 40))) for d in range(20)]
+    rows.append((50, rows[3][1] + " end"))
+    live, moved = [], []
+    candidates, overlaps = jaccard._candidates, jaccard._overlaps
+    monkeypatch.setattr(jaccard, "_candidates", lambda index, *a: (live.append(index.select("node").distinct().count()), candidates(index, *a))[1])
+    monkeypatch.setattr(jaccard, "_overlaps", lambda pairs, sets: (moved.append(sets.count()), overlaps(pairs, sets))[1])
+    out = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == {d: 3 if d == 50 else d for d, _ in rows}
+    assert live[0] == 21 and moved[0] == 2
+    assert jaccard.similar_components(spark.createDataFrame(rows[:0], "doc_id long, text string")).count() == 0
+
+
+def test_jaccard_index_is_the_rarest_first_prefix(spark):
+    """Sets over several blocks, with hashes of one set, of two and of most."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**64, 300, np.uint64)
+    sets = {node: np.unique(np.concatenate([rng.choice(pool, n, replace=False), pool[:3], rng.integers(0, 2**64, n // 6, np.uint64)]))
+            for node, n in enumerate([1, 2, 5, 40, 40, 60, 90, 90, 120, 200])}
+    df = collections.Counter(h for s in sets.values() for h in s.tolist())
+    width = 10 + sum(map(len, sets.values())).bit_length()
+    want = set()
+    for node, s in sets.items():
+        own = sorted((df[h], h >> (64 - width)) for h in s.tolist() if df[h] > 1)
+        alone = len(s) - len(own)
+        want |= {(key, node, len(s), alone + k) for k, (_, key) in enumerate(own) if k <= len(own) - -(-3 * len(s) // 4)}
+    table = spark.createDataFrame([(n, len(s), s.view(np.int64).tolist()) for n, s in sets.items()], "node long, n long, items array<long>")
+    index, signs = jaccard._prefix_index(table.repartition(3))
+    assert {(r.item, r.node, r.n, r.pos) for r in index.collect()} == want and len(want) > 30
+    native = jaccard._signatures(table, jaccard.FIRST_WORDS).drop("n", "items")
+    assert sorted(map(tuple, signs.collect())) == sorted(map(tuple, native.collect()))
+    ranks = jaccard._rank(np.arange(2, 10**6))
+    assert (np.diff(ranks.astype(int)) >= 0).all() and ranks[-1] > ranks[1000]
