@@ -24,8 +24,8 @@ work at three levels.
   min(|x & p|, |y & p|) + min(|x - p|, |y - p|), which rules out sets that only share a
   passage. Parity signatures (512 bits in the first round, 2048 after it) bound the
   symmetric difference from below and rule out most near misses. Pivots leave their blocks, blocks whose neighbourhood is one
-  component leave the index, pivots multiply (when the lists left are short, all members are
-  pivots), until the index is empty; so every pair of the index is compared, connected or ruled out by a bound, and large
+  component leave the index, pivots multiply, until the index is empty; so every
+  pair of the index is compared, connected or ruled out by a bound, and large
   groups of copies are never expanded into pairs.
 
 Defined results: a null text or one without words has an empty set and links
@@ -55,8 +55,6 @@ NUM, DEN = 3, 4
 BLOCK_ROWS = 1 << 16
 BLOCK_HASHES = 1 << 20
 OWNERS_PER_PARTITION = 4
-# when all pairs of the lists that are left are at most so many per posting of the first index, one round compares them all
-PAIRS_PER_POSTING = 8
 
 _SENT = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
                    ("shared", pa.int64()), ("cls", pa.binary()), ("owner", pa.int32()), ("block", pa.int64()),
@@ -467,7 +465,6 @@ def _connected(sets: DataFrame, filter_bits: int) -> DataFrame:
     index, signs = _prefix_index(sets)
     words = FIRST_WORDS
     nodes = spark.createDataFrame([], "node long, component long")
-    enough = PAIRS_PER_POSTING * index.count()
     checked, pivots, rounds = None, 1, 0
     while True:
         if not rounds:
@@ -485,11 +482,8 @@ def _connected(sets: DataFrame, filter_bits: int) -> DataFrame:
             known = known.groupBy("node").agg(F.min("x").alias("x")).select("node", "x.leader", F.col("x.both").alias("with_leader"))
             live = live.join(known, "node", "left").select("item", "node", "n", "pos", "size_block", "comp", "leader", "with_leader")
             live = stage(live, "jaccard-left")
-            lists = live.groupBy("item").agg(F.count(F.lit(1)).alias("c")).agg(F.expr("sum(c * c)")).head()[0]
-            if lists is None:
+            if live.isEmpty():
                 return nodes
-            if lists <= enough:
-                pivots = 1 << 40
             left = live.select("node").distinct()
             if rounds == 1:
                 words = LATER_WORDS
@@ -519,6 +513,4 @@ def _connected(sets: DataFrame, filter_bits: int) -> DataFrame:
             nodes = components(links.unionByName(nodes.where("node <> component").select(
                 F.col("component").alias("a"), F.col("node").alias("b"))))
             pivots *= 8
-        if index.isEmpty():
-            return nodes
         rounds += 1
